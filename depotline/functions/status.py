@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotline.schemas import FUNNEL_STAGES, NEXT_STATUS
@@ -66,3 +66,17 @@ def range_high(key: Column, ranges: Mapping[str, tuple[int, int]]) -> Column:
 def in_range_of(value: Column, key: Column, ranges: Mapping[str, tuple[int, int]]) -> Column:
     """Does the value lie in the range its key allows, both ends included?"""
     return value.between(range_low(key, ranges), range_high(key, ranges))
+
+
+def advance(leads: DataFrame, stage: str, score: str, target: Column,
+            score_of: Callable[[Column], Column]) -> DataFrame:
+    """Add ``new_stage`` and ``new_score``.
+
+    A lead moves to its target stage if that comes later, and is rescored for it;
+    a lead whose target is NULL or not later keeps both.
+    """
+    moves = F.coalesce(F.array_contains(stages_after(F.col(stage)), target), F.lit(False))
+    return leads.withColumns({
+        "new_stage": F.when(moves, target).otherwise(F.col(stage)),
+        "new_score": F.when(moves, score_of(target)).otherwise(F.col(score)),
+    })

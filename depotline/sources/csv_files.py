@@ -54,4 +54,5 @@ def write_csv(rows: DataFrame, path: str, append: bool = False) -> None:
     Appending adds files, so it never rewrites or interrupts what is there.
     """
     mode = "append" if append else "overwrite"
-    rows.write.mode(mode).options(header="true", escape='"').csv(path)
+    rows.write.mode(mode).options(
+        header="true", escape='"', timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)

@@ -41,9 +41,14 @@ def newest_marks(journal: DataFrame) -> DataFrame:
             "last_extracted_at"))
 
 
+def read_marks_table(spark: SparkSession, root: str) -> DataFrame:
+    """Every mark that was ever written."""
+    return read_or_empty(spark, _marks_path(root), WATERMARKS)
+
+
 def read_marks(spark: SparkSession, root: str, pipeline: str) -> dict[str, datetime]:
     """Mark per table of a pipeline; a table without one is not in the result."""
-    journal = read_or_empty(spark, _marks_path(root), WATERMARKS)
+    journal = read_marks_table(spark, root)
     marks = newest_marks(journal.where(F.col("pipeline_name") == pipeline)).collect()
     return {m.table_name: m.last_extracted_at for m in marks}
 
@@ -118,9 +123,8 @@ def run_log(events: DataFrame) -> DataFrame:
 
 def run_metrics(log: DataFrame) -> DataFrame:
     """Per pipeline: runs, failures, failure rate, rows and mean duration in seconds."""
-    # Both stamps are zone-free; microseconds between them need no session zone.
-    seconds = (F.unix_micros(F.col("run_ended_at").cast("timestamp"))
-               - F.unix_micros(F.col("run_started_at").cast("timestamp"))) / F.lit(1e6)
+    between = F.col("run_ended_at") - F.col("run_started_at")
+    seconds = between.cast("interval second").cast("decimal(18,6)").cast("double")
     failed = F.col("status") == "failed"
     return log.groupBy("pipeline_name").agg(
         F.count(F.lit(1)).alias("runs"),
