@@ -7,7 +7,7 @@ are loaded again and `latest_version` counts them once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -41,6 +41,14 @@ class Load:
     latest: datetime | None
 
 
+@dataclass(frozen=True)
+class Step:
+    """Rows a step changed, and its error if it failed."""
+
+    rows: int
+    error: str | None
+
+
 def staging_path(root: str, table: str) -> str:
     return f"{root}/staging/{table}"
 
@@ -125,6 +133,17 @@ def _end(spark, root, run_id, pipeline, at, done, used, status, message=None) ->
     )
 
 
+def run_steps(steps: Mapping[str, Callable[[], int]]) -> dict[str, Step]:
+    """Run independent change steps. One that fails counts 0 rows; the others go on."""
+    done: dict[str, Step] = {}
+    for name, step in steps.items():
+        try:
+            done[name] = Step(step(), None)
+        except Exception as error:
+            done[name] = Step(0, str(error))
+    return done
+
+
 def run_snapshot(spark: SparkSession, csv_path: str, root: str, table: str,
                  pipeline: str | None = None,
                  clock: Callable[[], datetime] = run_time) -> str:

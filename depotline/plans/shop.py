@@ -15,8 +15,27 @@ from depotline.functions.numbers import money
 from depotline.schemas import COMPANY_SIZES, FUNNEL_STAGES
 
 
+# Layouts of the files, so that no read has to look one up.
+_FILES = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                "c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+            "p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+}
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(_FILES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _rating(balance: Column) -> Column:
@@ -79,9 +98,19 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _unit_price() -> Column:
-    price = money(F.col("l_extendedprice")) / F.col("l_quantity").cast("decimal(10,0)")
-    return F.round(price, 2).cast("decimal(12,2)")
+# Prices and shares have two places, so a line is worked out in whole numbers and
+# rounded half up; that is exact and cheaper than decimal division.
+_PRICE = "cast(rint(l_extendedprice * 100) as bigint)"
+_SHARE = "cast(rint(l_discount * 100) as bigint)"
+_QUANTITY = "cast(l_quantity as bigint)"
+_UNIT_CENTS = f"(2 * {_PRICE} + {_QUANTITY}) div (2 * {_QUANTITY})"
+_DISCOUNT_CENTS = f"({_PRICE} * {_SHARE} + 50) div 100"
+_TOTAL_CENTS = f"({_PRICE} * (100 - {_SHARE}) + 50) div 100"
+
+
+def _amount(cents: Column) -> Column:
+    """Whole cents as an amount."""
+    return (cents.cast("decimal(12,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(12,2)")
 
 
 def supplier_product_mapping(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,7 +118,7 @@ def supplier_product_mapping(spark: SparkSession, folder: str) -> DataFrame:
     pairs = (
         read(spark, folder, "lineitem")
         .groupBy(F.col("l_suppkey").alias("supplier_id"), F.col("l_partkey").alias("product_id"))
-        .agg(F.min(_unit_price()).alias("supplier_price"))
+        .agg(_amount(F.min(F.expr(_UNIT_CENTS))).alias("supplier_price"))
     )
     cheapest = pairs.groupBy("product_id").agg(F.min("supplier_price").alias("_lowest"))
     return pairs.join(cheapest, "product_id").select(
@@ -118,8 +147,6 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
-    price = money(F.col("l_extendedprice"))
-    share = F.col("l_discount").cast("decimal(4,2)")
     return read(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
@@ -127,9 +154,9 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_suppkey").alias("supplier_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        _unit_price().alias("unit_price"),
-        F.round(price * share, 2).cast("decimal(12,2)").alias("discount_amount"),
-        F.round(price * (1 - share), 2).cast("decimal(12,2)").alias("line_total"),
+        _amount(F.expr(_UNIT_CENTS)).alias("unit_price"),
+        _amount(F.expr(_DISCOUNT_CENTS)).alias("discount_amount"),
+        _amount(F.expr(_TOTAL_CENTS)).alias("line_total"),
         F.col("l_shipdate").alias("updated_at"),
     )
 

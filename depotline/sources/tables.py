@@ -70,6 +70,16 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows known to the driver, as one task."""
+    def literal(value, column: T.StructField):
+        shown = value.isoformat(sep=" ") if isinstance(value, datetime) else value
+        return F.lit(shown).cast(column.dataType).alias(column.name)
+
+    listed = [F.struct(*[literal(v, c) for v, c in zip(row, schema)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*listed)))
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
                   format: str = "parquet") -> DataFrame:
     """A table that may not have been written yet; other read errors are raised."""
@@ -105,6 +115,20 @@ def append(rows: DataFrame, path: str, columns: Sequence[str]) -> None:
     rows.select(*columns).write.mode("append").partitionBy(LOAD_DATE).parquet(path)
 
 
+def append_to_source(frames: Mapping[str, DataFrame], source: Source) -> list[str]:
+    """Append each registered table that is there to a source, by column name."""
+    for name in (loaded := [n for n in TABLES if n in frames]):
+        columns = [c for c in TABLES[name].columns if c in frames[name].columns]
+        writer = frames[name].select(*columns).write.mode("append").format(source.format)
+        writer = writer.options(**source.options)
+        target = source.names.get(name, name)
+        if source.format == "jdbc":
+            writer.option("dbtable", target).save()
+        else:
+            writer.save(f"{source.root}/{target}")
+    return loaded
+
+
 def route(frames: Mapping[str, DataFrame], targets: Iterable[str],
           load: Callable[[str, DataFrame], int]) -> dict[str, int]:
     """Load each named table that is there; absent ones are skipped."""

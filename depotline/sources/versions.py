@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotline.schemas import VERSIONS
-from depotline.sources.tables import empty, read_or_empty
+from depotline.sources.tables import empty, literal_rows, read_or_empty
 
 
 def _log(root: str) -> str:
@@ -28,8 +28,8 @@ def current_version(spark: SparkSession, root: str, table: str) -> str | None:
 
 def switch_to(spark: SparkSession, root: str, table: str, version: str, recorded_at: datetime,
               row_count: int) -> None:
-    row = spark.createDataFrame([(table, version, recorded_at, row_count)], VERSIONS)
-    row.coalesce(1).write.mode("append").parquet(_log(root))
+    row = literal_rows(spark, [(table, version, recorded_at, row_count)], VERSIONS)
+    row.write.mode("append").parquet(_log(root))
 
 
 def version_path(root: str, table: str, version: str) -> str:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from depotline.functions.times import at as moment
 from depotline.operators.aggregates import union_all
 from depotline.schemas import RUN_EVENTS, WATERMARKS
-from depotline.sources.tables import read_or_empty
+from depotline.sources.tables import literal_rows, read_or_empty
 
 
 def _marks_path(root: str) -> str:
@@ -29,7 +29,7 @@ def _runs_path(root: str) -> str:
 
 
 def _append(spark: SparkSession, rows: Sequence[tuple], schema, path: str) -> None:
-    spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(path)
+    literal_rows(spark, rows, schema).write.mode("append").parquet(path)
 
 
 # ---- watermarks ------------------------------------------------------------
