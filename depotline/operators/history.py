@@ -1,7 +1,9 @@
 """Versions of a row over time.
 
-A key may own a large part of all versions, so no step gathers a key. Work runs
-per key and day; between days only one row per key and day is carried over.
+Versions are ordered per key. A key may own a large part of all of them, so keys
+with very many versions are cut into minutes: work runs per key and minute, and
+only one row per key and minute is carried from one to the next. All other keys
+are one piece and take one shuffle.
 """
 
 from __future__ import annotations
@@ -14,7 +16,14 @@ from pyspark.sql import functions as F
 
 from depotline.functions.times import at as moment
 
-_DAY = "_day"
+# A key with more versions than this is cut.
+HOT_VERSIONS = 1_000_000
+# At most this many keys are looked up by broadcast; the most frequent are taken.
+# Which keys are cut decides where rows are sorted, never what comes out.
+MOST_CUT_KEYS = 10_000
+
+_SLICE = "_slice"
+_CUT = "_cut"
 
 
 def latest_version(rows: DataFrame, key: Sequence[str], newest: Sequence[str]) -> DataFrame:
@@ -29,61 +38,63 @@ def latest_version(rows: DataFrame, key: Sequence[str], newest: Sequence[str]) -
     return rows.groupBy(*key).agg(packed).select(*key, "_row.*").select(*rows.columns)
 
 
-def with_previous(rows: DataFrame, key: Sequence[str], at: str,
-                  values: Sequence[str]) -> DataFrame:
-    """Add ``previous``: a struct of ``values`` of the version before, NULL for the first."""
-    dated = rows.withColumn(_DAY, F.col(at).cast("date"))
-    return _with_previous(dated, key, at, values).drop(_DAY)
+def _sliced(rows: DataFrame, key: Sequence[str], at: str, hot: int) -> DataFrame:
+    """Add the slice a row is worked on in; sorted by slice and time a key is in order."""
+    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot)
+    cut = counts.orderBy(F.desc("_n"), *key).limit(MOST_CUT_KEYS).select(
+        *key, F.lit(True).alias(_CUT))
+    minute = F.substring(F.col(at).cast("string"), 1, 16)
+    return rows.join(F.broadcast(cut), list(key), "left").withColumn(
+        _SLICE, F.when(F.col(_CUT), minute).otherwise(F.lit("")))
 
 
-def _with_previous(dated: DataFrame, key: Sequence[str], at: str,
+def _with_previous(sliced: DataFrame, key: Sequence[str], at: str,
                    values: Sequence[str]) -> DataFrame:
-    state = F.struct(*[F.col(v) for v in values])
-    in_day = Window.partitionBy(*key, _DAY).orderBy(at, *values)
-    ends = (
-        dated.groupBy(*key, _DAY)
-        .agg(F.max(F.struct(at, *values)).alias("_end"))
-        .select(*key, _DAY, F.struct(*[F.col(f"_end.{v}").alias(v) for v in values]).alias("_end"))
-    )
-    carried = ends.select(
-        *key, _DAY,
-        F.lag("_end").over(Window.partitionBy(*key).orderBy(_DAY)).alias("_carried"),
+    inside = Window.partitionBy(*key, _SLICE).orderBy(at, *values)
+    across = Window.partitionBy(*key).orderBy(_SLICE)
+    last = F.max(F.struct(at, *values))
+    carried = (
+        sliced.where(F.col(_CUT)).groupBy(*key, _SLICE).agg(last.alias("_last"))
+        .withColumn("_last", F.struct(*[F.col(f"_last.{v}").alias(v) for v in values]))
+        .select(*key, _SLICE, F.lag("_last").over(across).alias("_carried"))
     )
     return (
-        dated.withColumn("_before", F.lag(state).over(in_day))
-        .join(carried, [*key, _DAY], "left")
+        sliced.withColumn("_before", F.lag(F.struct(*values)).over(inside))
+        .join(carried, [*key, _SLICE], "left")
         .withColumn("previous", F.coalesce("_before", "_carried"))
         .drop("_before", "_carried")
     )
 
 
-def scd2(rows: DataFrame, key: Sequence[str], at: str, tracked: Sequence[str]) -> DataFrame:
+def with_previous(rows: DataFrame, key: Sequence[str], at: str, values: Sequence[str],
+                  hot: int = HOT_VERSIONS) -> DataFrame:
+    """Add ``previous``: a struct of ``values`` of the version before, NULL for the first."""
+    found = _with_previous(_sliced(rows, key, at, hot), key, at, values)
+    return found.select(*rows.columns, "previous")
+
+
+def scd2(rows: DataFrame, key: Sequence[str], at: str, tracked: Sequence[str],
+         hot: int = HOT_VERSIONS) -> DataFrame:
     """History of the tracked columns: ``valid_from``, ``valid_to`` (open end), ``is_current``.
 
     Versions at the same instant count as one, the greatest by the tracked
     columns. A version equal to the one before starts no new row.
     """
-    dated = rows.select(*key, at, *tracked).withColumn(_DAY, F.col(at).cast("date"))
-    in_day = Window.partitionBy(*key, _DAY).orderBy(at, *tracked)
-    single = (
-        dated.withColumn("_next", F.lead(at).over(in_day))
-        .where(F.col("_next").isNull() | (F.col("_next") != F.col(at)))
-        .drop("_next")
-    )
-    state = F.struct(*[F.col(v) for v in tracked])
-    starts = _with_previous(single, key, at, tracked)
-    starts = starts.where(F.col("previous").isNull() | ~F.col("previous").eqNullSafe(state))
-    starts = starts.drop("previous")
-
-    firsts = starts.groupBy(*key, _DAY).agg(F.min(at).alias("_first"))
-    following = firsts.select(
-        *key, _DAY,
-        F.lead("_first").over(Window.partitionBy(*key).orderBy(_DAY)).alias("_following"),
+    greatest = F.max(F.struct(*tracked)).alias("_state")
+    single = rows.groupBy(*key, at).agg(greatest).select(*key, at, "_state.*")
+    starts = _with_previous(_sliced(single, key, at, hot), key, at, tracked)
+    same = F.col("previous").eqNullSafe(F.struct(*tracked))
+    starts = starts.where(F.col("previous").isNull() | ~same).drop("previous")
+
+    inside = Window.partitionBy(*key, _SLICE).orderBy(at)
+    across = Window.partitionBy(*key).orderBy(_SLICE)
+    following = (
+        starts.where(F.col(_CUT)).groupBy(*key, _SLICE).agg(F.min(at).alias("_first"))
+        .select(*key, _SLICE, F.lead("_first").over(across).alias("_following"))
     )
-    start_order = Window.partitionBy(*key, _DAY).orderBy(at)
     return (
-        starts.withColumn("_next", F.lead(at).over(start_order))
-        .join(following, [*key, _DAY], "left")
+        starts.withColumn("_next", F.lead(at).over(inside))
+        .join(following, [*key, _SLICE], "left")
         .withColumn("valid_to", F.coalesce("_next", "_following"))
         .select(
             *key, *tracked, F.col(at).alias("valid_from"), "valid_to",
@@ -93,14 +104,15 @@ def scd2(rows: DataFrame, key: Sequence[str], at: str, tracked: Sequence[str]) -
 
 
 def refresh_scd2(history: DataFrame, versions: DataFrame, touched: DataFrame,
-                 key: Sequence[str], at: str, tracked: Sequence[str]) -> DataFrame:
+                 key: Sequence[str], at: str, tracked: Sequence[str],
+                 hot: int = HOT_VERSIONS) -> DataFrame:
     """Rebuild the history of the touched keys from all their versions, keep the rest.
 
     Versions may arrive late, in the middle of a history, hence the rebuild.
     """
     keys = touched.select(*key)
     kept = history.join(keys, list(key), "left_anti")
-    rebuilt = scd2(versions.join(keys, list(key), "left_semi"), key, at, tracked)
+    rebuilt = scd2(versions.join(keys, list(key), "left_semi"), key, at, tracked, hot)
     return kept.unionByName(rebuilt)
 
 
@@ -111,9 +123,10 @@ def as_of(history: DataFrame, when: datetime) -> DataFrame:
     return history.where((F.col("valid_from") <= then) & open_or_later)
 
 
-def steps(rows: DataFrame, key: Sequence[str], at: str, status: str) -> DataFrame:
+def steps(rows: DataFrame, key: Sequence[str], at: str, status: str,
+          hot: int = HOT_VERSIONS) -> DataFrame:
     """Every change from one version to the next: key, at, ``from_status``, ``to_status``."""
-    before = with_previous(rows.select(*key, at, status), key, at, [status])
+    before = with_previous(rows.select(*key, at, status), key, at, [status], hot)
     return before.where(F.col("previous").isNotNull()).select(
         *key, at,
         F.col(f"previous.{status}").alias("from_status"),
@@ -122,7 +135,8 @@ def steps(rows: DataFrame, key: Sequence[str], at: str, status: str) -> DataFram
 
 
 def illegal_steps(rows: DataFrame, key: Sequence[str], at: str, status: str,
-                  allowed: Mapping[str, Sequence[str]]) -> DataFrame:
+                  allowed: Mapping[str, Sequence[str]],
+                  hot: int = HOT_VERSIONS) -> DataFrame:
     """Steps that are neither a repeat nor allowed."""
     pairs = [
         part
@@ -133,4 +147,4 @@ def illegal_steps(rows: DataFrame, key: Sequence[str], at: str, status: str,
     legal = (F.col("from_status") == F.col("to_status")) | F.coalesce(
         F.array_contains(targets, F.col("to_status")), F.lit(False)
     )
-    return steps(rows, key, at, status).where(~legal)
+    return steps(rows, key, at, status, hot).where(~legal)

@@ -11,6 +11,9 @@ from depotline.operators import history, marts
 from depotline.plans import shop
 from depotline.plans.registry import as_double, query
 from depotline.plans.shop import with_views
+from depotline.schemas import RUN_EVENTS
+from depotline.sources.conform import accepted, conform
+from depotline.state import journal
 
 _HISTORY = """
 SELECT company_id, segment, updated_at AS valid_from,
@@ -235,3 +238,31 @@ def supplier_performance(spark: SparkSession, folder: str) -> DataFrame:
     found = marts.supplier_performance(
         *shop.load(spark, folder, "orders", "order_items", "suppliers"))
     return found.withColumn("revenue", F.col("revenue").cast("double"))
+
+
+@query("""
+SELECT o_orderpriority AS pipeline_name, count(*) AS runs,
+       count(*) FILTER (WHERE n > 0 AND o_orderstatus = 'P') AS failed_runs,
+       CAST(count(*) FILTER (WHERE n > 0 AND o_orderstatus = 'P') AS DOUBLE) / count(*)
+           AS failure_rate,
+       CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_extracted,
+       CAST(coalesce(sum(units), 0) AS BIGINT) AS rows_loaded,
+       round(avg(epoch(ended) - epoch(o_orderdate)), 6) AS mean_seconds
+FROM orders LEFT JOIN (SELECT l_orderkey AS o_orderkey, count(*) AS n, sum(l_quantity) AS units,
+                              max(l_shipdate) AS ended FROM lineitem GROUP BY 1)
+     USING (o_orderkey) GROUP BY 1""")
+def pipeline_run_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders stand for runs: placed is started, last shipped is ended, cancelled is failed."""
+    orders, items = (shop.read(spark, folder, t) for t in ("orders", "lineitem"))
+    run = [F.col("o_orderkey").alias("run_id"), F.col("o_orderpriority").alias("pipeline_name")]
+    started = orders.select(*run, F.lit("started").alias("event"),
+                            F.col("o_orderdate").alias("at"), F.lit("running").alias("status"))
+    sent = items.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.count(F.lit(1)).alias("rows_extracted"), F.sum("l_quantity").alias("rows_loaded"),
+        F.max("l_shipdate").alias("at"))
+    ended = orders.join(sent, "o_orderkey").select(
+        *run, F.lit("ended").alias("event"), "at", "rows_extracted", "rows_loaded",
+        F.when(F.col("o_orderstatus") == "P", "failed").otherwise("completed").alias("status"))
+    events = started.unionByName(ended, allowMissingColumns=True)
+    metrics = journal.run_metrics(journal.run_log(accepted(conform(events, RUN_EVENTS))))
+    return metrics.withColumn("mean_seconds", F.round("mean_seconds", 6))

@@ -6,16 +6,15 @@ file stream reads each file once: its checkpoint remembers which ones are done.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from depotline.functions.times import run_time
 from depotline.schemas import TABLES
-from depotline.sources.csv_files import bad_lines, good_lines
+from depotline.sources.csv_files import CORRUPT, bad_lines, good_lines
 from depotline.sources.tables import read_or_empty, staged_schema, stamped
 
-CORRUPT = "_corrupt_record"
 BATCH = "_batch"
 
 
@@ -47,10 +46,13 @@ def take_in(spark: SparkSession, folder: str, root: str, table: str,
     def load(rows: DataFrame, number: int) -> None:
         batch = f"{BATCH}={number}"
         loaded_at = run_time()
-        stamped(good_lines(rows), loaded_at).write.mode("overwrite").parquet(
+        seen = Observation()
+        watched = rows.observe(seen, F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"))
+        stamped(good_lines(watched), loaded_at).write.mode("overwrite").parquet(
             f"{_target(root, table)}/{batch}")
-        stamped(bad_lines(rows), loaded_at).write.mode("overwrite").parquet(
-            f"{_rejects(root, table)}/{batch}")
+        if seen.get["bad"]:
+            stamped(bad_lines(rows), loaded_at).write.mode("overwrite").parquet(
+                f"{_rejects(root, table)}/{batch}")
 
     query = (
         lines.writeStream.foreachBatch(load)
@@ -73,4 +75,4 @@ def read_rejected_arrivals(spark: SparkSession, root: str, table: str) -> DataFr
     with_text = T.StructType([*base.fields, T.StructField(CORRUPT, T.StringType(), True)])
     schema = T.StructType(
         [*staged_schema(with_text).fields, T.StructField(BATCH, T.LongType(), True)])
-    return read_or_empty(spark, _rejects(root, table), schema).where(F.col(CORRUPT).isNotNull())
+    return read_or_empty(spark, _rejects(root, table), schema)

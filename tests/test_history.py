@@ -56,10 +56,11 @@ def frame(spark):
         rows, "id INT, at TIMESTAMP_NTZ, grade STRING, size INT")
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_scd2_equals_brute_force(frame, seed):
+# Cut every key, only the hot one, none.
+@pytest.mark.parametrize("seed, hot", [(1, 0), (2, 100), (3, 10**6)])
+def test_scd2_equals_brute_force(frame, seed, hot):
     rows = versions(seed)
-    got = history.scd2(frame(rows), ["id"], "at", ["grade", "size"]).collect()
+    got = history.scd2(frame(rows), ["id"], "at", ["grade", "size"], hot).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_history(rows)))
 
 
@@ -92,13 +93,35 @@ def test_refresh_after_late_versions_equals_a_full_build(frame):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, brute_history(rows)))
 
 
-def test_previous_crosses_days(frame):
+@pytest.mark.parametrize("hot", [0, 2, 10])
+def test_previous_crosses_slices(frame, hot):
     rows = [(1, START, "a", 1), (1, START + timedelta(days=9), "b", 1),
-            (1, START + timedelta(days=9, hours=1), "c", 1), (2, START, "z", 1)]
-    got = history.with_previous(frame(rows), ["id"], "at", ["grade"]).orderBy("id", "at").collect()
+            (1, START + timedelta(days=9, seconds=1), "c", 1), (2, START, "z", 1)]
+    found = history.with_previous(frame(rows), ["id"], "at", ["grade"], hot)
+    got = found.orderBy("id", "at").collect()
     assert [r.previous and r.previous.grade for r in got] == [None, "a", "b", None]
 
 
+def test_steps_of_a_hot_key_equal_those_of_one_piece(frame):
+    rows = frame(versions(10)).select("id", "at", "size").distinct()
+    cut = history.steps(rows, ["id"], "at", "size", hot=100)
+    whole = history.steps(rows, ["id"], "at", "size")
+    assert cut.exceptAll(whole).count() == whole.exceptAll(cut).count() == 0
+    assert whole.count() > 500
+
+
+def test_no_zone_disturbs_the_order(spark, frame):
+    """Two versions around the hour a summer-time zone skips."""
+    rows = [(1, datetime(2024, 3, 31, 2, 30), "a", 1), (1, datetime(2024, 3, 31, 3, 15), "b", 1)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        got = history.scd2(frame(rows), ["id"], "at", ["grade"], 0).orderBy("valid_from").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [(r.grade, r.is_current) for r in got] == [("a", False), ("b", True)]
+
+
 def test_latest_version(frame):
     rows = versions(7)
     got = history.latest_version(frame(rows), ["id"], ["at"]).collect()

@@ -277,3 +277,11 @@ def test_arrivals_take_each_file_once(spark, root):
     got = arrivals.read_arrivals(spark, root, "web_logs")
     assert sorted(int(r.log_id) for r in got.collect()) == list(range(30))
     assert arrivals.read_rejected_arrivals(spark, root, "web_logs").count() == 0
+
+    blanks = "," * (len(layout) - 2)
+    csv(f"{root}/landing", "bad", ",".join(layout.fieldNames()), f"30{blanks},true",
+        f"31{blanks},perhaps")
+    arrivals.take_in(spark, f"{root}/landing", root, "web_logs")
+    assert arrivals.read_arrivals(spark, root, "web_logs").count() == 31
+    (line,) = arrivals.read_rejected_arrivals(spark, root, "web_logs").collect()
+    assert line["_corrupt_record"].startswith("31")
