@@ -38,9 +38,13 @@ def latest_version(rows: DataFrame, key: Sequence[str], newest: Sequence[str]) -
     return rows.groupBy(*key).agg(packed).select(*key, "_row.*").select(*rows.columns)
 
 
-def _sliced(rows: DataFrame, key: Sequence[str], at: str, hot: int) -> DataFrame:
-    """Add the slice a row is worked on in; sorted by slice and time a key is in order."""
-    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot)
+def _sliced(rows: DataFrame, counted: DataFrame, key: Sequence[str], at: str,
+            hot: int) -> DataFrame:
+    """Add the slice a row is worked on in; sorted by slice and time a key is in order.
+
+    ``counted`` are the rows whose number per key decides; only their key is read.
+    """
+    counts = counted.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot)
     cut = counts.orderBy(F.desc("_n"), *key).limit(MOST_CUT_KEYS).select(
         *key, F.lit(True).alias(_CUT))
     minute = F.substring(F.col(at).cast("string"), 1, 16)
@@ -69,7 +73,7 @@ def _with_previous(sliced: DataFrame, key: Sequence[str], at: str,
 def with_previous(rows: DataFrame, key: Sequence[str], at: str, values: Sequence[str],
                   hot: int = HOT_VERSIONS) -> DataFrame:
     """Add ``previous``: a struct of ``values`` of the version before, NULL for the first."""
-    found = _with_previous(_sliced(rows, key, at, hot), key, at, values)
+    found = _with_previous(_sliced(rows, rows, key, at, hot), key, at, values)
     return found.select(*rows.columns, "previous")
 
 
@@ -82,7 +86,7 @@ def scd2(rows: DataFrame, key: Sequence[str], at: str, tracked: Sequence[str],
     """
     greatest = F.max(F.struct(*tracked)).alias("_state")
     single = rows.groupBy(*key, at).agg(greatest).select(*key, at, "_state.*")
-    starts = _with_previous(_sliced(single, key, at, hot), key, at, tracked)
+    starts = _with_previous(_sliced(single, rows, key, at, hot), key, at, tracked)
     same = F.col("previous").eqNullSafe(F.struct(*tracked))
     starts = starts.where(F.col("previous").isNull() | ~same).drop("previous")
 

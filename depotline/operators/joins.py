@@ -88,11 +88,10 @@ def match_in_group(left: DataFrame, candidates: DataFrame, left_key: str, candid
     pooled = pooled.where(F.col("_pool").isNotNull())
     seats = numbered(pooled, "_pool", candidate_key, "_seat", digits)
     sizes = pooled.groupBy("_pool").agg(F.count(F.lit(1)).alias("_size"))
+    everyone = sizes.where(F.col("_pool") == EVERYONE).select("_size").scalar()
 
-    own = sizes.select(F.col("_pool").alias("_own"))
-    wanted = left.join(own, left[group].cast("string") == own["_own"], "left")
-    wanted = wanted.withColumn("_pool", F.coalesce("_own", F.lit(EVERYONE))).drop("_own")
-    wanted = wanted.join(sizes, "_pool", "left").withColumn(
-        "_seat", F.pmod(spread(F.col(left_key)), F.col("_size"))
-    )
+    wanted = left.join(sizes, left[group].cast("string") == sizes["_pool"], "left").withColumns({
+        "_pool": F.coalesce("_pool", F.lit(EVERYONE)),
+        "_seat": F.pmod(spread(F.col(left_key)), F.coalesce(F.col("_size"), everyone)),
+    })
     return wanted.join(seats, ["_pool", "_seat"], "left").drop("_pool", "_seat", "_size")
