@@ -1,15 +1,13 @@
 """Star schema and key figures.
 
-Item sums per order are taken before orders are joined: they lie where the join
-needs them, and a hot order is one row. Sums per other keys join the items to the
-orders as rows, a join whose hot keys Spark splits, and are taken right after it.
-Dimensions are joined to sums, never to single items.
+Two facts carry the figures. The order fact sums items per order before orders are
+joined, so a hot order is one row. The sales fact joins items to orders as rows, a
+join whose hot keys Spark splits. Figures are one grouping of a fact; dimensions
+are joined to sums, never to single rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,64 +48,63 @@ def dim_suppliers(suppliers: DataFrame, companies: DataFrame) -> DataFrame:
     return suppliers.join(firms, "company_id", "left")
 
 
-def sales_fact(orders: DataFrame, items: DataFrame, key: Sequence[str] = ("order_id",)) -> DataFrame:
+def placed_items(items: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Items with the supplier and product their supplier-product pair stands for."""
+    pairs = mapping.select("supplier_product_id", "supplier_id", "product_id")
+    return items.join(pairs, "supplier_product_id")
+
+
+def sales_fact(orders: DataFrame, items: DataFrame, item_key: str = "order_item_id") -> DataFrame:
     """One row per item with its order's keys, date and status; cancelled ones are marked."""
-    heads = orders.select(*key, "customer_id", "company_id", "order_date", "order_status")
-    lines = items.select(*key, "line_number", "supplier_id", "product_id", "quantity", "line_total")
-    return lines.join(heads, list(key)).withColumn(
+    heads = orders.select("order_id", "customer_id", "company_id", "order_date", "order_status")
+    lines = items.select("order_id", item_key, "supplier_id", "product_id", "quantity",
+                         "line_total")
+    return lines.join(heads, "order_id").withColumn(
         "is_revenue", F.col("order_status") != CANCELLED)
 
 
-def _order_sums(items: DataFrame) -> DataFrame:
-    """Item totals and units per order."""
-    return items.groupBy("order_id").agg(
+def order_fact(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """One row per order that has items, with their ``amount`` and ``units``."""
+    sums = items.groupBy("order_id").agg(
         F.sum("line_total").alias("amount"), F.sum("quantity").alias("units"))
+    heads = orders.select("order_id", "customer_id", "company_id", "order_date", "order_status")
+    return heads.join(sums, "order_id").withColumn(
+        "is_revenue", F.col("order_status") != CANCELLED)
 
 
-def revenue_by_month(orders: DataFrame, items: DataFrame) -> DataFrame:
-    totals = sold(orders).select("order_id", "order_date").join(_order_sums(items), "order_id")
-    return totals.groupBy(month_of(F.col("order_date")).alias("month")).agg(
+def revenue_by_month(placed: DataFrame) -> DataFrame:
+    return placed.where("is_revenue").groupBy(month_of(F.col("order_date")).alias("month")).agg(
         F.sum("amount").alias("revenue"), F.sum("units").alias("units"), counted("orders"))
 
 
-def revenue_by_country(orders: DataFrame, items: DataFrame, companies: DataFrame) -> DataFrame:
-    totals = sold(orders).select("order_id", "company_id").join(_order_sums(items), "order_id")
-    per_company = totals.groupBy("company_id").agg(
+def revenue_by_country(placed: DataFrame, companies: DataFrame) -> DataFrame:
+    per_company = placed.where("is_revenue").groupBy("company_id").agg(
         F.sum("amount").alias("amount"), counted("orders"))
     return per_company.join(companies.select("company_id", "country"), "company_id").groupBy(
         "country").agg(F.sum("amount").alias("revenue"), F.sum("orders").alias("orders"))
 
 
-def revenue_by_product(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Revenue per product."""
-    lines = items.select("order_id", "product_id", "line_total", "quantity")
-    kept = lines.join(sold(orders).select("order_id"), "order_id")
-    return kept.groupBy("product_id").agg(
+def revenue_by_product(sales: DataFrame) -> DataFrame:
+    return sales.where("is_revenue").groupBy("product_id").agg(
         F.sum("line_total").alias("revenue"), F.sum("quantity").alias("units"))
 
 
-def revenue_by_category(orders: DataFrame, items: DataFrame, products: DataFrame,
+def revenue_by_category(sales: DataFrame, products: DataFrame,
                         categories: DataFrame) -> DataFrame:
-    per_product = revenue_by_product(orders, items)
     named = dim_products(products, categories).select("product_id", "category_name")
-    return per_product.join(named, "product_id").groupBy("category_name").agg(
-        F.sum("revenue").alias("revenue"), F.sum("units").alias("units"),
-        counted("products"))
+    return revenue_by_product(sales).join(named, "product_id").groupBy("category_name").agg(
+        F.sum("revenue").alias("revenue"), F.sum("units").alias("units"), counted("products"))
 
 
-def average_order_value(orders: DataFrame, items: DataFrame) -> DataFrame:
+def average_order_value(placed: DataFrame) -> DataFrame:
     """One row: orders, revenue and revenue per order, cancelled ones left out."""
-    totals = sold(orders).select("order_id").join(_order_sums(items), "order_id")
-    sums = totals.agg(counted("orders"), F.sum("amount").alias("revenue"))
+    sums = placed.where("is_revenue").agg(counted("orders"), F.sum("amount").alias("revenue"))
     return sums.withColumn("average_order_value", ratio(F.col("revenue"), F.col("orders")))
 
 
-def customer_lifetime_value(customers: DataFrame, orders: DataFrame,
-                            items: DataFrame) -> DataFrame:
+def customer_lifetime_value(customers: DataFrame, placed: DataFrame) -> DataFrame:
     """Orders, revenue, first and last order of every customer; zeros where there is none."""
-    totals = sold(orders).select("order_id", "customer_id", "order_date").join(
-        _order_sums(items), "order_id")
-    per_customer = totals.groupBy("customer_id").agg(
+    per_customer = placed.where("is_revenue").groupBy("customer_id").agg(
         counted("orders"), F.sum("amount").alias("revenue"),
         F.min("order_date").alias("first_order"), F.max("order_date").alias("last_order"))
     return customers.select("customer_id").join(per_customer, "customer_id", "left").select(
@@ -162,11 +159,9 @@ def lead_conversion_rate(leads: DataFrame, orders: DataFrame, by: str) -> DataFr
     return grouped.withColumn("conversion_rate", ratio(F.col("converted"), F.col("leads")))
 
 
-def supplier_performance(orders: DataFrame, items: DataFrame, suppliers: DataFrame) -> DataFrame:
+def supplier_performance(sales: DataFrame, suppliers: DataFrame) -> DataFrame:
     """Revenue, units, items and distinct products per supplier, cancelled orders left out."""
-    lines = items.select("order_id", "supplier_id", "product_id", "line_total", "quantity")
-    kept = lines.join(sold(orders).select("order_id"), "order_id")
-    per_product = kept.groupBy("supplier_id", "product_id").agg(
+    per_product = sales.where("is_revenue").groupBy("supplier_id", "product_id").agg(
         F.sum("line_total").alias("amount"), F.sum("quantity").alias("units"), counted("items"))
     per_supplier = per_product.groupBy("supplier_id").agg(
         F.sum("amount").alias("revenue"), F.sum("units").alias("units"),

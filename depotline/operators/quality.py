@@ -126,6 +126,28 @@ def check_children(parent: DataFrame, table_name: str, key: str, child: DataFram
     return check_rows(counts, table_name, {rule: f"children BETWEEN {low} AND {high}"})
 
 
+def before_parent(child: DataFrame, foreign_key: str, at: str, parent: DataFrame, key: str,
+                  born: str) -> DataFrame:
+    """Child rows dated before the parent they point at; ``parent_at`` is the parent's date."""
+    parents = parent.select(F.col(key).alias(foreign_key), F.col(born).alias("parent_at"))
+    dated = child.where(F.col(foreign_key).isNotNull()).join(parents, foreign_key)
+    return failing_rows(dated, F.col(at) >= F.col("parent_at"))
+
+
+def check_parent(child: DataFrame, table_name: str, foreign_key: str, parent: DataFrame, key: str,
+                 condition: str, rule: str) -> DataFrame:
+    """``failed`` counts the child rows whose parent does not meet a condition.
+
+    Children are counted per parent before the join.
+    """
+    counts = child.groupBy(F.col(foreign_key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    judged = parent.select(F.col(key).alias("_key"), met(condition).alias("_met"))
+    return counts.join(judged, "_key").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("checked"),
+        F.coalesce(F.sum(F.when(~F.col("_met"), F.col("_n"))), F.lit(0)).alias("failed"),
+    ).select(F.lit(rule).alias("rule"), F.lit(table_name).alias("table_name"), "checked", "failed")
+
+
 def table_report(table: Table, frames: Mapping[str, DataFrame],
                  present: Sequence[str] | None = None) -> DataFrame:
     """Every registered rule of one table whose columns and parents are at hand."""

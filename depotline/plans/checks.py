@@ -129,7 +129,7 @@ def _sql_reference(child: str, column: str, parent: str, key: str) -> str:
 @query(with_views(" ".join(_COUNTED.values()),
                   "\nUNION ALL\n".join(_sql_reference(*r) for r in _REFERENCES)))
 def orphan_rows(spark: SparkSession, folder: str) -> DataFrame:
-    frames = {n: build(spark, folder) for n, build in shop.TABLES.items()}
+    frames = shop.load_all(spark, folder)
     return aggregates.union_all([
         quality.check_reference(frames[child], child, column, frames[parent], key,
                                 f"{column}_in_{parent}")
@@ -238,8 +238,8 @@ FROM order_items i JOIN shop_orders USING (order_id) WHERE i.updated_at < order_
 def ship_before_order(spark: SparkSession, folder: str) -> DataFrame:
     orders, items = shop.load(spark, folder, "orders", "order_items")
     sent = items.select("order_id", "line_number", F.col("updated_at").alias("shipped_at"))
-    both = joins.matched(sent, orders.select("order_id", "order_date"), ["order_id"])
-    return quality.failing_rows(both, F.col("shipped_at") >= F.col("order_date"))
+    found = quality.before_parent(sent, "order_id", "shipped_at", orders, "order_id", "order_date")
+    return found.withColumnRenamed("parent_at", "order_date")
 
 
 @query(with_views("shop_orders marketing_leads", """
@@ -247,11 +247,9 @@ SELECT order_id, lead_id, order_date, created_at AS lead_created_at
 FROM shop_orders JOIN marketing_leads USING (lead_id) WHERE order_date < created_at"""))
 def order_before_lead(spark: SparkSession, folder: str) -> DataFrame:
     orders, leads = shop.load(spark, folder, "orders", "marketing_leads")
-    born = leads.select("lead_id", F.col("created_at").alias("lead_created_at"))
-    led = orders.where(F.col("lead_id").isNotNull()).select("order_id", "lead_id", "order_date")
-    return quality.failing_rows(joins.matched(led, born, ["lead_id"]),
-                                F.col("order_date") >= F.col("lead_created_at")
-                                ).select("order_id", "lead_id", "order_date", "lead_created_at")
+    led = orders.select("order_id", "lead_id", "order_date")
+    found = quality.before_parent(led, "lead_id", "order_date", leads, "lead_id", "created_at")
+    return found.withColumnRenamed("parent_at", "lead_created_at")
 
 
 @query(with_views("products supplier_product_mapping", """
@@ -319,6 +317,25 @@ def buyer_role(spark: SparkSession, folder: str) -> DataFrame:
                                  by_type(orders, "orders")])
 
 
+# table, rule, what must hold for the company behind a row
+_ROLES = [("customers", "under_a_buyer", "company_type = 'Buyer'"),
+          ("suppliers", "under_a_supplier", "company_type = 'Supplier'"),
+          ("orders", "well_rated_buyer", "company_type = 'Buyer' AND rating >= 2.0")]
+
+
+@query(with_views("companies customers suppliers shop_orders", "\nUNION ALL\n".join(
+    f"SELECT '{rule}' AS rule, '{t}' AS table_name, count(*) AS checked, "
+    f"count(*) FILTER (WHERE NOT ({sql})) AS failed FROM {_COUNTED[t]} JOIN companies "
+    "USING (company_id)" for t, rule, sql in _ROLES)))
+def role_rules(spark: SparkSession, folder: str) -> DataFrame:
+    (companies,) = shop.load(spark, folder, "companies")
+    return aggregates.union_all([
+        quality.check_parent(shop.TABLES[t](spark, folder), t, "company_id", companies,
+                             "company_id", sql, rule)
+        for t, rule, sql in _ROLES
+    ])
+
+
 @query(with_views("shop_orders order_items", f"""
 SELECT order_id, count(i.line_number) AS children
 FROM shop_orders LEFT JOIN order_items i USING (order_id) GROUP BY order_id
@@ -514,6 +531,7 @@ def _sql_report(name: str) -> list[str]:
 @query(with_views(" ".join(_COUNTED.values()),
                   "\nUNION ALL\n".join(p for n in _REPORTED for p in _sql_report(n))))
 def quality_report(spark: SparkSession, folder: str) -> DataFrame:
-    frames = {n: shop.TABLES[n](spark, folder).select(*_VIEW_COLUMNS[n]) for n in _REPORTED}
+    frames = shop.load_all(spark, folder)
+    frames = {n: frames[n].select(*_VIEW_COLUMNS[n]) for n in _REPORTED}
     return quality.quality_report([TABLES[n] for n in _REPORTED], frames)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -218,19 +219,20 @@ def _as_layout(rows: DataFrame, table: str) -> DataFrame:
     return fitting.accepted(fitting.conform(rows, TABLES[table].source))
 
 
-def _as_source(spark: SparkSession, folder: str, root: str, names: list[str],
-               until: datetime | None = None) -> Source:
-    """Write views in their source layout, as a source to extract from."""
-    for name in names:
-        (rows,) = shop.load(spark, folder, name)
+@dataclass(frozen=True)
+class _Shop(Source):
+    """The views as a source to extract from, as it was at some time."""
+
+    until: datetime | None = None
+
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        (rows,) = shop.load(spark, self.root, table)
         if "created_at" not in rows.columns:
             rows = rows.withColumn("created_at", F.col("updated_at"))
-        if name == "order_items":
+        if table == "order_items":
             rows = rows.withColumn("order_item_id", F.concat_ws(
                 "/", "order_id", "line_number", "supplier_product_id", "unit_price", "quantity"))
-        rows = changed_since(_as_layout(rows, name), None, until)
-        rows.write.mode("overwrite").parquet(f"{root}/{name}")
-    return Source(root=root)
+        return _as_layout(changed_since(rows, None, self.until), table)
 
 
 @query(with_views("marketing_leads", """
@@ -285,8 +287,7 @@ def staging_load(spark: SparkSession, folder: str) -> DataFrame:
     """Orders extracted in two runs past a moving mark, appended, newest version per key."""
     root = work_folder(spark, "staging")
     for until in (_MARK, None):
-        source = _as_source(spark, folder, f"{root}/source", ["orders"], until)
-        pipelines.run_extract(spark, source, root, tables=["orders"])
+        pipelines.run_extract(spark, _Shop(folder, until=until), root, tables=["orders"])
     return pipelines.read_latest(spark, root, "orders").select(
         "order_id", "customer_id", "lead_id", "order_status", *as_double("order_total"),
         "updated_at")
@@ -305,8 +306,8 @@ def run_log_counts(spark: SparkSession, folder: str) -> DataFrame:
     root = work_folder(spark, "runs")
     for table in ("orders", "order_items"):
         for until in (_MARK, None):
-            source = _as_source(spark, folder, f"{root}/source", [table], until)
-            pipelines.run_extract(spark, source, root, pipeline=table, tables=[table])
+            pipelines.run_extract(spark, _Shop(folder, until=until), root, pipeline=table,
+                                  tables=[table])
     log = journal.run_log(journal.read_events(spark, root))
     marks = journal.newest_marks(journal.read_marks_table(spark, root))
     first = F.struct("run_started_at", "rows_loaded")

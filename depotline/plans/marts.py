@@ -25,6 +25,14 @@ WHERE before IS NULL OR before <> segment"""
 _WHEN = datetime(2024, 1, 15, 12)
 
 
+def _placed(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.order_fact(*shop.load(spark, folder, "orders", "order_items"))
+
+
+def _sales(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.sales_fact(*shop.load(spark, folder, "orders", "order_items"), "line_number")
+
+
 def _history(spark: SparkSession, folder: str) -> DataFrame:
     return history.scd2(shop.company_versions(spark, folder), ["company_id"], "updated_at",
                         ["segment"])
@@ -108,8 +116,7 @@ SELECT order_id, line_number, supplier_id, product_id, quantity,
        order_status, order_status <> 'Cancelled' AS is_revenue
 FROM order_items JOIN shop_orders USING (order_id)"""))
 def sales_fact(spark: SparkSession, folder: str) -> DataFrame:
-    fact = marts.sales_fact(*shop.load(spark, folder, "orders", "order_items"))
-    return fact.withColumn("line_total", F.col("line_total").cast("double"))
+    return _sales(spark, folder).withColumn("line_total", F.col("line_total").cast("double"))
 
 
 _SOLD = {"sold": "SELECT * FROM order_items JOIN (SELECT order_id, customer_id, company_id, "
@@ -122,7 +129,7 @@ SELECT strftime(order_date, '%Y-%m') AS month, CAST(sum(line_total) AS DOUBLE) A
        CAST(sum(quantity) AS BIGINT) AS units, count(DISTINCT order_id) AS orders
 FROM sold GROUP BY 1""", **_SOLD))
 def revenue_by_month(spark: SparkSession, folder: str) -> DataFrame:
-    found = marts.revenue_by_month(*shop.load(spark, folder, "orders", "order_items"))
+    found = marts.revenue_by_month(_placed(spark, folder))
     return found.select("month", *as_double("revenue"), "units", "orders")
 
 
@@ -133,7 +140,7 @@ FROM sold JOIN products USING (product_id) JOIN categories USING (category_id) G
 """, **_SOLD))
 def revenue_by_category(spark: SparkSession, folder: str) -> DataFrame:
     found = marts.revenue_by_category(
-        *shop.load(spark, folder, "orders", "order_items", "products", "categories"))
+        _sales(spark, folder), *shop.load(spark, folder, "products", "categories"))
     return found.select("category_name", *as_double("revenue"), "units", "products")
 
 
@@ -141,7 +148,7 @@ def revenue_by_category(spark: SparkSession, folder: str) -> DataFrame:
 SELECT product_id, CAST(sum(line_total) AS DOUBLE) AS revenue,
        CAST(sum(quantity) AS BIGINT) AS units FROM sold GROUP BY 1""", **_SOLD))
 def revenue_by_product(spark: SparkSession, folder: str) -> DataFrame:
-    found = marts.revenue_by_product(*shop.load(spark, folder, "orders", "order_items"))
+    found = marts.revenue_by_product(_sales(spark, folder))
     return found.select("product_id", *as_double("revenue"), "units")
 
 
@@ -150,7 +157,7 @@ SELECT country, CAST(sum(line_total) AS DOUBLE) AS revenue, count(DISTINCT order
 FROM sold JOIN companies USING (company_id) GROUP BY 1""", **_SOLD))
 def revenue_by_country(spark: SparkSession, folder: str) -> DataFrame:
     found = marts.revenue_by_country(
-        *shop.load(spark, folder, "orders", "order_items", "companies"))
+        _placed(spark, folder), *shop.load(spark, folder, "companies"))
     return found.select("country", *as_double("revenue"), "orders")
 
 
@@ -159,7 +166,7 @@ SELECT count(DISTINCT order_id) AS orders, CAST(sum(line_total) AS DOUBLE) AS re
        CAST(sum(line_total) AS DOUBLE) / count(DISTINCT order_id) AS average_order_value
 FROM sold""", **_SOLD))
 def average_order_value(spark: SparkSession, folder: str) -> DataFrame:
-    found = marts.average_order_value(*shop.load(spark, folder, "orders", "order_items"))
+    found = marts.average_order_value(_placed(spark, folder))
     return found.select("orders", *as_double("revenue"), "average_order_value")
 
 
@@ -171,7 +178,7 @@ FROM customers LEFT JOIN (SELECT customer_id, order_id, line_total, order_date F
      USING (customer_id) GROUP BY 1""", **_SOLD))
 def customer_lifetime_value(spark: SparkSession, folder: str) -> DataFrame:
     found = marts.customer_lifetime_value(
-        *shop.load(spark, folder, "customers", "orders", "order_items"))
+        *shop.load(spark, folder, "customers"), _placed(spark, folder))
     return found.withColumn("revenue", F.col("revenue").cast("double"))
 
 
@@ -236,7 +243,7 @@ SELECT supplier_id, supplier_name, CAST(sum(line_total) AS DOUBLE) AS revenue,
 FROM suppliers LEFT JOIN sold USING (supplier_id) GROUP BY 1, 2""", **_SOLD))
 def supplier_performance(spark: SparkSession, folder: str) -> DataFrame:
     found = marts.supplier_performance(
-        *shop.load(spark, folder, "orders", "order_items", "suppliers"))
+        _sales(spark, folder), *shop.load(spark, folder, "suppliers"))
     return found.withColumn("revenue", F.col("revenue").cast("double"))
 
 
@@ -266,3 +273,14 @@ def pipeline_run_metrics(spark: SparkSession, folder: str) -> DataFrame:
     events = started.unionByName(ended, allowMissingColumns=True)
     metrics = journal.run_metrics(journal.run_log(accepted(conform(events, RUN_EVENTS))))
     return metrics.withColumn("mean_seconds", F.round("mean_seconds", 6))
+
+
+@query(with_views("shop_orders order_items", """
+SELECT order_id, customer_id, company_id, order_date, order_status,
+       CAST(amount AS DOUBLE) AS amount, CAST(units AS BIGINT) AS units,
+       order_status <> 'Cancelled' AS is_revenue
+FROM shop_orders JOIN sums USING (order_id)
+""", sums="SELECT order_id, sum(line_total) AS amount, sum(quantity) AS units "
+          "FROM order_items GROUP BY 1"))
+def order_fact(spark: SparkSession, folder: str) -> DataFrame:
+    return _placed(spark, folder).withColumn("amount", F.col("amount").cast("double"))

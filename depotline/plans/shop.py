@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from depotline.functions.numbers import money
 from depotline.schemas import COMPANY_SIZES, FUNNEL_STAGES
+from depotline.session import written
 
 
 # Layouts of the files, so that no read has to look one up.
@@ -221,6 +222,16 @@ def load(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
     return [TABLES[n](spark, folder) for n in names]
 
 
+def load_all(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Every table, for checks that read each several times.
+
+    The mapping is grouped from all items, so it is written once.
+    """
+    frames = {n: build(spark, folder) for n, build in TABLES.items()}
+    frames["supplier_product_mapping"] = written(frames["supplier_product_mapping"], "mapping")
+    return frames
+
+
 # --------------------------------------------------------------------------
 # The same views in SQL.
 # --------------------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are designed for. They are runtime settings, so `tune` can
 # apply them to a session somebody else made.
@@ -46,3 +46,11 @@ def shared_folder(spark: SparkSession) -> str:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a table in the shared folder, for what is costly and read many times."""
+    spark = rows.sparkSession
+    path = work_folder(spark, purpose)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from depotline.schemas import VERSIONS
 from depotline.sources.tables import empty, literal_rows, read_or_empty
@@ -41,9 +42,23 @@ def write_version(rows: DataFrame, root: str, table: str, version: str) -> None:
     rows.write.mode("overwrite").parquet(version_path(root, table, version))
 
 
-def read_current(spark: SparkSession, root: str, table: str, schema) -> DataFrame:
-    """The current rows; none before the first load."""
+def read_current(spark: SparkSession, root: str, table: str,
+                 schema: T.StructType | None = None) -> DataFrame:
+    """The current rows. Before the first load there are none, or an error without a layout."""
     version = current_version(spark, root, table)
+    if version is None and schema is None:
+        raise LookupError(f"{table} has not been loaded")
     if version is None:
         return empty(spark, schema)
-    return spark.read.schema(schema).parquet(version_path(root, table, version))
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(version_path(root, table, version))
+
+
+def reload(rows: DataFrame, root: str, table: str, version: str,
+           recorded_at: datetime) -> DataFrame:
+    """Replace a table by the rows and return it as stored."""
+    spark = rows.sparkSession
+    seen = Observation()
+    write_version(rows.observe(seen, F.count(F.lit(1)).alias("n")), root, table, version)
+    switch_to(spark, root, table, version, recorded_at, seen.get["n"])
+    return spark.read.schema(rows.schema).parquet(version_path(root, table, version))
