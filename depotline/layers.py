@@ -77,12 +77,15 @@ def _build(layer: str, builders: Mapping[str, Builder], inputs: Frames, root: st
     }
 
 
-def build(spark: SparkSession, root: str, warehouse: Sequence[str] = tuple(WAREHOUSE),
-          figures: Sequence[str] = tuple(MARTS),
+def build(spark: SparkSession, root: str, staged: Sequence[str] = tuple(EXTRACTED),
+          warehouse: Sequence[str] = tuple(WAREHOUSE), figures: Sequence[str] = tuple(MARTS),
           clock: Callable[[], datetime] = run_time) -> dict[str, DataFrame]:
-    """Build the named warehouse tables and figures from staging; returns them as stored."""
+    """Build the named warehouse tables and figures from staging; returns them as stored.
+
+    ``staged`` names the staged tables they need.
+    """
     version, at = uuid.uuid4().hex, clock()
-    newest = {t: lambda _, t=t: pipelines.read_latest(spark, root, t) for t in EXTRACTED}
+    newest = {t: lambda _, t=t: pipelines.read_latest(spark, root, t) for t in staged}
     inputs = _build("intermediate", newest, {}, root, version, at)
     inputs |= {t: pipelines.read_snapshot(spark, root, t) for t in SNAPSHOTS}
     inputs["company_versions"] = pipelines.read_staged(spark, root, "companies")

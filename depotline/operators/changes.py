@@ -96,5 +96,5 @@ def late_rows(source: DataFrame, staged: DataFrame, key: Sequence[str], mark: da
     window = F.col(stamp) <= moment(mark)
     if since is not None:
         window = window & (F.col(stamp) >= moment(since))
-    seen = staged.where(window).select(*key, stamp)
+    seen = staged.where(window).select(*key, stamp).distinct()
     return source.where(window).join(seen, [*key, stamp], "left_anti")

@@ -114,7 +114,7 @@ def refresh_scd2(history: DataFrame, versions: DataFrame, touched: DataFrame,
 
     Versions may arrive late, in the middle of a history, hence the rebuild.
     """
-    keys = touched.select(*key)
+    keys = touched.select(*key).distinct()
     kept = history.join(keys, list(key), "left_anti")
     rebuilt = scd2(versions.join(keys, list(key), "left_semi"), key, at, tracked, hot)
     return kept.unionByName(rebuilt)

@@ -28,14 +28,17 @@ def matched(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
-    """Child rows that point at no parent. A NULL reference points at nothing and is no orphan."""
-    keys = parent.select(F.col(key).alias(foreign_key))
+    """Child rows that point at no parent. A NULL reference points at nothing and is no orphan.
+
+    The looked-up side is made distinct before its shuffle, so copies cost nothing.
+    """
+    keys = parent.select(F.col(key).alias(foreign_key)).distinct()
     return child.where(F.col(foreign_key).isNotNull()).join(keys, foreign_key, "left_anti")
 
 
 def without_children(parent: DataFrame, key: str, child: DataFrame, foreign_key: str) -> DataFrame:
     """Parent rows nothing points at."""
-    used = child.select(F.col(foreign_key).alias(key))
+    used = child.select(F.col(foreign_key).alias(key)).distinct()
     return parent.join(used, key, "left_anti")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from depotline import pipelines
+from depotline import layers, pipelines
 from depotline.functions import status
 from depotline.functions.numbers import money
 from depotline.operators import changes, history
@@ -334,3 +334,19 @@ def version_switch(spark: SparkSession, folder: str) -> DataFrame:
     return current.agg(F.count(F.lit(1)).alias("row_count"),
                        F.sum("order_total").cast("double").alias("total")).select(
         F.lit("orders_snapshot").alias("table_name"), "row_count", "total")
+
+
+@query(with_views("shop_orders order_items", """
+SELECT strftime(order_date, '%Y-%m') AS month, CAST(sum(amount) AS DOUBLE) AS revenue,
+       CAST(sum(units) AS BIGINT) AS units, count(*) AS orders
+FROM shop_orders JOIN sums USING (order_id) WHERE order_status <> 'Cancelled' GROUP BY 1
+""", sums="SELECT order_id, sum(line_total) AS amount, sum(quantity) AS units "
+          "FROM order_items GROUP BY 1"))
+def warehouse_build(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders and items from the source through staging and the order fact to one figure."""
+    root = work_folder(spark, "warehouse")
+    names = ["orders", "order_items"]
+    pipelines.run_extract(spark, _Shop(folder), root, tables=names)
+    layers.build(spark, root, names, ["fact_orders"], ["revenue_by_month"])
+    found = layers.read(spark, root, "marts", "revenue_by_month")
+    return found.select("month", *as_double("revenue"), "units", "orders")

@@ -31,6 +31,16 @@ def _bag(names, rows) -> Counter:
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+_KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+          "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_difference(frame, sql: str, connection) -> list[tuple]:
+    """Columns whose type differs between the query and its SQL."""
+    wanted = {r[0]: r[1] for r in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    return [(c, t, wanted.get(c)) for c, t in frame.dtypes if _KINDS.get(t) != wanted.get(c)]
+
+
 def difference(frame, sql: str, connection) -> str | None:
     """None where rows and columns agree, else a short description."""
     result = connection.execute(sql)

@@ -16,7 +16,9 @@ def connection():
 @pytest.mark.parametrize("name", contract.queries())
 def test_query_equals_sql(spark, connection, name):
     frame = contract.queries()[name](spark, FOLDER)
-    assert oracle.difference(frame, contract.oracle_sql()[name], connection) is None
+    sql = contract.oracle_sql()[name]
+    assert oracle.type_difference(frame, sql, connection) == []
+    assert oracle.difference(frame, sql, connection) is None
 
 
 def test_every_query_has_sql():
