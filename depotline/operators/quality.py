@@ -44,8 +44,9 @@ def row_rules(table: Table, present: Sequence[str] | None = None) -> dict[str, s
 
 def met(rule: str | Column) -> Column:
     """Is a rule met? As in a SQL CHECK, NULL counts as met."""
-    condition = F.expr(rule) if isinstance(rule, str) else rule
-    return F.coalesce(condition, F.lit(True))
+    if isinstance(rule, str):
+        return F.expr(f"coalesce(({rule}), true)")
+    return F.coalesce(rule, F.lit(True))
 
 
 def failing_rows(rows: DataFrame, rule: str | Column) -> DataFrame:
@@ -55,12 +56,16 @@ def failing_rows(rows: DataFrame, rule: str | Column) -> DataFrame:
 def check_rows(rows: DataFrame, table_name: str,
                rules: Mapping[str, str | Column]) -> DataFrame:
     """Evaluate any number of row rules in one scan."""
-    failed = [F.count_if(~met(r)).alias(f"_f{i}") for i, r in enumerate(rules.values())]
+    failed = [
+        F.expr(f"count_if(NOT coalesce(({r}), true)) AS _f{i}") if isinstance(r, str)
+        else F.count_if(~met(r)).alias(f"_f{i}")
+        for i, r in enumerate(rules.values())
+    ]
     counted = rows.agg(F.count(F.lit(1)).alias("checked"), *failed)
-    listed = [part for i, name in enumerate(rules) for part in (F.lit(name), F.col(f"_f{i}"))]
+    listed = ", ".join(f"'{name}', _f{i}" for i, name in enumerate(rules))
     return counted.select(
         F.lit(table_name).alias("table_name"), "checked",
-        F.stack(F.lit(len(rules)), *listed).alias("rule", "failed"),
+        F.expr(f"stack({len(rules)}, {listed}) AS (rule, failed)"),
     ).select("rule", "table_name", "checked", "failed")
 
 
