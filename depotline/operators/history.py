@@ -1,9 +1,9 @@
 """Versions of a row over time.
 
 Versions are ordered per key. A key may own a large part of all of them, so keys
-with very many versions are cut into minutes: work runs per key and minute, and
-only one row per key and minute is carried from one to the next. All other keys
-are one piece and take one shuffle.
+with very many versions are cut into hours or minutes: work runs per key and slice
+of time, and only one row per slice is carried to the next. All other keys are one
+piece and take one shuffle.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from depotline.functions.times import at as moment
 
-# A key with more versions than this is cut.
-HOT_VERSIONS = 1_000_000
+# A key with more versions than this is cut into hours, with a hundred times as many
+# into minutes.
+HOT_VERSIONS = 5_000_000
 # At most this many keys are looked up by broadcast; the most frequent are taken.
 # Which keys are cut decides where rows are sorted, never what comes out.
 MOST_CUT_KEYS = 10_000
@@ -45,11 +46,12 @@ def _sliced(rows: DataFrame, counted: DataFrame, key: Sequence[str], at: str,
     ``counted`` are the rows whose number per key decides; only their key is read.
     """
     counts = counted.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot)
-    cut = counts.orderBy(F.desc("_n"), *key).limit(MOST_CUT_KEYS).select(
-        *key, F.lit(True).alias(_CUT))
-    minute = F.substring(F.col(at).cast("string"), 1, 16)
+    # Digits of a written time stamp up to the hour or the minute.
+    digits = F.when(F.col("_n") > 100 * hot, 16).otherwise(13).alias(_CUT)
+    cut = counts.orderBy(F.desc("_n"), *key).limit(MOST_CUT_KEYS).select(*key, digits)
     return rows.join(F.broadcast(cut), list(key), "left").withColumn(
-        _SLICE, F.when(F.col(_CUT), minute).otherwise(F.lit("")))
+        _SLICE, F.coalesce(F.substring(F.col(at).cast("string"), F.lit(1), F.col(_CUT)),
+                           F.lit("")))
 
 
 def _with_previous(sliced: DataFrame, key: Sequence[str], at: str,
@@ -58,7 +60,7 @@ def _with_previous(sliced: DataFrame, key: Sequence[str], at: str,
     across = Window.partitionBy(*key).orderBy(_SLICE)
     last = F.max(F.struct(at, *values))
     carried = (
-        sliced.where(F.col(_CUT)).groupBy(*key, _SLICE).agg(last.alias("_last"))
+        sliced.where(F.col(_CUT).isNotNull()).groupBy(*key, _SLICE).agg(last.alias("_last"))
         .withColumn("_last", F.struct(*[F.col(f"_last.{v}").alias(v) for v in values]))
         .select(*key, _SLICE, F.lag("_last").over(across).alias("_carried"))
     )
@@ -85,15 +87,16 @@ def scd2(rows: DataFrame, key: Sequence[str], at: str, tracked: Sequence[str],
     columns. A version equal to the one before starts no new row.
     """
     greatest = F.max(F.struct(*tracked)).alias("_state")
-    single = rows.groupBy(*key, at).agg(greatest).select(*key, at, "_state.*")
-    starts = _with_previous(_sliced(single, rows, key, at, hot), key, at, tracked)
+    folded = rows.groupBy(*key, at).agg(greatest).select(*key, at, "_state.*")
+    single = _sliced(folded, rows, key, at, hot)
+    starts = _with_previous(single, key, at, tracked)
     same = F.col("previous").eqNullSafe(F.struct(*tracked))
     starts = starts.where(F.col("previous").isNull() | ~same).drop("previous")
 
     inside = Window.partitionBy(*key, _SLICE).orderBy(at)
     across = Window.partitionBy(*key).orderBy(_SLICE)
     following = (
-        starts.where(F.col(_CUT)).groupBy(*key, _SLICE).agg(F.min(at).alias("_first"))
+        starts.where(F.col(_CUT).isNotNull()).groupBy(*key, _SLICE).agg(F.min(at).alias("_first"))
         .select(*key, _SLICE, F.lead("_first").over(across).alias("_following"))
     )
     return (
