@@ -12,8 +12,9 @@ from depotline.llm.common import fresh, lower_ascii, plain
 SPAN, GRAM = 13, 5
 WINDOW = SPAN - GRAM + 1
 REACH = SPAN - GRAM
-# Everything between words: ASCII but for digits and letters.
-BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Everything between words: ASCII but for digits and letters. Capitals count as letters here,
+# as words are cut first and put in lower case afterwards.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # Fingerprints of the test side up to which they are broadcast (each is below 300 bytes);
 # beyond that both sides are shuffled by fingerprint.
 BROADCAST_ROWS = 200_000

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from depotline.llm.common import fresh, word_count
+from depotline.llm.common import word_count
 from depotline.session import written
 
 # Documents that one step of the reduction tree folds.
 FOLD = 64
+# Rows of a source and size class that wait for the last fold: with at most 63 classes, a list
+# of that fold is below 4,200 rows.
+HELD = 64
 # Most copies of a document.
 MOST = 3
 
@@ -90,77 +93,106 @@ def copies(rows: DataFrame, source: str, size: str, by: list[Column], seed: int
     """The rows with source_size, target (of the source) and `copies` (0 .. MOST).
 
     A source's rows all get the whole copies of target / source_size; the fraction left is
-    rounded by a tree: rows are folded FOLD at a time, each fold leaves one open row, and
-    the open rows are folded again until a source has one, which a draw closes. So each
-    source's words differ from its target by less than one document, and every row's
-    expected copies are the exact fraction. All draws are hashes of `by`, the seed and the
-    tree's place, so reruns agree; rows equal in `by` are interchangeable.
+    rounded in a tree. Rows of one source and size class (powers of two) are folded FOLD at a
+    time, a fold leaves one open row, and open rows are folded again until a class has one.
+    HELD rows of each class wait for the last fold, over all classes of the source from large
+    to small, which so ends with a small row. That one is closed by a draw: a source's words
+    differ from its target by less than that row, and every row's expected copies are the
+    exact fraction. All draws are hashes of `by`, the seed and the tree's level, so reruns
+    agree; rows equal in `by` are interchangeable.
     Rows without words get the whole copies and take no part. A null source is a source.
     Only the given columns travel through the tree: project long texts away beforehand.
     """
     kept = rows.columns
-    bucket, place, group, tag, part = fresh(rows, "_bucket", "_place", "_group", "_tag", "_part")
-    sizes = rows.groupBy(source).agg(F.sum(size).alias("source_size"), F.count("*").alias("_rows"))
+    sizes = rows.groupBy(source).agg(F.sum(size).alias("source_size"))
     # One short row per source; the join's other side is matched by equality, null-safe.
     plan = targets(sizes.withColumnRenamed(source, "_source"), "_source", "source_size")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    planned = rows.join(plan, F.col(source).eqNullSafe(F.col("_source"))).withColumn("_rate", rate)
-    whole = F.least(F.floor("_rate"), F.lit(MOST)).cast("int")
-    planned = planned.withColumn("_whole", whole).withColumn(part, F.col("_rate") - F.col("_whole"))
+    planned = (rows.join(plan, F.col(source).eqNullSafe(F.col("_source")))
+               .withColumn("_rate", rate).withColumn("_whole", F.floor("_rate").cast("int"))
+               .withColumn("_part", F.col("_rate") - F.col("_whole")))
     carried = [*kept, "source_size", "target", "_whole"]
-    joins = (F.col(part) > 0) & (F.col(size) > 0)
+    joins = (F.col("_part") > 0) & (F.col(size) > 0)
     settled = planned.filter(~joins).select(*carried, F.lit(0).alias("_more"))
 
-    items = planned.filter(joins).select(
-        F.xxhash64(F.lit(seed), *by).alias(tag), F.col(part), F.col("_rows"), *carried)
-    # A place in a hash bucket of the source, so that no fold is longer than FOLD even where
-    # rows are equal.
+    size_class = F.floor(F.log2(F.col(size))).cast("int")
+    counts = (rows.filter(F.col(size) > 0)
+              .groupBy(F.col(source).alias("_s"), size_class.alias("_c"))
+              .agg(F.count("*").alias("_rows")))
+    items = (planned.filter(joins)
+             .select(F.col(source).alias("_s"), size_class.alias("_c"),
+                     F.struct(F.col(size).cast("double").alias("size"),
+                              F.col("_part").alias("part"),
+                              F.xxhash64(F.lit(seed), *by).alias("tag"),
+                              F.struct(*carried).alias("row")).alias("_item"), *_renamed(by)))
+    # A place in a hash bucket of the class, so that no fold is longer than FOLD even where
+    # rows are equal. There is one row of counts per source and class.
+    items = items.join(counts.withColumnsRenamed({"_s": "_s2", "_c": "_c2"}),
+                       F.col("_s").eqNullSafe(F.col("_s2")) & (F.col("_c") == F.col("_c2")))
     buckets = F.greatest(F.lit(1), F.ceil(F.col("_rows") / (FOLD * FOLD)))
-    items = items.withColumn(bucket, F.pmod(F.col(tag), buckets))
-    within = Window.partitionBy(source, bucket).orderBy(tag, *by)
-    items = items.withColumn(place, F.floor((F.row_number().over(within) - 1) / FOLD))
-    items = items.withColumn(group, F.xxhash64(F.col(bucket), F.col(place)))
-    payload = F.struct(F.col(size).cast("double").alias("size"), F.col(part).alias("part"),
-                       F.col(tag).alias("tag"), F.struct(*carried).alias("row"))
-    open_items = items.select(F.col(source).alias("_s"), F.col(group).alias("_g"),
-                              F.col("_rows").alias("_left"), payload.alias("_item"))
-    # Rows that may still be open in a source: one per fold of the first level, and after each
+    items = items.withColumn("_b", F.pmod(F.col("_item.tag"), buckets))
+    within = Window.partitionBy("_s", "_c", "_b").orderBy(
+        F.col("_item.tag"), *(F.col(f"_by{i}") for i in range(len(by))))
+    items = items.withColumn("_place", F.row_number().over(within) - 1)
+    wait = (F.col("_b") == 0) & (F.col("_place") < HELD)
+    items = written(items.withColumn("_waits", wait).select(
+        "_s", "_c", "_waits", F.col("_rows").alias("_left"), "_item",
+        F.xxhash64("_b", F.floor(F.col("_place") / FOLD)).alias("_g")), "mixing")
+    open_items = items.filter(~F.col("_waits")).drop("_waits")
+
+    # Rows that may still be open in a class: one per fold of the first level, and after each
     # further level one per group. A group gets FOLD / 2 of them on average, hashed.
-    most = sizes.agg(F.max("_rows")).first()[0] or 0
-    left = -(-most // (FOLD * FOLD)) + -(-most // FOLD)
-    bound = F.ceil(F.col("_left") / (FOLD * FOLD)) + F.ceil(F.col("_left") / FOLD)
-    level, closed = 0, []
+    most = counts.agg(F.max("_rows")).first()[0] or 0
+    left, level, closed = _folds(most), 0, []
     while most:
-        # Large rows first: the row that stays open to the end then tends to be a small one.
-        listed = F.sort_array(F.collect_list(F.struct(
-            (-F.col("_item.size")).alias("s"), F.col("_item.tag").alias("t"),
-            F.col("_item").alias("i"))))
         # Written, as the closed rows and the next level both read it.
-        folded = written(
-            open_items.groupBy("_s", "_g").agg(F.max("_left").alias("_left"), listed.alias("_list"))
-            .withColumn("_list", F.transform("_list", lambda x: x["i"]))
-            .select("_s", "_g", bound.alias("_left") if level == 0 else "_left",
-                    _fold(F.col("_list"), seed, level).alias("_state")), "mixing")
+        folded = written(_folded(open_items, ["_s", "_c", "_g"], seed, level), "mixing")
         closed.append(folded.select(F.explode("_state.closed").alias("_item")))
-        groups = F.ceil(F.col("_left") / (FOLD // 2))
+        bound = F.col("_left") if level else _folds(F.col("_left"))
+        groups = F.ceil(bound / (FOLD // 2))
         open_items = folded.select(
-            "_s", F.pmod(F.xxhash64(F.lit(level), "_g"), groups).alias("_g"),
+            "_s", "_c", F.pmod(F.xxhash64(F.lit(level), "_g"), groups).alias("_g"),
             groups.alias("_left"), F.col("_state.open").alias("_item"))
         level += 1
         if left == 1:
             break
         left = -(-left // (FOLD // 2)) if level > 1 else left
-    if closed:
+    if most:
+        last = items.filter("_waits").select("_s", "_left", "_item").unionByName(
+            open_items.select("_s", "_left", "_item"))
+        last = written(_folded(last, ["_s"], seed, level), "mixing")
         drawn = _uniform(F.lit(seed), F.lit(-1), F.col("_item.tag")) < F.col("_item.part")
-        closed.append(open_items.select(F.col("_item").withField(
-            "part", F.when(drawn, 1.0).otherwise(0.0)).alias("_item")))
-        for some in closed:
-            settled = settled.unionByName(some.select(
-                "_item.row.*", F.col("_item.part").cast("int").alias("_more")))
+        closed.append(last.select(F.explode("_state.closed").alias("_item")))
+        closed.append(last.select(F.col("_state.open").alias("_item")).select(
+            F.col("_item").withField("part", F.when(drawn, 1.0).otherwise(0.0)).alias("_item")))
+    for some in closed:
+        settled = settled.unionByName(some.select(
+            "_item.row.*", F.col("_item.part").cast("int").alias("_more")))
     return (settled.withColumn("copies", (F.col("_whole") + F.col("_more")).cast("int"))
             .drop("_whole", "_more"))
 
 
+def _renamed(by: list[Column]) -> list[Column]:
+    return [c.alias(f"_by{i}") for i, c in enumerate(by)]
+
+
+def _folds(rows):
+    """Most folds of so many rows at the first level: full ones, and one rest per bucket."""
+    if isinstance(rows, Column):
+        return F.ceil(rows / (FOLD * FOLD)) + F.ceil(rows / FOLD)
+    return -(-rows // (FOLD * FOLD)) + -(-rows // FOLD)
+
+
+def _folded(items: DataFrame, group: list[str], seed: int, level: int) -> DataFrame:
+    """Each group's state after rounding along its items, large ones first."""
+    listed = F.sort_array(F.collect_list(F.struct(
+        (-F.col("_item.size")).alias("s"), F.col("_item.tag").alias("t"),
+        F.col("_item").alias("i"))))
+    return (items.groupBy(*group).agg(F.max("_left").alias("_left"), listed.alias("_list"))
+            .withColumn("_list", F.transform("_list", lambda x: x["i"]))
+            .select(*group, "_left", _fold(F.col("_list"), seed, level).alias("_state")))
+
+
 def sized(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
           source: str = "source") -> DataFrame:
     """What the mixing needs of documents: id, source, size in words and a hash of the text."""
