@@ -104,6 +104,8 @@ def copies(rows: DataFrame, source: str, size: str, by: list[Column], seed: int
     Only the given columns travel through the tree: project long texts away beforehand.
     """
     kept = rows.columns
+    # Read by the sums, the counts and the tree; counting words once is what costs.
+    rows = written(rows, "mixing")
     sizes = rows.groupBy(source).agg(F.sum(size).alias("source_size"))
     # One short row per source; the join's other side is matched by equality, null-safe.
     plan = targets(sizes.withColumnRenamed(source, "_source"), "_source", "source_size")
