@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotline.llm.common import fresh, lower_ascii, plain
+from depotline.session import written
 
 # Words of a contract's window, of a fingerprint's k-gram, and k-grams of which the least counts.
 # A shared span of SPAN words holds WINDOW k-grams, so both sides keep the same least one.
@@ -118,7 +119,8 @@ def contamination(documents: DataFrame, items: DataFrame, text: str = "text",
     ours = documents.select(F.md5(plain(text)).alias("key"), word_hashes(text).alias("hashes"))
     theirs = items.select(plain(F.col(item_id).cast("string")).alias("item"),
                           word_hashes(item_text).alias("hashes"))
-    found = hits(ours, theirs).distinct()
+    # Written, as both aggregates read it and the search must run once.
+    found = written(hits(ours, theirs).distinct(), "decontamination")
     words = (found.select("key", F.explode(F.sequence("first", "last")).alias("_word")).distinct()
              .groupBy("key").agg(F.count("*").alias("n_hit")))
     named = (found.select("key", "item").distinct().groupBy("key")
@@ -136,10 +138,11 @@ def judged(documents: DataFrame, items: DataFrame, share: int = 20, text: str =
     base = documents.drop("n_words", "n_hit", "n_items", "items", "contaminated", "_key")
     found = contamination(documents, items, text, item_text, item_id)
     n_words = F.size(F.array_remove(F.split(plain(text), BETWEEN), "")).cast("long")
-    joined = (base.withColumn("_key", F.md5(plain(text)))
+    # Counted before the join, so that a caller who needs no text moves none.
+    joined = (base.withColumn("n_words", n_words).withColumn("_key", F.md5(plain(text)))
               .join(found.withColumnRenamed("key", "_key"), "_key", "left").drop("_key"))
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
-    return (joined.withColumn("n_words", n_words).withColumn("n_hit", n_hit)
+    return (joined.withColumn("n_hit", n_hit)
             .withColumn("n_items", F.coalesce(F.col("n_items"), F.lit(0)).cast("long"))
             .withColumn("items", F.coalesce(F.col("items"), F.array().cast("array<string>")))
             .withColumn("contaminated",
@@ -150,7 +153,7 @@ def clean(documents: DataFrame, items: DataFrame, share: int = 20) -> DataFrame:
     """The documents that are not contaminated, with their own columns and no others."""
     key, = fresh(documents, "_key")
     found = contamination(documents, items)
-    words = F.size(F.array_remove(F.split(plain("text"), BETWEEN), "")).cast("long")
+    words = F.size(F.array_remove(F.split(plain("text"), BETWEEN), ""))
     bad = found.select(F.col("key").alias(key), F.col("n_hit").alias("_bad"))
     hit, = fresh(documents, "_hit")
     joined = documents.withColumn(key, F.md5(plain("text"))).join(
