@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotline.llm import decontamination, mixing, sharding
-from depotline.llm.common import plain
+from depotline.llm import (
+    decontamination,
+    mixing,
+    near_duplicates,
+    paragraphs,
+    ranking,
+    rules,
+    sharding,
+    toxicity,
+)
+from depotline.llm.common import id_remainder, plain
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,6 +74,61 @@ def op1_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         "contaminated")
 
 
+# Words are cut at ASCII white space only; lines with a word are told apart by their whole text.
+_RULES_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT k, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+grams AS (SELECT k, i, w[i : i + 2] AS g
+ FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3)),
+again AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, g) AS n FROM grams) WHERE n > 1),
+rep AS (SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY k),
+lines AS (SELECT k, count(*) - count(DISTINCT x) AS dup, count(*) AS n
+ FROM (SELECT k, unnest(string_split(t, chr(10))) AS x FROM d)
+ WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY k),
+b AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+  coalesce(lines.n, 0) AS n_lines, length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS capitals,
+  length(regexp_replace(t, '[^!]+', '', 'g')) AS shouts
+ FROM w LEFT JOIN rep USING (k) LEFT JOIN lines USING (k))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+ n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+ NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > n_words
+  OR 2 * n_dup_lines > n_lines OR 10 * capitals > 3 * word_chars OR 10 * shouts > 3 * n_words
+  OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words) AS kept
+FROM b"""
+
+
+@_query(_RULES_SQL)
+def op2_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and the cascade's verdict."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = rules.screened(docs, with_counts=True)
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                        "n_repeat_words", failed.alias("base_failed"), (~failed & F.col("kept")).alias("kept"))
+
+
+def _scores(found: DataFrame, threshold: float) -> DataFrame:
+    return found.select("doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "score",
+                        (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@_query()
+def op3_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _scores(ranking.scored(docs, _table(spark, sf_dir, "labels")), 0.5)
+
+
+@_query()
+def op6_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _scores(toxicity.scored(docs, _table(spark, sf_dir, "labels")), toxicity.THRESHOLD)
+
+
 @_query()
 def op4_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document; shards hold equal row counts up to one."""
@@ -85,3 +149,16 @@ def op7_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.copies(docs, "source", "size", by).select(
         "doc_id", "size", "source_size", "target",
         (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
+
+
+@_query()
+def op5_probminhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near copies of every document."""
+    return near_duplicates.near_duplicates(
+        _table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query()
+def op8_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs that repeat within or across documents."""
+    return paragraphs.repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
