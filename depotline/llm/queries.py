@@ -16,6 +16,7 @@ from depotline.llm import (
     rules,
     sharding,
     toxicity,
+    wrappers,
 )
 from depotline.llm.common import id_remainder, plain
 
@@ -162,3 +163,11 @@ def op5_probminhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFra
 def op8_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraphs that repeat within or across documents."""
     return paragraphs.repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query()
+def op10_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return wrappers.extracted(pages).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
