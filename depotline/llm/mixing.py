@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from depotline.llm.common import word_count
+from depotline.llm.common import fresh, word_count
 from depotline.session import written
 
 # Documents that one step of the reduction tree folds.
@@ -200,3 +200,21 @@ def sized(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """What the mixing needs of documents: id, source, size in words and a hash of the text."""
     return documents.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
                             word_count(text).alias("size"), F.xxhash64(text).alias("text_hash"))
+
+
+def mixed(documents: DataFrame, seed: int = 11) -> DataFrame:
+    """The documents as rows repeated by their copies, with their own columns.
+
+    Rows that are equal in all columns are interchangeable: their copies are added up and
+    spread over them as one.
+    """
+    key, copy = fresh(documents, "_key", "_copies")
+    keyed = documents.withColumn(key, F.md5(F.to_json(F.struct(*documents.columns))))
+    small = keyed.select(F.col(key).alias("key"), "source", word_count("text").alias("size"))
+    taken = (copies(small, "source", "size", [F.col("key")], seed).groupBy("key")
+             .agg(F.sum("copies").alias(copy)).filter(F.col(copy) > 0)
+             .withColumnRenamed("key", key))
+    # Equal rows as one, then repeated: both sides are dealt by the key, once.
+    return (keyed.dropDuplicates([key]).join(taken, key)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy).cast("int"))))
+            .select(*documents.columns))

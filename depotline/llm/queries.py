@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from depotline.llm import (
     decontamination,
+    language_model,
     mixing,
     near_duplicates,
     paragraphs,
@@ -165,6 +166,12 @@ def op8_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@_query()
+def op9_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document."""
+    return language_model.scored(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @_query()
 def op10_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
