@@ -35,7 +35,7 @@ def prob_minhash(grams: np.ndarray, weights: np.ndarray, of: np.ndarray, texts:
     winner = np.zeros(texts * REGISTERS, np.uint64)
     latest = np.full(texts, np.inf)
     time = np.zeros(len(grams))
-    turn = np.uint64(0)
+    turn = np.zeros(1, np.uint64)
     while len(grams):
         drawn = mixed(grams + turn * _GOLD)
         time = time - np.log(((drawn >> np.uint64(11)) + np.uint64(1)) * 2.0 ** -53) / weights
