@@ -1,4 +1,4 @@
-"""Links between similar texts: banded signatures, one comparison per bucket, exact check.
+"""Links between similar texts: banded signatures, few comparisons per bucket, exact check.
 
 The signatures come from the caller; candidates, the exact Jaccard check and the components
 are the same for whole documents and for paragraphs.
@@ -18,6 +18,8 @@ from depotline.llm.components import components
 from depotline.session import written
 
 SHINGLE = 5
+# Rounds in which buckets check their texts with one of them, at most.
+ROUNDS = 8
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -94,48 +96,71 @@ def _overlaps(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.mapInArrow(work, "a long, b long")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float, purpose: str) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, least: float, purpose: str) -> DataFrame:
     """The candidate pairs (a, b) that hold, as a written table."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    # One text per id; copies fold before the shuffle.
-    mine = texts.join(ids, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
-    sets = written(shingle_sets(mine), purpose)
-    return written(_overlaps(
-        pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
-        .join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b"), least), purpose)
+    left = sets.select(F.col("id").alias("a"), F.col("grams").alias("x"))
+    right = sets.select(F.col("id").alias("b"), F.col("grams").alias("y"))
+    return written(_overlaps(pairs.join(left, "a").join(right, "b"), least), purpose)
+
+
+def _open_buckets(crowded: DataFrame, classes: DataFrame | None, purpose: str) -> DataFrame:
+    """(band, id, class) of the buckets whose texts lie in more than one class."""
+    classed = crowded.withColumn("class", F.col("id")) if classes is None else crowded.join(
+        classes.withColumnRenamed("node", "id"), "id", "left").select(
+        "band", "id", F.coalesce("component", "id").alias("class"))
+    mixed_up = (classed.groupBy("band").agg(F.min("class").alias("x"), F.max("class").alias("y"))
+                .filter("x <> y").select("band"))
+    return written(classed.join(mixed_up, "band"), purpose)
+
+
+def _pairs_left(rows: DataFrame) -> tuple[int, int]:
+    """How many pairs of different classes the buckets hold, and how many rows."""
+    per_class = rows.groupBy("band", "class").agg(F.count("*").cast("double").alias("n"))
+    per_band = per_class.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") ** 2).alias("s"))
+    row = per_band.agg(F.sum((F.col("n") ** 2 - F.col("s")) / 2), F.sum("n")).first()
+    return int(row[0] or 0), int(row[1] or 0)
 
 
 def linked(bands: DataFrame, texts: DataFrame, least: float, purpose: str) -> DataFrame:
     """Classes of similar texts: (node, component) of every text that has a link.
 
     `bands` holds (band, id): a bucket and a text; `texts` holds (id, text), equal rows allowed.
-    First every text of a bucket is checked against the
-    bucket's least id, and what holds is grouped. Buckets whose texts then lie in one class
-    are done, however large. In the others, texts of different classes are checked with each
-    other, so that no candidate link between classes is left
-    out. Links inside a class cannot change the classes and are not looked for.
+    In each round every bucket names one of its texts, by a hash of text, bucket and round;
+    the texts of other classes are checked with it, and what holds joins classes. Buckets whose
+    texts all lie in one class are done, however large. Rounds go on while they are
+    cheaper than what they may save: until the buckets hold no more pairs across classes
+    than rows, or ROUNDS are over. Then all pairs across classes are checked. So no candidate
+    link between classes is left out; links inside a class cannot change the classes.
     """
     bands = bands.repartition("band")  # one shuffle serves the sums and the join
-    reps = (bands.groupBy("band").agg(F.min("id").alias("rep"), F.max("id").alias("_top"))
-            .filter("rep <> _top").drop("_top"))
-    crowded = written(bands.join(reps, "band").select("band", "id", "rep"), purpose)
-    stars = written(crowded.filter("id <> rep").select(
-        F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), purpose)
-    links = _verified(stars, texts, least, purpose)
-    first = written(components(links), purpose)
-
-    classed = crowded.join(first.withColumnRenamed("node", "id"), "id", "left").select(
-        "band", "id", F.coalesce("component", "id").alias("class"))
-    mixed_up = (classed.groupBy("band").agg(F.min("class").alias("x"), F.max("class").alias("y"))
-                .filter("x <> y").select("band"))
-    open_rows = written(classed.join(mixed_up, "band"), purpose)
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    across = (x.join(y, (F.col("x.band") == F.col("y.band"))
-                     & (F.col("x.class") < F.col("y.class")))
-              .select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b"))
-              .distinct())
-    across = written(across.join(stars, ["a", "b"], "left_anti"), purpose)
-    if across.isEmpty():
-        return first
-    more = _verified(across, texts, least, purpose)
-    return written(components(links.union(more)), purpose)
+    shared = (bands.groupBy("band").agg(F.min("id").alias("_low"), F.max("id").alias("_top"))
+              .filter("_low <> _top").select("band"))
+    crowded = written(bands.join(shared, "band"), purpose)
+    ids = crowded.select("id").distinct()
+    # One text per id; copies fold before the shuffle.
+    sets = written(shingle_sets(texts.join(ids, "id", "left_semi").groupBy("id").agg(
+        F.first("text").alias("text"))), purpose)
+    links, classes = None, None
+    for turn in range(ROUNDS + 1):
+        rows = _open_buckets(crowded, classes, purpose)
+        pairs, size = _pairs_left(rows)
+        if not pairs:
+            break
+        last = turn == ROUNDS or (turn and pairs <= size)
+        if last:
+            x, y = rows.alias("x"), rows.alias("y")
+            met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.class") < F.col("y.class")))
+            found = met.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b"))
+        else:
+            drawn = F.xxhash64("id", "band", F.lit(turn))
+            named = rows.groupBy("band").agg(F.min(F.struct(drawn.alias("h"), "id", "class")).alias("_rep"))
+            met = rows.join(named, "band").filter(F.col("class") != F.col("_rep.class"))
+            found = met.select(F.greatest("id", "_rep.id").alias("a"), F.least("id", "_rep.id").alias("b"))
+        new = _verified(found.distinct(), sets, least, purpose)
+        links = new if links is None else links.union(new)
+        classes = written(components(links), purpose)
+        if last:
+            break
+    if classes is None:
+        return crowded.select(F.col("id").alias("node"), F.col("id").alias("component")).limit(0)
+    return classes

@@ -2,12 +2,14 @@
 
 Strings are compared by their common subsequences of three letters, each weighted by DECAY to
 the power of the letters it spans, so an insult still matches with letters put in or left out.
-The unit is a word in lower case without accents; signs inside it are dropped, digits read as
-the letters they stand for, and letters standing alone in a row are joined.
+The unit is a word in lower case; signs inside it are dropped, digits read as
+the letters they stand for, runs of a letter shortened to two, and letters standing alone in
+a row are joined.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -22,15 +24,16 @@ from depotline.llm.common import SENTENCE_END, fresh
 from depotline.llm.training import labelled_sample
 
 # Bounds of the training sample: documents of each label, characters of a document.
-PER_CLASS, MOST_CHARS = 4_000, 4_000
-LANDMARKS = 192
+PER_CLASS, MOST_CHARS = 5_000, 4_000
+LANDMARKS = 160
 DECAY, SPAN = 0.6, 7
 THRESHOLD = 0.7
 LETTERS = 64
 # Digits and signs that stand for letters.
 STANDS_FOR = str.maketrans("013457@$", "oieastas")
+_RUN = re.compile(r"(.)\1{2,}")
 _PAIRS = [(p, q) for q in range(2, SPAN) for p in range(1, q)]
-CELLS = 400_000
+CELLS = 100_000
 
 
 def unit(word: str) -> str:
@@ -39,9 +42,9 @@ def unit(word: str) -> str:
     if not (word.isascii() and word.isalpha()):
         first = next((i for i, c in enumerate(word) if c.isalpha()), len(word))
         last = next((i for i in range(len(word), first, -1) if word[i - 1].isalpha()), first)
-        word = unicodedata.normalize("NFKD", word[first:last].translate(STANDS_FOR))
+        word = unicodedata.normalize("NFKC", word[first:last].translate(STANDS_FOR))
         word = "".join(c for c in word if c.isalpha())
-    return word
+    return _RUN.sub(r"\1\1", word)
 
 
 def joined_letters(words: list[str]) -> list[str]:
@@ -80,50 +83,64 @@ def _scale(lengths: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(total, 1e-12))
 
 
-def weigh_all(words: list[str], tables: list[np.ndarray]) -> np.ndarray:
-    """Inner products of every word's subsequences with tables of weights, over the word's norm."""
-    out = np.zeros((len(words), len(tables)), np.float32)
+def weigh_all(words: list[str], marks: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Kernel of every word with strings given by their subsequences (places, weights)."""
+    out = np.zeros((len(words), len(marks)), np.float32)
+    table = np.zeros(LETTERS ** 3, np.float32)
+    for part, cells in _cells(words):
+        scale = _scale(np.array([len(words[i]) for i in part]))
+        for t, (places, weights) in enumerate(marks):
+            table[places] = weights
+            total = sum(DECAY ** q * table[at].sum(axis=1) for q, at in cells)
+            out[part, t] = total / scale
+            table[places] = 0
+    return out
+
+
+def _cells(words: list[str]) -> Iterator[tuple[list[int], list[tuple[int, np.ndarray]]]]:
+    """Words of like lengths, with the places of their subsequences by last letter's distance."""
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
     start = 0
     while start < len(order):
         stop = start + 1
         while stop < len(order) and (stop + 1 - start) * len(words[order[stop]]) <= CELLS:
             stop += 1
-        part = order[start:stop]
-        codes = _codes([words[i] for i in part])
-        total = np.zeros((len(part), len(tables)), np.float32)
+        codes = _codes([words[i] for i in order[start:stop]])
         width = codes.shape[1]
-        for p, q in _PAIRS:
-            if width > q:
-                at = ((codes[:, :width - q] * LETTERS + codes[:, p:width - q + p]) * LETTERS
-                      + codes[:, q:])
-                for t, table in enumerate(tables):
-                    total[:, t] += DECAY ** q * table[at].sum(axis=1)
-        out[part] = total / _scale(np.array([len(words[i]) for i in part]))[:, None]
+        yield order[start:stop], [
+            (q, (codes[:, :width - q] * LETTERS + codes[:, p:width - q + p]) * LETTERS + codes[:, q:])
+            for p, q in _PAIRS if width > q]
         start = stop
-    return out
 
 
 def weigh(words: list[str], table: np.ndarray) -> np.ndarray:
-    """The same for one table."""
-    return weigh_all(words, [table])[:, 0]
+    """Inner product of every word's subsequences with a table of weights, over the word's norm."""
+    out = np.zeros(len(words))
+    for part, cells in _cells(words):
+        total = sum(DECAY ** q * table[at].sum(axis=1) for q, at in cells)
+        out[part] = total / _scale(np.array([len(words[i]) for i in part]))
+    return out
 
 
-def subsequences(word: str) -> np.ndarray:
-    """The table whose inner product with a word is the kernel with this one."""
-    table = np.zeros(LETTERS ** 3, np.float32)
+def subsequences(word: str) -> tuple[np.ndarray, np.ndarray]:
+    """Places and weights of a word's subsequences, over its norm."""
     codes = _codes([word])[0]
+    places, weights = [], []
     for p, q in _PAIRS:
         n = len(codes) - q
         if n > 0:
-            np.add.at(table, (codes[:n] * LETTERS + codes[p:n + p]) * LETTERS + codes[q:],
-                      DECAY ** q)
-    return table / _scale(np.array([len(word)]))[0]
+            places.append((codes[:n] * LETTERS + codes[p:n + p]) * LETTERS + codes[q:])
+            weights.append(np.full(n, DECAY ** q))
+    if not places:
+        return np.empty(0, np.int32), np.empty(0, np.float32)
+    at, kind = np.unique(np.concatenate(places), return_inverse=True)
+    scale = _scale(np.array([len(word)]))[0]
+    return at, (np.bincount(kind, np.concatenate(weights)) / scale).astype(np.float32)
 
 
 @dataclass
 class Model:
-    """f(word) = <subsequences of word, table> + bias; odds of a text = a * max f + b."""
+    """f(word) = <subsequences of word, table> + bias; odds of a text = a * min(max f, 1) + b."""
 
     table: np.ndarray
     bias: float
@@ -134,7 +151,7 @@ class Model:
         return weigh(words, self.table) + self.bias
 
     def probability(self, margin: float) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -40, 40))))
+        return float(1 / (1 + np.exp(-np.clip(self.slope * min(margin, 1.0) + self.offset, -40, 40))))
 
 
 def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
@@ -154,7 +171,6 @@ def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np
 def _landmarks(positive: list[str], negative: list[str]) -> list[str]:
     """Strings far from each other, picked one by one by the largest residual of the kernel."""
     pool = [*positive, *negative]
-    tables = {}
     residual = np.ones(len(pool))
     residual[:len(positive)] = 4.0  # positives first, where residuals are alike
     rows: list[np.ndarray] = []
@@ -163,8 +179,7 @@ def _landmarks(positive: list[str], negative: list[str]) -> list[str]:
         i = int(np.argmax(residual))
         if residual[i] < 1e-3:
             break
-        tables[i] = subsequences(pool[i])
-        row = weigh(pool, tables[i])
+        row = weigh_all(pool, [subsequences(pool[i])])[:, 0]
         for r in rows:
             row = row - r * r[i]
         row = row / np.sqrt(max(row[i], 1e-6))
@@ -225,8 +240,10 @@ def fit(sample: list[tuple[str, int]]) -> Model | None:
         y = np.concatenate([np.ones(len(toxic)), -np.ones(len(benign))])
         weight = np.concatenate([weights / weights.sum(), np.full(len(benign), 1 / len(benign))])
         w, bias = _squared_hinge(np.vstack([toxic, benign]), y, weight)
-        table = np.tensordot((root @ w).astype(np.float32), np.array(tables), 1)
-        model = Model(table.astype(np.float32), bias, 1.0, 0.0)
+        table = np.zeros(LETTERS ** 3, np.float32)
+        for weight_of, (places, weights_of) in zip(root @ w, tables, strict=True):
+            table[places] += np.float32(weight_of) * weights_of
+        model = Model(table, bias, 1.0, 0.0)
         if turn < 3:
             held = set(negative)
             hardest = [clean[i] for i in np.argsort(-model.scores(clean))[:1_500]]
@@ -251,6 +268,7 @@ def _calibrated(model: Model, sample: list[tuple[str, int]]) -> Model:
     scorer = _Scorer(model)
     m = np.concatenate([scorer.margins([t for t, _ in sample[i:i + 256]])
                         for i in range(0, len(sample), 256)])
+    m = np.minimum(m, 1.0)  # the margin that the machine aims at; beyond it nothing is learnt
     y = np.array([label for _, label in sample], float)
     weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
     a, b = 1.0, 0.0
@@ -264,6 +282,13 @@ def _calibrated(model: Model, sample: list[tuple[str, int]]) -> Model:
         a, b = a - move[0], b - move[1]
         if np.abs(move).max() < 1e-9:
             break
+    # Where the labels lie apart, even odds stand nearer to the toxic side: clean words that the
+    # sample lacks come closer to it than those that it holds.
+    low, high = np.quantile(m[y == 0], 0.995), np.quantile(m[y == 1], 0.02)
+    if high > low + 0.1:
+        middle = low + 0.75 * (high - low)
+        a = np.log(19) / (high - middle)
+        b = -a * middle
     return Model(model.table, model.bias, float(max(a, 0.0)), float(b))
 
 
