@@ -19,7 +19,9 @@ from depotline.session import written
 
 SHINGLE = 5
 # Rounds in which buckets check their texts with one of them, at most.
-ROUNDS = 8
+ROUNDS = 3
+# Texts of a bucket in one block of the check of all pairs.
+BLOCK = 400
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -103,6 +105,56 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float, purpose: str) ->
     return written(_overlaps(pairs.join(left, "a").join(right, "b"), least), purpose)
 
 
+def _across(rows: DataFrame, sets: DataFrame, least: float, purpose: str) -> DataFrame:
+    """Links (a, b) between texts of one bucket and different classes, all of them checked.
+
+    A bucket's texts are dealt into blocks of about BLOCK by hash, and every pair of blocks is a
+    group: a task holds two blocks, however large the bucket, and no pair becomes a row unless
+    it is a link.
+    """
+    sizes = rows.groupBy("band").agg(F.count("*").alias("_n"))
+    blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
+    dealt = (rows.join(sizes, "band").withColumn("_blocks", blocks)
+             .withColumn("_own", F.pmod(F.xxhash64("id", F.lit(1)), F.col("_blocks")).cast("int"))
+             .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+             .select("band", "id", "class", "_own", F.least("_own", "_other").alias("_i"),
+                     F.greatest("_own", "_other").alias("_j"))
+             .join(sets, "id"))
+
+    def work(table: pa.Table) -> pa.Table:
+        ids = table["id"].to_numpy()
+        classes = table["class"].to_numpy()
+        own = table["_own"].to_numpy()
+        lists = table["grams"].combine_chunks()
+        offsets = np.asarray(lists.offsets)
+        flat = lists.values.to_numpy()
+        lengths = np.diff(offsets)
+        a, b = [], []
+        inner = table["_i"][0].as_py() == table["_j"][0].as_py()
+        for k in range(len(ids)):
+            mine = flat[offsets[k]:offsets[k + 1]]
+            # Each pair once: within a block by id, between blocks from the first one.
+            if not len(mine) or (not inner and own[k] != table["_i"][0].as_py()):
+                continue
+            other = (classes != classes[k]) & (lengths > 0) & (
+                (ids < ids[k]) if inner else (own != own[k]))
+            other &= (lengths >= least * len(mine)) & (least * lengths <= len(mine))
+            at = np.flatnonzero(other)
+            if not len(at):
+                continue
+            theirs = np.concatenate([flat[offsets[i]:offsets[i + 1]] for i in at])
+            place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+            starts = np.concatenate([[0], np.cumsum(lengths[at])[:-1]])
+            same = np.add.reduceat((mine[place] == theirs).astype(np.int64), starts)
+            hit = at[same >= least * (len(mine) + lengths[at] - same)]
+            a += [ids[k]] * len(hit)
+            b += ids[hit].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return written(dealt.groupBy("band", "_i", "_j").applyInArrow(work, "a long, b long").distinct(),
+                   purpose)
+
+
 def _open_buckets(crowded: DataFrame, classes: DataFrame | None, purpose: str) -> DataFrame:
     """(band, id, class) of the buckets whose texts lie in more than one class."""
     classed = crowded.withColumn("class", F.col("id")) if classes is None else crowded.join(
@@ -148,15 +200,13 @@ def linked(bands: DataFrame, texts: DataFrame, least: float, purpose: str) -> Da
             break
         last = turn == ROUNDS or (turn and pairs <= size)
         if last:
-            x, y = rows.alias("x"), rows.alias("y")
-            met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.class") < F.col("y.class")))
-            found = met.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b"))
+            new = _across(rows, sets, least, purpose)
         else:
             drawn = F.xxhash64("id", "band", F.lit(turn))
             named = rows.groupBy("band").agg(F.min(F.struct(drawn.alias("h"), "id", "class")).alias("_rep"))
             met = rows.join(named, "band").filter(F.col("class") != F.col("_rep.class"))
             found = met.select(F.greatest("id", "_rep.id").alias("a"), F.least("id", "_rep.id").alias("b"))
-        new = _verified(found.distinct(), sets, least, purpose)
+            new = _verified(found.distinct(), sets, least, purpose)
         links = new if links is None else links.union(new)
         classes = written(components(links), purpose)
         if last:
