@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from depotline import pipelines
 from depotline.functions.times import run_time
 from depotline.operators import marts
-from depotline.operators.history import scd2
-from depotline.schemas import EXTRACTED, SNAPSHOTS
+from depotline.operators.history import latest_version, scd2
+from depotline.schemas import EXTRACTED, LOADED_AT, SNAPSHOTS
 from depotline.sources import versions
 from depotline.state import journal
 
@@ -27,8 +27,15 @@ Builder = Callable[[Frames], DataFrame]
 # What a company is known by over time.
 TRACKED = ["company_name", "company_type", "rating", "country", "city", "address"]
 
+
+def company_history(staged: DataFrame) -> DataFrame:
+    """Of versions with one stamp the one loaded last counts, as for the newest row."""
+    single = latest_version(staged, ["company_id", "updated_at"], [LOADED_AT])
+    return scd2(single, ["company_id"], "updated_at", TRACKED)
+
+
 WAREHOUSE: dict[str, Builder] = {
-    "dim_companies": lambda t: scd2(t["company_versions"], ["company_id"], "updated_at", TRACKED),
+    "dim_companies": lambda t: company_history(t["company_versions"]),
     "dim_customers": lambda t: marts.dim_customers(t["customers"], t["companies"]),
     "dim_suppliers": lambda t: marts.dim_suppliers(t["suppliers"], t["companies"]),
     "dim_products": lambda t: marts.dim_products(t["products"], t["categories"]),

@@ -1,30 +1,24 @@
 """Versions of a row over time.
 
-Versions are ordered per key. A key may own a large part of all of them, so keys
-with very many versions are cut into hours or minutes: work runs per key and slice
-of time, and only one row per slice is carried to the next. All other keys are one
-piece and take one shuffle.
+Versions are ordered per key. A key may own a large part of all of them, so the rows
+are cut into ranges of key and time, whoever owns them: work runs per part, and one row
+per part is carried to the next.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depotline.functions.times import at as moment
+from depotline.session import written
 
-# A key with more versions than this is cut into hours, with a hundred times as many
-# into minutes.
-HOT_VERSIONS = 5_000_000
-# At most this many keys are looked up by broadcast; the most frequent are taken.
-# Which keys are cut decides where rows are sorted, never what comes out.
-MOST_CUT_KEYS = 10_000
-
-_SLICE = "_slice"
-_CUT = "_cut"
+_PART = "_part"
 
 
 def latest_version(rows: DataFrame, key: Sequence[str], newest: Sequence[str]) -> DataFrame:
@@ -39,48 +33,58 @@ def latest_version(rows: DataFrame, key: Sequence[str], newest: Sequence[str]) -
     return rows.groupBy(*key).agg(packed).select(*key, "_row.*").select(*rows.columns)
 
 
-def _sliced(rows: DataFrame, counted: DataFrame, key: Sequence[str], at: str,
-            hot: int) -> DataFrame:
-    """Add the slice a row is worked on in; sorted by slice and time a key is in order.
+def _parted(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows in parts of like size that follow each other in ``order``, numbered in it.
 
-    ``counted`` are the rows whose number per key decides; only their key is read.
+    A key with many versions, NULL included, spans as many parts as it needs. The parts are
+    a written table, so that a repeated task finds the same ones.
     """
-    counts = counted.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot)
-    # Digits of a written time stamp up to the hour or the minute.
-    digits = F.when(F.col("_n") > 100 * hot, 16).otherwise(13).alias(_CUT)
-    cut = counts.orderBy(F.desc("_n"), *key).limit(MOST_CUT_KEYS).select(*key, digits)
-    return rows.join(F.broadcast(cut), list(key), "left").withColumn(
-        _SLICE, F.coalesce(F.substring(F.col(at).cast("string"), F.lit(1), F.col(_CUT)),
-                           F.lit("")))
+    ranged = rows.repartitionByRange(*order).withColumn(_PART, F.spark_partition_id())
+    return written(ranged, "history")
 
 
-def _with_previous(sliced: DataFrame, key: Sequence[str], at: str,
-                   values: Sequence[str]) -> DataFrame:
-    inside = Window.partitionBy(*key, _SLICE).orderBy(at, *values)
-    across = Window.partitionBy(*key).orderBy(_SLICE)
-    last = F.max(F.struct(at, *values))
-    carried = (
-        sliced.where(F.col(_CUT).isNotNull()).groupBy(*key, _SLICE).agg(last.alias("_last"))
-        .withColumn("_last", F.struct(*[F.col(f"_last.{v}").alias(v) for v in values]))
-        .select(*key, _SLICE, F.lag("_last").over(across).alias("_carried"))
-    )
-    return (
-        sliced.withColumn("_before", F.lag(F.struct(*values)).over(inside))
-        .join(carried, [*key, _SLICE], "left")
-        .withColumn("previous", F.coalesce("_before", "_carried"))
-        .drop("_before", "_carried")
-    )
+def _same_key(held: str, key: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(f"{held}.{k}").eqNullSafe(F.col(k)) for k in key])
+
 
+def _carried(parted: DataFrame, key: Sequence[str], row: Column, forward: bool) -> DataFrame:
+    """Per part the row of its outermost key that lies next to it in the parts before or after.
 
-def with_previous(rows: DataFrame, key: Sequence[str], at: str, values: Sequence[str],
-                  hot: int = HOT_VERSIONS) -> DataFrame:
+    A part asks for one row and gives one, so a key meets two small rows per part.
+    """
+    given, wanted = (F.max(row), F.min(row)) if forward else (F.min(row), F.max(row))
+    ends = parted.groupBy(_PART).agg(given.alias("_given"), wanted.alias("_wanted"))
+    sides = ends.select(_PART, F.explode(F.array(
+        F.struct(F.lit(False).alias("gives"), F.col("_wanted").alias("row")),
+        F.struct(F.lit(True).alias("gives"), F.col("_given").alias("row")))).alias("_side"))
+    turn = F.col(_PART) if forward else -F.col(_PART)
+    before = (Window.partitionBy(*[F.col(f"_side.row.{k}") for k in key])
+              .orderBy(turn, "_side.gives").rowsBetween(Window.unboundedPreceding, -1))
+    nearest = F.last(F.when(F.col("_side.gives"), F.col("_side.row")), ignorenulls=True)
+    return (sides.withColumn("_carried", nearest.over(before))
+            .where(~F.col("_side.gives")).select(_PART, "_carried"))
+
+
+def _with_previous(parted: DataFrame, key: Sequence[str], at: str,
+                   values: Sequence[str]) -> DataFrame:
+    row = F.struct(*key, at, *values)
+    inside = Window.partitionBy(_PART).orderBy(*key, at, *values)
+    before = parted.withColumn("_before", F.lag(row).over(inside)).join(
+        _carried(parted, key, row, forward=True), _PART).withColumn(
+        "_before", F.coalesce("_before", "_carried"))
+    previous = F.struct(*[F.col(f"_before.{v}").alias(v) for v in values])
+    found = F.col("_before").isNotNull() & _same_key("_before", key)
+    return before.withColumn("previous", F.when(found, previous)).drop("_before", "_carried")
+
+
+def with_previous(rows: DataFrame, key: Sequence[str], at: str,
+                  values: Sequence[str]) -> DataFrame:
     """Add ``previous``: a struct of ``values`` of the version before, NULL for the first."""
-    found = _with_previous(_sliced(rows, rows, key, at, hot), key, at, values)
+    found = _with_previous(_parted(rows, [*key, at, *values]), key, at, values)
     return found.select(*rows.columns, "previous")
 
 
-def scd2(rows: DataFrame, key: Sequence[str], at: str, tracked: Sequence[str],
-         hot: int = HOT_VERSIONS) -> DataFrame:
+def scd2(rows: DataFrame, key: Sequence[str], at: str, tracked: Sequence[str]) -> DataFrame:
     """History of the tracked columns: ``valid_from``, ``valid_to`` (open end), ``is_current``.
 
     Versions at the same instant count as one, the greatest by the tracked
@@ -88,38 +92,30 @@ def scd2(rows: DataFrame, key: Sequence[str], at: str, tracked: Sequence[str],
     """
     greatest = F.max(F.struct(*tracked)).alias("_state")
     folded = rows.groupBy(*key, at).agg(greatest).select(*key, at, "_state.*")
-    single = _sliced(folded, rows, key, at, hot)
-    starts = _with_previous(single, key, at, tracked)
+    starts = _with_previous(_parted(folded, [*key, at]), key, at, tracked)
     same = F.col("previous").eqNullSafe(F.struct(*tracked))
     starts = starts.where(F.col("previous").isNull() | ~same).drop("previous")
 
-    inside = Window.partitionBy(*key, _SLICE).orderBy(at)
-    across = Window.partitionBy(*key).orderBy(_SLICE)
-    following = (
-        starts.where(F.col(_CUT).isNotNull()).groupBy(*key, _SLICE).agg(F.min(at).alias("_first"))
-        .select(*key, _SLICE, F.lead("_first").over(across).alias("_following"))
-    )
-    return (
-        starts.withColumn("_next", F.lead(at).over(inside))
-        .join(following, [*key, _SLICE], "left")
-        .withColumn("valid_to", F.coalesce("_next", "_following"))
-        .select(
-            *key, *tracked, F.col(at).alias("valid_from"), "valid_to",
-            F.col("valid_to").isNull().alias("is_current"),
-        )
-    )
+    row = F.struct(*key, at)
+    inside = Window.partitionBy(_PART).orderBy(*key, at)
+    after = starts.withColumn("_after", F.lead(row).over(inside)).join(
+        _carried(starts, key, row, forward=False), _PART).withColumn(
+        "_after", F.coalesce("_after", "_carried"))
+    end = F.when(F.col("_after").isNotNull() & _same_key("_after", key), F.col(f"_after.{at}"))
+    return after.withColumn("valid_to", end).select(
+        *key, *tracked, F.col(at).alias("valid_from"), "valid_to",
+        F.col("valid_to").isNull().alias("is_current"))
 
 
 def refresh_scd2(history: DataFrame, versions: DataFrame, touched: DataFrame,
-                 key: Sequence[str], at: str, tracked: Sequence[str],
-                 hot: int = HOT_VERSIONS) -> DataFrame:
+                 key: Sequence[str], at: str, tracked: Sequence[str]) -> DataFrame:
     """Rebuild the history of the touched keys from all their versions, keep the rest.
 
     Versions may arrive late, in the middle of a history, hence the rebuild.
     """
     keys = touched.select(*key).distinct()
     kept = history.join(keys, list(key), "left_anti")
-    rebuilt = scd2(versions.join(keys, list(key), "left_semi"), key, at, tracked, hot)
+    rebuilt = scd2(versions.join(keys, list(key), "left_semi"), key, at, tracked)
     return kept.unionByName(rebuilt)
 
 
@@ -130,10 +126,9 @@ def as_of(history: DataFrame, when: datetime) -> DataFrame:
     return history.where((F.col("valid_from") <= then) & open_or_later)
 
 
-def steps(rows: DataFrame, key: Sequence[str], at: str, status: str,
-          hot: int = HOT_VERSIONS) -> DataFrame:
+def steps(rows: DataFrame, key: Sequence[str], at: str, status: str) -> DataFrame:
     """Every change from one version to the next: key, at, ``from_status``, ``to_status``."""
-    before = with_previous(rows.select(*key, at, status), key, at, [status], hot)
+    before = with_previous(rows.select(*key, at, status), key, at, [status])
     return before.where(F.col("previous").isNotNull()).select(
         *key, at,
         F.col(f"previous.{status}").alias("from_status"),
@@ -142,8 +137,7 @@ def steps(rows: DataFrame, key: Sequence[str], at: str, status: str,
 
 
 def illegal_steps(rows: DataFrame, key: Sequence[str], at: str, status: str,
-                  allowed: Mapping[str, Sequence[str]],
-                  hot: int = HOT_VERSIONS) -> DataFrame:
+                  allowed: Mapping[str, Sequence[str]]) -> DataFrame:
     """Steps that are neither a repeat nor allowed."""
     pairs = [
         part
@@ -154,4 +148,4 @@ def illegal_steps(rows: DataFrame, key: Sequence[str], at: str, status: str,
     legal = (F.col("from_status") == F.col("to_status")) | F.coalesce(
         F.array_contains(targets, F.col("to_status")), F.lit(False)
     )
-    return steps(rows, key, at, status, hot).where(~legal)
+    return steps(rows, key, at, status).where(~legal)

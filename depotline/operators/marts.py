@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from depotline.functions.numbers import ratio
 from depotline.functions.times import day_of, month_of
+from depotline.operators.aggregates import union_all
 
 CANCELLED = "Cancelled"
 
@@ -49,27 +50,32 @@ def dim_suppliers(suppliers: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def placed_items(items: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Items with the supplier and product their supplier-product pair stands for."""
+    """Items with the supplier and product their pair stands for, NULL for an unknown pair."""
     pairs = mapping.select("supplier_product_id", "supplier_id", "product_id")
-    return items.join(pairs, "supplier_product_id")
+    return items.join(pairs, "supplier_product_id", "left")
 
 
 def sales_fact(orders: DataFrame, items: DataFrame, item_key: str = "order_item_id") -> DataFrame:
-    """One row per item with its order's keys, date and status; cancelled ones are marked."""
+    """One row per item with its order's keys, date and status.
+
+    Items of cancelled orders and of none are kept and are no revenue.
+    """
     heads = orders.select("order_id", "customer_id", "company_id", "order_date", "order_status")
     lines = items.select("order_id", item_key, "supplier_id", "product_id", "quantity",
                          "line_total")
-    return lines.join(heads, "order_id").withColumn(
-        "is_revenue", F.col("order_status") != CANCELLED)
+    return lines.join(heads, "order_id", "left").withColumn(
+        "is_revenue", F.coalesce(F.col("order_status") != CANCELLED, F.lit(False)))
 
 
 def order_fact(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per order that has items, with their ``amount`` and ``units``."""
+    """One row per order with the ``amount`` and ``units`` of its items, zero without any."""
     sums = items.groupBy("order_id").agg(
         F.sum("line_total").alias("amount"), F.sum("quantity").alias("units"))
     heads = orders.select("order_id", "customer_id", "company_id", "order_date", "order_status")
-    return heads.join(sums, "order_id").withColumn(
-        "is_revenue", F.col("order_status") != CANCELLED)
+    zero = F.lit(0)
+    return (heads.join(sums, "order_id", "left")
+            .withColumns({c: F.coalesce(c, zero) for c in ("amount", "units")})
+            .withColumn("is_revenue", F.coalesce(F.col("order_status") != CANCELLED, F.lit(False))))
 
 
 def revenue_by_month(placed: DataFrame) -> DataFrame:
@@ -80,7 +86,7 @@ def revenue_by_month(placed: DataFrame) -> DataFrame:
 def revenue_by_country(placed: DataFrame, companies: DataFrame) -> DataFrame:
     per_company = placed.where("is_revenue").groupBy("company_id").agg(
         F.sum("amount").alias("amount"), counted("orders"))
-    return per_company.join(companies.select("company_id", "country"), "company_id").groupBy(
+    return per_company.join(companies.select("company_id", "country"), "company_id", "left").groupBy(
         "country").agg(F.sum("amount").alias("revenue"), F.sum("orders").alias("orders"))
 
 
@@ -92,10 +98,19 @@ def revenue_by_product(sales: DataFrame) -> DataFrame:
 def revenue_by_category(sales: DataFrame, products: DataFrame,
                         categories: DataFrame) -> DataFrame:
     named = dim_products(products, categories).select("product_id", "category_name")
-    return revenue_by_product(sales).join(named, "product_id").groupBy("category_name").agg(
+    return revenue_by_product(sales).join(named, "product_id", "left").groupBy("category_name").agg(
         F.sum("revenue").alias("revenue"), F.sum("units").alias("units"), counted("products"))
 
 
+def revenue_reconciliation(month: DataFrame, country: DataFrame, category: DataFrame,
+                           product: DataFrame, supplier: DataFrame) -> DataFrame:
+    """Total revenue by each figure; the totals are equal."""
+    views = {"month": month, "country": country, "category": category, "product": product,
+             "supplier": supplier}
+    return union_all([rows.agg(F.sum("revenue").alias("revenue")).select(
+        F.lit(name).alias("figure"), "revenue") for name, rows in views.items()])
+
+
 def average_order_value(placed: DataFrame) -> DataFrame:
     """One row: orders, revenue and revenue per order, cancelled ones left out."""
     sums = placed.where("is_revenue").agg(counted("orders"), F.sum("amount").alias("revenue"))
@@ -160,11 +175,14 @@ def lead_conversion_rate(leads: DataFrame, orders: DataFrame, by: str) -> DataFr
 
 
 def supplier_performance(sales: DataFrame, suppliers: DataFrame) -> DataFrame:
-    """Revenue, units, items and distinct products per supplier, cancelled orders left out."""
+    """Revenue, units, items and distinct products per supplier, cancelled orders left out.
+
+    Suppliers without sales and sales of unknown suppliers are kept.
+    """
     per_product = sales.where("is_revenue").groupBy("supplier_id", "product_id").agg(
         F.sum("line_total").alias("amount"), F.sum("quantity").alias("units"), counted("items"))
     per_supplier = per_product.groupBy("supplier_id").agg(
         F.sum("amount").alias("revenue"), F.sum("units").alias("units"),
         F.sum("items").alias("items"), counted("products"))
     return suppliers.select("supplier_id", "supplier_name").join(
-        per_supplier, "supplier_id", "left")
+        per_supplier, "supplier_id", "full")

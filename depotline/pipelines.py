@@ -96,26 +96,29 @@ def run_extract(spark: SparkSession, source: Source, root: str,
                 gate: Callable[[str, DataFrame], None] | None = None) -> str:
     """Extract what changed since the last run, append it to staging, move the marks.
 
-    Each table has its own mark. ``gate`` may inspect a table's new rows and raise
-    before they are written.
+    Each table has its own mark, saved as soon as the table is loaded. ``until`` bounds the
+    stamps, by default the start of the run. ``gate`` may inspect a table's new rows and
+    raise before they are written.
     """
     started = clock()
     run_id = journal.start_run(spark, root, pipeline, started)
     done: dict[str, Load] = {}
+    new: dict[str, datetime | None] = {}
     try:
         old = journal.read_marks(spark, root, pipeline)
-        fresh = {t: extract(spark, source, t, old.get(t), until) for t in tables}
+        bound = started if until is None else until
+        fresh = {t: extract(spark, source, t, old.get(t), bound) for t in tables}
         if gate is not None:
             for table, rows in fresh.items():
                 gate(table, rows)
 
         def load(table: str, rows: DataFrame) -> int:
             done[table] = load_table(rows, root, table, started)
+            new[table] = journal.later_mark(old.get(table), done[table].latest)
+            journal.save_marks(spark, root, pipeline, run_id, started, old, {table: new[table]})
             return done[table].loaded
 
         route(fresh, tables, load)
-        new = {t: journal.later_mark(old.get(t), result.latest) for t, result in done.items()}
-        journal.save_marks(spark, root, pipeline, run_id, started, old, new)
         used = max((m for m in new.values() if m is not None), default=None)
         _end(spark, root, run_id, pipeline, clock(), done, used, "completed")
     except Exception as error:

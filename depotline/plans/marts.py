@@ -113,8 +113,8 @@ def dim_suppliers(spark: SparkSession, folder: str) -> DataFrame:
 @query(with_views("shop_orders order_items", """
 SELECT order_id, line_number, supplier_id, product_id, quantity,
        CAST(line_total AS DOUBLE) AS line_total, customer_id, company_id, order_date,
-       order_status, order_status <> 'Cancelled' AS is_revenue
-FROM order_items JOIN shop_orders USING (order_id)"""))
+       order_status, coalesce(order_status <> 'Cancelled', false) AS is_revenue
+FROM order_items LEFT JOIN shop_orders USING (order_id)"""))
 def sales_fact(spark: SparkSession, folder: str) -> DataFrame:
     return _sales(spark, folder).withColumn("line_total", F.col("line_total").cast("double"))
 
@@ -122,12 +122,17 @@ def sales_fact(spark: SparkSession, folder: str) -> DataFrame:
 _SOLD = {"sold": "SELECT * FROM order_items JOIN (SELECT order_id, customer_id, company_id, "
                  "order_date FROM shop_orders WHERE order_status <> 'Cancelled') "
                  "USING (order_id)"}
+_PLACED = {"placed": "SELECT * FROM (SELECT order_id, customer_id, company_id, order_date "
+                     "FROM shop_orders WHERE order_status <> 'Cancelled') LEFT JOIN "
+                     "(SELECT order_id, sum(line_total) AS line_total, sum(quantity) AS quantity "
+                     "FROM order_items GROUP BY 1) USING (order_id)"}
 
 
 @query(with_views("shop_orders order_items", """
-SELECT strftime(order_date, '%Y-%m') AS month, CAST(sum(line_total) AS DOUBLE) AS revenue,
-       CAST(sum(quantity) AS BIGINT) AS units, count(DISTINCT order_id) AS orders
-FROM sold GROUP BY 1""", **_SOLD))
+SELECT strftime(order_date, '%Y-%m') AS month,
+       CAST(coalesce(sum(line_total), 0) AS DOUBLE) AS revenue,
+       CAST(coalesce(sum(quantity), 0) AS BIGINT) AS units, count(*) AS orders
+FROM placed GROUP BY 1""", **_PLACED))
 def revenue_by_month(spark: SparkSession, folder: str) -> DataFrame:
     found = marts.revenue_by_month(_placed(spark, folder))
     return found.select("month", *as_double("revenue"), "units", "orders")
@@ -136,7 +141,7 @@ def revenue_by_month(spark: SparkSession, folder: str) -> DataFrame:
 @query(with_views("shop_orders order_items products categories", """
 SELECT category_name, CAST(sum(line_total) AS DOUBLE) AS revenue,
        CAST(sum(quantity) AS BIGINT) AS units, count(DISTINCT product_id) AS products
-FROM sold JOIN products USING (product_id) JOIN categories USING (category_id) GROUP BY 1
+FROM sold LEFT JOIN products USING (product_id) LEFT JOIN categories USING (category_id) GROUP BY 1
 """, **_SOLD))
 def revenue_by_category(spark: SparkSession, folder: str) -> DataFrame:
     found = marts.revenue_by_category(
@@ -153,8 +158,8 @@ def revenue_by_product(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(with_views("shop_orders order_items companies", """
-SELECT country, CAST(sum(line_total) AS DOUBLE) AS revenue, count(DISTINCT order_id) AS orders
-FROM sold JOIN companies USING (company_id) GROUP BY 1""", **_SOLD))
+SELECT country, CAST(coalesce(sum(line_total), 0) AS DOUBLE) AS revenue, count(*) AS orders
+FROM placed LEFT JOIN companies USING (company_id) GROUP BY 1""", **_PLACED))
 def revenue_by_country(spark: SparkSession, folder: str) -> DataFrame:
     found = marts.revenue_by_country(
         _placed(spark, folder), *shop.load(spark, folder, "companies"))
@@ -162,9 +167,9 @@ def revenue_by_country(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(with_views("shop_orders order_items", """
-SELECT count(DISTINCT order_id) AS orders, CAST(sum(line_total) AS DOUBLE) AS revenue,
-       CAST(sum(line_total) AS DOUBLE) / count(DISTINCT order_id) AS average_order_value
-FROM sold""", **_SOLD))
+SELECT count(*) AS orders, CAST(sum(line_total) AS DOUBLE) AS revenue,
+       CAST(sum(line_total) AS DOUBLE) / count(*) AS average_order_value
+FROM placed""", **_PLACED))
 def average_order_value(spark: SparkSession, folder: str) -> DataFrame:
     found = marts.average_order_value(_placed(spark, folder))
     return found.select("orders", *as_double("revenue"), "average_order_value")
@@ -174,8 +179,8 @@ def average_order_value(spark: SparkSession, folder: str) -> DataFrame:
 SELECT customer_id, count(DISTINCT order_id) AS orders,
        CAST(coalesce(sum(line_total), 0) AS DOUBLE) AS revenue,
        min(order_date) AS first_order, max(order_date) AS last_order
-FROM customers LEFT JOIN (SELECT customer_id, order_id, line_total, order_date FROM sold)
-     USING (customer_id) GROUP BY 1""", **_SOLD))
+FROM customers LEFT JOIN (SELECT customer_id, order_id, line_total, order_date FROM placed)
+     USING (customer_id) GROUP BY 1""", **_PLACED))
 def customer_lifetime_value(spark: SparkSession, folder: str) -> DataFrame:
     found = marts.customer_lifetime_value(
         *shop.load(spark, folder, "customers"), _placed(spark, folder))
@@ -240,7 +245,7 @@ def lead_conversion_rate(spark: SparkSession, folder: str) -> DataFrame:
 SELECT supplier_id, supplier_name, CAST(sum(line_total) AS DOUBLE) AS revenue,
        CAST(sum(quantity) AS BIGINT) AS units, nullif(count(product_id), 0) AS items,
        nullif(count(DISTINCT product_id), 0) AS products
-FROM suppliers LEFT JOIN sold USING (supplier_id) GROUP BY 1, 2""", **_SOLD))
+FROM suppliers FULL JOIN sold USING (supplier_id) GROUP BY 1, 2""", **_SOLD))
 def supplier_performance(spark: SparkSession, folder: str) -> DataFrame:
     found = marts.supplier_performance(
         _sales(spark, folder), *shop.load(spark, folder, "suppliers"))
@@ -277,10 +282,26 @@ def pipeline_run_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(with_views("shop_orders order_items", """
 SELECT order_id, customer_id, company_id, order_date, order_status,
-       CAST(amount AS DOUBLE) AS amount, CAST(units AS BIGINT) AS units,
+       CAST(coalesce(amount, 0) AS DOUBLE) AS amount, CAST(coalesce(units, 0) AS BIGINT) AS units,
        order_status <> 'Cancelled' AS is_revenue
-FROM shop_orders JOIN sums USING (order_id)
+FROM shop_orders LEFT JOIN sums USING (order_id)
 """, sums="SELECT order_id, sum(line_total) AS amount, sum(quantity) AS units "
           "FROM order_items GROUP BY 1"))
 def order_fact(spark: SparkSession, folder: str) -> DataFrame:
     return _placed(spark, folder).withColumn("amount", F.col("amount").cast("double"))
+
+
+@query(with_views("shop_orders order_items", """
+SELECT figure, CAST(sum(line_total) AS DOUBLE) AS revenue
+FROM sold, (SELECT unnest(['month', 'country', 'category', 'product', 'supplier']) AS figure)
+GROUP BY 1""", **_SOLD))
+def revenue_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
+    """The figures' totals, which add up to the same revenue."""
+    placed, sales = _placed(spark, folder), _sales(spark, folder)
+    companies, products, categories, suppliers = shop.load(
+        spark, folder, "companies", "products", "categories", "suppliers")
+    found = marts.revenue_reconciliation(
+        marts.revenue_by_month(placed), marts.revenue_by_country(placed, companies),
+        marts.revenue_by_category(sales, products, categories), marts.revenue_by_product(sales),
+        marts.supplier_performance(sales, suppliers))
+    return found.select("figure", *as_double("revenue"))

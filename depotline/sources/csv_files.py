@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,12 +40,17 @@ def require_rows(rows: DataFrame, name: str) -> DataFrame:
     return rows
 
 
+def _whole(rows: DataFrame) -> Column:
+    """Always true, and needs every column: a line is judged whole, whatever is selected later."""
+    return F.xxhash64(*[c for c in rows.columns if c != CORRUPT]) >= F.lit(-2**63)
+
+
 def good_lines(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return rows.where(F.col(CORRUPT).isNull() & _whole(rows)).drop(CORRUPT)
 
 
 def bad_lines(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col(CORRUPT).isNotNull())
+    return rows.where(F.col(CORRUPT).isNotNull() & _whole(rows))
 
 
 def write_csv(rows: DataFrame, path: str, append: bool = False) -> None:

@@ -23,7 +23,7 @@ def _target(root: str, table: str) -> str:
 
 
 def _rejects(root: str, table: str) -> str:
-    return f"{root}/rejects/{table}"
+    return f"{root}/arrivals_rejects/{table}"
 
 
 def take_in(spark: SparkSession, folder: str, root: str, table: str,

@@ -50,17 +50,26 @@ def brute_history(rows):
     return result
 
 
+@pytest.fixture
+def many_parts(spark):
+    """Parts are not merged, however small."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, before)
+
+
 @pytest.fixture
 def frame(spark):
     return lambda rows: spark.createDataFrame(
         rows, "id INT, at TIMESTAMP_NTZ, grade STRING, size INT")
 
 
-# Cut every key, only the hot one, none.
-@pytest.mark.parametrize("seed, hot", [(1, 0), (2, 100), (3, 10**6)])
-def test_scd2_equals_brute_force(frame, seed, hot):
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_scd2_equals_brute_force(frame, many_parts, seed):
     rows = versions(seed)
-    got = history.scd2(frame(rows), ["id"], "at", ["grade", "size"], hot).collect()
+    got = history.scd2(frame(rows), ["id"], "at", ["grade", "size"]).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_history(rows)))
 
 
@@ -93,21 +102,34 @@ def test_refresh_after_late_versions_equals_a_full_build(frame):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, brute_history(rows)))
 
 
-@pytest.mark.parametrize("hot", [0, 2, 10])
-def test_previous_crosses_slices(frame, hot):
+def test_a_null_key_and_a_burst_within_a_minute(frame, many_parts):
+    """Both own most rows, and no part holds all rows of either."""
+    draw = random.Random(11)
+    rows = [(key, START + timedelta(microseconds=draw.randrange(10**6)), draw.choice("ab"), 1)
+            for key in (None, 7) for _ in range(500)] + versions(12, hot=10)
+    got = history.scd2(frame(rows), ["id"], "at", ["grade", "size"]).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_history(rows)))
+    parts = history._parted(frame(rows), ["id", "at"]).groupBy("_part", "id").count().collect()
+    for key in (None, 7):
+        held = [r["count"] for r in parts if r.id == key]
+        assert len(held) > 1 and max(held) < 400
+
+
+def test_previous_crosses_parts(frame, many_parts):
     rows = [(1, START, "a", 1), (1, START + timedelta(days=9), "b", 1),
             (1, START + timedelta(days=9, seconds=1), "c", 1), (2, START, "z", 1)]
-    found = history.with_previous(frame(rows), ["id"], "at", ["grade"], hot)
+    found = history.with_previous(frame(rows), ["id"], "at", ["grade"])
     got = found.orderBy("id", "at").collect()
     assert [r.previous and r.previous.grade for r in got] == [None, "a", "b", None]
 
 
-def test_steps_of_a_hot_key_equal_those_of_one_piece(frame):
-    rows = frame(versions(10)).select("id", "at", "size").distinct()
-    cut = history.steps(rows, ["id"], "at", "size", hot=100)
-    whole = history.steps(rows, ["id"], "at", "size")
-    assert cut.exceptAll(whole).count() == whole.exceptAll(cut).count() == 0
-    assert whole.count() > 500
+def test_steps_of_a_hot_key_equal_brute_force(frame, many_parts):
+    rows = sorted({(key, at, size) for key, at, _, size in versions(10)})
+    single = frame(versions(10)).select("id", "at", "size").distinct()
+    got = history.steps(single, ["id"], "at", "size").collect()
+    wanted = [(a[0], b[1], a[2], b[2]) for a, b in zip(rows, rows[1:]) if a[0] == b[0]]
+    assert sorted(map(tuple, got)) == sorted(wanted)
+    assert len(got) > 500
 
 
 def test_no_zone_disturbs_the_order(spark, frame):
@@ -116,7 +138,7 @@ def test_no_zone_disturbs_the_order(spark, frame):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
     try:
-        got = history.scd2(frame(rows), ["id"], "at", ["grade"], 0).orderBy("valid_from").collect()
+        got = history.scd2(frame(rows), ["id"], "at", ["grade"]).orderBy("valid_from").collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert [(r.grade, r.is_current) for r in got] == [("a", False), ("b", True)]
