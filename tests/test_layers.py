@@ -6,6 +6,8 @@ from decimal import Decimal as D
 import pytest
 
 from depotline import layers, pipelines
+from depotline.operators import marts
+from depotline.operators.history import latest_version
 from depotline.schemas import EXTRACTED, TABLES
 from depotline.sources import csv_files
 from depotline.sources.tables import Source
@@ -116,3 +118,44 @@ def test_layers(built, spark, root):
     assert runs["table_extract"] == (2, sum(map(len, shop().values())) + 1)
     with pytest.raises(LookupError):
         layers.read(spark, root, "marts", "no_such_table")
+
+
+def test_of_versions_with_one_stamp_the_one_loaded_last_counts(spark):
+    """In the history as in the newest rows, though the older rating is greater."""
+    rows = [(*shop(rating=D(r))["companies"][0], day(n)) for r, n in (("5.0", 1), ("2.0", 2))]
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TABLES["companies"].source)
+    staged = spark.createDataFrame(rows, f"{fields}, _loaded_at timestamp_ntz")
+    newest = latest_version(staged, ["company_id"], ["updated_at", "_loaded_at"]).first()
+    (row,) = layers.company_history(staged).collect()
+    assert row.rating == newest.rating == D("2.0") and row.is_current
+
+
+def test_nothing_sold_is_lost(spark):
+    """An order without items, an item without an order, an unknown company and pair."""
+    orders = spark.createDataFrame(
+        [("o1", "u1", "c1", T0, "Shipped"), ("o2", "u1", "c9", T0, "Shipped")],
+        "order_id string, customer_id string, company_id string, order_date timestamp_ntz, "
+        "order_status string")
+    items = spark.createDataFrame(
+        [("i1", "o2", "m1", 1, D(5)), ("i2", "o2", "m9", 1, D(7)), ("i3", "o9", "m1", 1, D(9))],
+        "order_item_id string, order_id string, supplier_product_id string, quantity int, "
+        "line_total decimal(12,2)")
+    pairs = spark.createDataFrame([("m1", "s1", "p1")],
+                                  "supplier_product_id string, supplier_id string, product_id string")
+    named = "category_id string, category_name string"
+    products = spark.createDataFrame([("p1", "k1")], "product_id string, category_id string")
+    categories = spark.createDataFrame([("k1", "Food")], named)
+    companies = spark.createDataFrame([("c1", "US")], "company_id string, country string")
+    suppliers = spark.createDataFrame([("s1", "Two")], "supplier_id string, supplier_name string")
+    placed = marts.order_fact(orders, items)
+    sales = marts.sales_fact(orders, marts.placed_items(items, pairs))
+    assert sorted((r.order_id, r.amount, r.units) for r in placed.collect()) == [
+        ("o1", D(0), 0), ("o2", D(12), 2)]
+    assert sorted((r.order_item_id, r.product_id, r.is_revenue) for r in sales.collect()) == [
+        ("i1", "p1", True), ("i2", None, True), ("i3", "p1", False)]
+    totals = marts.revenue_reconciliation(
+        marts.revenue_by_month(placed), marts.revenue_by_country(placed, companies),
+        marts.revenue_by_category(sales, products, categories), marts.revenue_by_product(sales),
+        marts.supplier_performance(sales, suppliers))
+    assert {r.figure: r.revenue for r in totals.collect()} == dict.fromkeys(
+        ["month", "country", "category", "product", "supplier"], D(12))

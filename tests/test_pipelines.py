@@ -218,6 +218,44 @@ def test_line_breaks_in_fields(spark, root):
     assert csv_files.good_lines(lines).first().company_name == 'Ode, "The" Fi\nrm'
 
 
+def test_a_line_is_judged_whole_whatever_is_selected(spark, root):
+    header = ",".join(TABLES["web_logs"].columns)
+    line = "{},US,NY,2024-01-01 10:00:00,1.1.1.1,,s,GET,/,200,10,r,Mobile,Edge,{}"
+    path = csv(root, "a", header, line.format(1, "True"), line.format(2, "perhaps"))
+    rows = csv_files.read_csv(spark, path, TABLES["web_logs"].source)
+    good = csv_files.good_lines(rows)
+    assert [r.log_id for r in good.select("log_id").collect()] == ["1"]
+    assert good.count() == len(good.collect()) == csv_files.bad_lines(rows).count() == 1
+
+
+def test_marks_of_loaded_tables_survive_a_later_failure(spark, source, root, monkeypatch):
+    put(categories(spark, [("k1", "Food", 2)]), source, "categories")
+    put(orders(spark, [("1", "Pending", 1)]), source, "orders")
+    whole = pipelines.load_table
+
+    def broken(rows, root, table, at):
+        if table == "orders":
+            raise OSError("disk gone")
+        return whole(rows, root, table, at)
+
+    monkeypatch.setattr(pipelines, "load_table", broken)
+    with pytest.raises(OSError):
+        pipelines.run_extract(spark, source, root, tables=["categories", "orders"])
+    monkeypatch.undo()
+    assert journal.read_marks(spark, root, "table_extract") == {"categories": hour(2)}
+    pipelines.run_extract(spark, source, root, tables=["categories", "orders"])
+    assert pipelines.read_staged(spark, root, "categories").count() == 1
+    assert statuses(spark, root) == {"1": "Pending"}
+
+
+def test_rows_stamped_after_the_start_wait_for_the_next_run(spark, source, root):
+    put(orders(spark, [("1", "Pending", 1), ("2", "Pending", 5)]), source, "orders")
+    run(spark, source, root, clock=lambda: hour(3))
+    assert statuses(spark, root) == {"1": "Pending"}
+    run(spark, source, root, clock=lambda: hour(6))
+    assert statuses(spark, root) == {"1": "Pending", "2": "Pending"}
+
+
 def test_booleans_and_missing_fields_of_logs(spark, root):
     header = ",".join(TABLES["web_logs"].columns)
     path = csv(root, "a", header, "1,US,NY,2024-01-01 10:00:00,1.1.1.1,,s,GET,/,200,10,r,Mobile,"
@@ -285,3 +323,9 @@ def test_arrivals_take_each_file_once(spark, root):
     assert arrivals.read_arrivals(spark, root, "web_logs").count() == 31
     (line,) = arrivals.read_rejected_arrivals(spark, root, "web_logs").collect()
     assert line["_corrupt_record"].startswith("31")
+
+    # A snapshot's bad lines of the same table stand apart.
+    path = csv(root, "c", ",".join(layout.fieldNames()), f"32{blanks},true", f"33{blanks},perhaps")
+    pipelines.run_snapshot(spark, path, root, "web_logs")
+    assert arrivals.read_rejected_arrivals(spark, root, "web_logs").count() == 1
+    assert spark.read.parquet(pipelines.rejects_path(root, "web_logs")).count() == 1
