@@ -13,6 +13,7 @@ from __future__ import annotations
 import html as references
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,8 +23,12 @@ from pyspark.sql import functions as F
 from depotline.llm.common import plain
 from depotline.session import written
 
-# Wrappers that are broadcast at most (each is a short list of paths); beyond that, a join.
-BROADCAST_ROWS = 100_000
+# Bytes of paths that are broadcast at most; beyond that, a join.
+BROADCAST_BYTES = 32_000_000
+# A name of an element stays in its key if at least one in so many of the host's pages has it;
+# so a host has a bounded number of names, however many pages. Any other id or class is a slot, and
+# so is one that fewer than LEAST_PAGES pages have, unless the host has no more pages.
+NAME_SHARE, LEAST_PAGES = 50, 2
 # Hosts whose wrappers one task holds before it hands them on.
 HELD = 2_000
 # Elements nested deeper are read as if they stood at this depth.
@@ -47,24 +52,37 @@ MARKS = frozenset(
     "signup login search share sharing social related recommended comment comments disqus reply "
     "replies respond form pagination pager toc skip complementary contentinfo".split())
 ARTICLE = frozenset("article articlebody post entry story main content maincontent".split())
+# Names that always count, since rules of this module look for them.
+FIXED = MARKS | ARTICLE
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + RAW.replace(" ", "|") + r")\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*>|([^<]+|<)", re.S | re.I)
 _MARK = re.compile(r"(?:^|\s)(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[^a-z0-9]+")
+_NUMBER = re.compile(r"[0-9]+")
+
+
+def names_of(marks: str) -> set[str]:
+    """The names as keys have them: numbers are all alike, so post-123 is post and 0."""
+    return {_NUMBER.sub("0", w) for w in _PART.split(marks.lower()) if w}
 
 
 class Element:
-    """An element with the text and the elements inside it, in order."""
+    """An element with the text and the elements inside it, in order.
+
+    Its key holds the names that are kept, and those of FIXED; all of them if `kept` is None.
+    """
 
     __slots__ = ("tag", "key", "drop", "root", "inside")
 
-    def __init__(self, tag: str, marks: str = "") -> None:
+    def __init__(self, tag: str, marks: str = "", kept: frozenset[str] | None = None) -> None:
         names = {w for w in _PART.split(marks.lower()) if w}
         article = tag in ("article", "main")
         self.tag = tag
-        self.key = tag + "." + ".".join(sorted(names)) if names else tag
+        general = {_NUMBER.sub("0", w) for w in names}
+        shown = sorted(general if kept is None else general & kept | names & FIXED)
+        self.key = tag + "." + ".".join(shown) if shown else tag
         self.drop = tag in NOT_TEXT or (bool(names & MARKS) and not (article and not names & {
             "comment", "comments", "reply", "related", "ad", "sponsored"})) and tag not in ("body", "html")
         # 2: the article itself, 1: a part that may hold it.
@@ -73,7 +91,7 @@ class Element:
         self.inside: list = []
 
 
-def parsed(page: str) -> Element:
+def parsed(page: str, kept: frozenset[str] | None = None) -> Element:
     """The page as nested elements. Marks inside a line count only where they rule text out."""
     top = Element("html")
     stack = [top]
@@ -110,7 +128,7 @@ def parsed(page: str) -> Element:
                 while stack[-1].tag != "p":
                     stack.pop()
                 stack.pop()
-        element = Element(tag, marks)
+        element = Element(tag, marks, kept)
         stack[-1].inside.append(element)
         if len(stack) < DEPTH and not attributes.endswith("/"):
             stack.append(element)
@@ -180,9 +198,9 @@ def _aligned(a: list[list], b: list[list]) -> list[list]:
     return _repeated(out)
 
 
-def wrapper_of(page: str) -> list:
+def wrapper_of(page: str, kept: frozenset[str] | None = None) -> list:
     """The wrapper of a single page."""
-    return _node(parsed(page))
+    return _node(parsed(page, kept))
 
 
 def expression(node: list) -> str:
@@ -236,9 +254,9 @@ def article_paths(wrapper: list) -> list[list[str]]:
         path.append(child[0])
 
 
-def main_text(page: str, paths: list[list[str]]) -> str:
+def main_text(page: str, paths: list[list[str]], kept: frozenset[str] | None = None) -> str:
     """Text of the page's elements at the paths; of the whole page where it has none of them."""
-    top = parsed(page)
+    top = parsed(page, kept)
     wanted = {tuple(p) for p in paths}
     heads = {p[:n] for p in wanted for n in range(len(p))}
     pieces: list[str] = []
@@ -290,14 +308,62 @@ def _joined(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).applyInPandas(work, "host string, wrapper string")
 
 
-def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+def _small(rows: DataFrame, *columns: str) -> bool:
+    """Whether the columns' bytes fit a broadcast."""
+    size = rows.agg(F.sum(sum((F.octet_length(plain(c)) for c in columns), F.lit(16)).cast("long"))).first()[0]
+    return (size or 0) <= BROADCAST_BYTES
+
+
+def frequent_names(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(host, names): names of ids and classes that enough of the host's pages have, by spaces.
+
+    Counted is by host and name, in the tasks first; what is left per host is at most NAME_SHARE
+    times the names of a mean page.
+    """
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+
+        def handed() -> pa.RecordBatch:
+            out = pa.record_batch([pa.array([h for h, _ in held], pa.string()),
+                                   pa.array([n for _, n in held], pa.string()),
+                                   pa.array(list(held.values()), pa.int64())], names=["host", "name", "n"])
+            held.clear()
+            return out
+
+        for batch in batches:
+            for host, page in zip(batch.column("host").to_pylist(),
+                                  batch.column("html").to_pylist(), strict=True):
+                marks = " ".join(f[1] or f[2] or f[3] for f in _MARK.findall(page))
+                # The empty name counts the pages.
+                held.update((host, name) for name in {"", *names_of(marks)})
+                if len(held) > 100 * HELD:
+                    yield handed()
+        if held:
+            yield handed()
+
+    rows = pages.select(_host(url).alias("host"), plain(html).alias("html"))
+    counts = (rows.mapInArrow(work, "host string, name string, n long")
+              .groupBy("host", "name").agg(F.sum("n").alias("n")))
+    counts = written(counts, "names")
+    of = counts.filter("name = ''").select("host", F.col("n").alias("pages"))
+    enough = (F.col("n") * NAME_SHARE >= F.col("pages")) & (F.col("n") >= F.least(F.lit(LEAST_PAGES), "pages"))
+    found = (counts.filter("name <> ''").join(of, "host").filter(enough).groupBy("host")
+             .agg(F.concat_ws(" ", F.sort_array(F.collect_list("name"))).alias("names")))
+    return written(found, "names")
+
+
+def wrappers(pages: DataFrame, url: str = "url", html: str = "html",
+             names: DataFrame | None = None) -> DataFrame:
     """(host, wrapper as JSON) for every host, inferred from all its pages.
 
+    `names` are the hosts' frequent names, as `frequent_names` gives them.
+
     Each task folds its own pages by host, so that a host with a third of all pages sends one
     wrapper per task; those are merged in two steps. Pages without a host share the empty one.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
+        sets: dict[str, frozenset[str]] = {}
 
         def handed() -> pa.RecordBatch:
             out = pa.record_batch([pa.array(list(held), pa.string()),
@@ -307,21 +373,34 @@ def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
             return out
 
         for batch in batches:
-            for host, page in zip(batch.column("host").to_pylist(),
-                                  batch.column("html").to_pylist(), strict=True):
-                own = wrapper_of(page)
+            for host, page, kept in zip(*(batch.column(n).to_pylist() for n in ("host", "html", "names")),
+                                        strict=True):
+                own = wrapper_of(page, _set_of(kept, sets))
                 held[host] = merged(held[host], own) if host in held else own
                 if len(held) > HELD:
                     yield handed()
         if held:
             yield handed()
 
-    rows = pages.select(_host(url).alias("host"), plain(html).alias("html"))
+    if names is None:
+        names = frequent_names(pages, url, html)
+    rows = pages.select(_host(url).alias("host"), plain(html).alias("html")).join(
+        F.broadcast(names) if _small(names, "host", "names") else names, "host", "left")
     partial = rows.mapInArrow(work, "host string, wrapper string").withColumn(
         "_part", F.spark_partition_id() % 64)
     return _joined(_joined(partial, "host", "_part"), "host")
 
 
+def _set_of(names: str | None, known: dict[str, frozenset[str]]) -> frozenset[str]:
+    """The names as a set, remembered for a number of hosts."""
+    if len(known) > HELD:
+        known.clear()
+    names = names or ""
+    if names not in known:
+        known[names] = frozenset(names.split())
+    return known[names]
+
+
 def extracted(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """The pages with `text`, the article's text, in place of the html column.
 
@@ -335,24 +414,26 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
             yield pa.record_batch([batch.column("host"), pa.array(found, pa.string())],
                                   names=["_host", "_paths"])
 
-    known = wrappers(pages, url, html).mapInArrow(places, "_host string, _paths string")
-    known = written(known, "wrappers")
-    small = known.count() <= BROADCAST_ROWS
-    rows = pages.drop("text", "_host", "_paths").withColumn("_host", _host(url)).join(
+    names = frequent_names(pages, url, html)
+    known = wrappers(pages, url, html, names).mapInArrow(places, "_host string, _paths string")
+    known = written(known.join(names.toDF("_host", "_names"), "_host", "left"), "wrappers")
+    small = _small(known, "_host", "_paths", "_names")
+    rows = pages.drop("text", "_host", "_paths", "_names").withColumn("_host", _host(url)).join(
         F.broadcast(known) if small else known, "_host", "left").drop("_host")
-    schema = rows.drop("_paths", html).withColumn("text", F.lit("")).schema
+    schema = rows.drop("_paths", "_names", html).withColumn("text", F.lit("")).schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read: dict[str, list] = {}
+        sets: dict[str, frozenset[str]] = {}
         for batch in batches:
             texts = []
-            for page, paths in zip(batch.column(html).to_pylist(),
-                                   batch.column("_paths").to_pylist(), strict=True):
+            for page, paths, kept in zip(*(batch.column(n).to_pylist() for n in (html, "_paths", "_names")),
+                                         strict=True):
                 if paths not in read:
                     read[paths] = json.loads(paths) if paths else [[]]
-                texts.append(main_text(page or "", read[paths]))
-            kept = [n for n in batch.schema.names if n not in (html, "_paths")]
-            yield pa.record_batch([*(batch.column(n) for n in kept), pa.array(texts, pa.string())],
-                                  names=[*kept, "text"])
+                texts.append(main_text(page or "", read[paths], _set_of(kept, sets)))
+            own = [n for n in batch.schema.names if n not in (html, "_paths", "_names")]
+            yield pa.record_batch([*(batch.column(n) for n in own), pa.array(texts, pa.string())],
+                                  names=[*own, "text"])
 
     return rows.mapInArrow(work, schema)
