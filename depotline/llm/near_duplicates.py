@@ -1,4 +1,9 @@
-"""Near-duplicate documents by ProbMinHash signatures of weighted word shingles."""
+"""Near-duplicate documents by ProbMinHash signatures of word shingles.
+
+Links are judged by the Jaccard similarity of sets, so every shingle has the same weight in the
+signatures, however often a text repeats it: a register then agrees with odds of just that
+similarity.
+"""
 
 from __future__ import annotations
 
@@ -63,18 +68,15 @@ def banded(signatures: np.ndarray, rows: int) -> np.ndarray:
 
 
 def signed(texts: DataFrame) -> DataFrame:
-    """(id, bands) of rows (id, text); no bands where a text has no words.
-
-    A shingle's weight is 1 + ln(how often the text has it).
-    """
+    """(id, bands) of rows (id, text); no bands where a text has no words."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Words()
         for batch in batches:
             out: list[np.ndarray] = []
-            held: list[tuple[np.ndarray, np.ndarray]] = []
+            held: list[np.ndarray] = []
             for text in batch.column("text").to_pylist():
-                held.append(np.unique(shingles(token(text), hashes), return_counts=True))
-                if sum(len(g) for g, _ in held[-64:]) > STEP or len(held) == 1_000:
+                held.append(np.unique(shingles(token(text), hashes)))
+                if sum(len(g) for g in held[-64:]) > STEP or len(held) == 1_000:
                     out += _bands_of(held)
                     held = []
             out += _bands_of(held)
@@ -84,12 +86,12 @@ def signed(texts: DataFrame) -> DataFrame:
     return texts.select("id", "text").mapInArrow(work, "id long, bands array<long>")
 
 
-def _bands_of(held: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+def _bands_of(held: list[np.ndarray]) -> list[np.ndarray]:
     if not held:
         return []
-    counts = np.array([len(g) for g, _ in held])
-    grams = np.concatenate([g for g, _ in held])
-    weights = 1 + np.log(np.concatenate([c for _, c in held]))
+    counts = np.array([len(g) for g in held])
+    grams = np.concatenate(held)
+    weights = np.ones(len(grams))
     of = np.repeat(np.arange(len(held)), counts)
     bands = banded(prob_minhash(grams, weights, of, len(held)), ROWS)
     return [bands[i] if n else bands[i][:0] for i, n in enumerate(counts)]
