@@ -8,27 +8,38 @@ from pyspark.sql import functions as F
 from depotline.llm.common import id_remainder, plain
 
 
+# Steps in which a share is drawn, fine enough for any number of labels.
+FINE = 10 ** 15
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_class: int,
                     most_chars: int) -> list[tuple[str, int]]:
     """About `per_class` texts of each label at most, for a model that is fitted on the driver.
 
     Taken are documents of up to `most_chars` characters whose id leaves a remainder other
     than 1 by 3, chosen by a hash of the id, so that the sample is the same in every run. Null
-    labels and ids are not used; a document with labels that differ counts as 1.
+    labels and ids are not used; a document with labels that differ counts as 1. The share is
+    drawn from documents that fit the bound. Raises a ValueError if there are labels of both
+    kinds but the sample holds none of one.
     """
     known = (labels.filter((id_remainder("doc_id", 3) != 1) & F.col(label).isNotNull()
                            & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max(label).alias("_label")))
-    counts = {r[0]: r[1] for r in known.groupBy("_label").count().collect()}
+    fitting = (documents.filter(F.char_length(plain("text")) <= most_chars)
+               .select("doc_id").distinct().join(known, "doc_id"))
+    counts = {r[0]: r[1] for r in fitting.groupBy("_label").count().collect()}
     chosen = None
     for value in (0, 1):
         share = min(1.0, per_class / max(1, counts.get(value, 0)))
         some = known.filter((F.col("_label") == value) & (F.pmod(
-            F.xxhash64(F.lit(value), "doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)))
+            F.xxhash64(F.lit(value), "doc_id"), F.lit(FINE)) < int(share * FINE)))
         chosen = some if chosen is None else chosen.union(some)
-    # At most about 2 * per_class short rows.
     rows = (documents.select("doc_id", plain("text").alias("_text"))
             .filter(F.char_length("_text") <= most_chars)
-            .join(F.broadcast(chosen), "doc_id")
+            .join(chosen, "doc_id")
             .groupBy("doc_id", "_label").agg(F.min("_text").alias("_text")).collect())
-    return sorted({(r["_text"], int(r["_label"])) for r in rows})
+    found = sorted({(r["_text"], int(r["_label"])) for r in rows})
+    kinds = {y for _, y in found}
+    if len(kinds) < 2 and {r[0] for r in known.select("_label").distinct().collect()} >= {0, 1}:
+        raise ValueError(f"{label}: labels of both kinds exist, but the sample holds {sorted(kinds)} only")
+    return found
