@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotline.llm import (
+    common,
     decontamination,
     language_model,
+    merkle,
     mixing,
     near_duplicates,
     paragraphs,
@@ -178,3 +180,86 @@ def op10_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return wrappers.extracted(pages).select(
         "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def _crc32_sql(text: str) -> str:
+    """SQL for the unsigned crc32 of a text of ASCII, bit by bit."""
+    return f"""xor(list_reduce(flatten(list_transform(string_split({text}, ''),
+ lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+ lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END,
+ CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"""
+
+
+def _field_sql(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field_sql, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+
+def _merkle_sql(levels: int = 5) -> str:
+    """Trees of up to 16 ** levels nodes, level by level."""
+    def climb(name: str, tree: str) -> list[str]:
+        """Nodes by level; a finished tree's node moves up as it is."""
+        found = []
+        for i in range(levels):
+            found.append(f"""{name}{i + 1} AS (SELECT {tree}, pos // 16 AS pos,
+ CASE WHEN any_value(size) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h,
+ CASE WHEN any_value(size) > 1 THEN (any_value(size) + 15) // 16 ELSE 1 END AS size
+ FROM {name}{i} GROUP BY {tree}, pos // 16)""")
+        return found
+
+    def steps(name: str, tree: str, start: str, i: int) -> str:
+        """One leaf's siblings of a level, and the hash of its run with its own digest put in."""
+        return f"""{name}_p{i + 1} AS (SELECT p.k, p.{tree}, any_value(p.pos) // 16 AS pos,
+ any_value(p.proof) || coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos <> p.pos), '') AS proof,
+ CASE WHEN any_value(n.size) > 1 THEN sha256(string_agg(CASE WHEN n.pos = p.pos THEN p.h ELSE n.h END, '' ORDER BY n.pos))
+  ELSE any_value(p.h) END AS h
+ FROM {start} p JOIN {name}{i} n ON n.{tree} = p.{tree} AND n.pos // 16 = p.pos // 16
+ GROUP BY p.k, p.{tree})"""
+
+    parts = [f"""d AS (SELECT row_number() OVER (ORDER BY doc_id, source, lang, text) AS k, doc_id,
+ coalesce('s' || source, '-') AS tree, source, {_leaf_sql('text')} AS leaf,
+ CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 5 = 0
+  THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+  ELSE {_leaf_sql('text')} END AS tampered FROM documents)""",
+             """l0 AS (SELECT k, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS pos,
+ leaf AS h, count(*) OVER (PARTITION BY tree) AS size FROM d)"""]
+    parts += climb("l", "tree")
+    parts.append("l0_p0 AS (SELECT l0.k, l0.tree, pos, '' AS proof, d.tampered AS h FROM l0 JOIN d USING (k))")
+    start = "l0_p0"
+    for i in range(levels):
+        parts.append(steps("l", "tree", start, i))
+        start = f"l_p{i + 1}"
+    parts.append(f"""t0 AS (SELECT 0 AS top, tree, h, row_number() OVER (ORDER BY tree <> '-', tree) - 1 AS pos,
+ count(*) OVER () AS size FROM l{levels})""")
+    parts += climb("t", "top")
+    parts.append(f"""t0_p0 AS (SELECT p.k, 0 AS top, t0.pos, p.proof, p.h FROM {start} p JOIN t0 USING (tree))""")
+    start = "t0_p0"
+    for i in range(levels):
+        parts.append(steps("t", "top", start, i))
+        start = f"t_p{i + 1}"
+    body = ",\n".join(parts)
+    return f"""WITH {body}
+SELECT d.doc_id, d.leaf, t0.h AS subroot, r.h AS root, sha256(p.proof) AS proof_sha256, p.h AS folded_root,
+ p.h = r.h AS verified
+FROM d JOIN {start} p USING (k) JOIN t0 USING (tree) CROSS JOIN t{levels} r"""
+
+
+@_query(_merkle_sql())
+def op11_butterfly_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether a tampered copy is found out."""
+    text = F.col("text")
+    lower = F.translate(text, common.UPPER, common.UPPER.lower())
+    # A number id's text; a null id is empty text.
+    hit = id_remainder("doc_id", 5) == 0
+    docs = _table(spark, sf_dir, "documents")
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaves = docs.select("doc_id", "source", merkle.leaf(*values, text).alias("leaf"),
+                         F.when(hit, merkle.leaf(*values, lower)).alias("tampered"))
+    found = merkle.manifest(leaves, "source", "doc_id", "leaf", ("tampered",))
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return found.select("doc_id", "leaf", "subroot", "root",
+                        merkle.hashed(merkle.siblings(F.col("proof"))).alias("proof_sha256"),
+                        folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
