@@ -14,6 +14,7 @@ from depotline.llm import (
     merkle,
     mixing,
     near_duplicates,
+    packing,
     paragraphs,
     ranking,
     rules,
@@ -22,6 +23,7 @@ from depotline.llm import (
     wrappers,
 )
 from depotline.llm.common import id_remainder, plain
+from depotline.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -263,3 +265,10 @@ def op11_butterfly_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root",
                         merkle.hashed(merkle.siblings(F.col("proof"))).alias("proof_sha256"),
                         folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
+
+
+@_query()
+def op12_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and place of every piece of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.packed(written(packing.pieces(docs), "pieces"))
