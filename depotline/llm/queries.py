@@ -19,6 +19,7 @@ from depotline.llm import (
     ranking,
     rules,
     sharding,
+    spelling,
     toxicity,
     wrappers,
 )
@@ -185,9 +186,11 @@ def op10_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _crc32_sql(text: str) -> str:
-    """SQL for the unsigned crc32 of a text of ASCII, bit by bit."""
+    """SQL for the unsigned crc32 of a text of letters up to U+00FF outside the C1 signs, bit by bit."""
+    turns = ", ".join(["-1"] * 8)
     return f"""xor(list_reduce(flatten(list_transform(string_split({text}, ''),
- lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+ lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT), {turns}]
+  ELSE [195, {turns}, CAST(unicode(c) - 64 AS BIGINT), {turns}] END)),
  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END,
  CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"""
 
@@ -272,3 +275,34 @@ def op12_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequence and place of every piece of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.packed(written(packing.pieces(docs), "pieces"))
+
+
+_VARIANTS_SQL = f"""
+WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all(
+  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+ FROM documents),
+d AS (SELECT run, n, {_crc32_sql("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h
+ FROM (SELECT doc_id, run, count(*) AS n FROM r GROUP BY doc_id, run)),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT n, CASE WHEN h % 97 = 0
+  THEN left(run, h % length(run)) || substr(run, CAST(h % length(run) + 2 AS INT)) ELSE run END AS word FROM d)
+ GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+cuts AS (SELECT word, n, i, left(word, i) AS a, substr(word, CAST(i + 2 AS INT)) AS z
+ FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+near AS (SELECT DISTINCT x.word, x.n, y.word AS near, y.n AS near_n
+  FROM cuts x JOIN cuts y ON x.i = y.i AND x.a = y.a AND x.z = y.z AND x.word <> y.word
+ UNION SELECT c.word, c.n, w.word, w.n FROM cuts c JOIN w ON w.word = c.a || c.z
+ UNION SELECT w.word, w.n, c.word, c.n FROM cuts c JOIN w ON w.word = c.a || c.z),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS form_n FROM near GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+  CASE WHEN form_n >= 2 * w.n THEN (SELECT min(near) FROM near WHERE near.word = w.word AND near_n = form_n) END AS form,
+  CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n
+ FROM w LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS root, form AS onward FROM f
+ UNION ALL SELECT walk.word, f.word, f.form FROM walk JOIN f ON f.word = walk.onward)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN walk ON walk.word = f.word AND onward IS NULL"""
+
+
+@_query(_VARIANTS_SQL)
+def op13_trie_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents."""
+    return spelling.variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
