@@ -136,16 +136,20 @@ def steps(rows: DataFrame, key: Sequence[str], at: str, status: str) -> DataFram
     )
 
 
-def illegal_steps(rows: DataFrame, key: Sequence[str], at: str, status: str,
-                  allowed: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Steps that are neither a repeat nor allowed."""
+def legal_step(allowed: Mapping[str, Sequence[str]]) -> Column:
+    """Is a step from ``from_status`` to ``to_status`` a repeat or allowed?"""
     pairs = [
         part
         for source, targets in allowed.items()
         for part in (F.lit(source), F.array(*[F.lit(t) for t in targets]).cast("array<string>"))
     ]
     targets = F.try_element_at(F.create_map(*pairs), F.col("from_status"))
-    legal = (F.col("from_status") == F.col("to_status")) | F.coalesce(
+    return (F.col("from_status") == F.col("to_status")) | F.coalesce(
         F.array_contains(targets, F.col("to_status")), F.lit(False)
     )
-    return steps(rows, key, at, status).where(~legal)
+
+
+def illegal_steps(rows: DataFrame, key: Sequence[str], at: str, status: str,
+                  allowed: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Steps that are neither a repeat nor allowed."""
+    return steps(rows, key, at, status).where(~legal_step(allowed))

@@ -22,11 +22,6 @@ def enrich(facts: DataFrame, dimension: DataFrame, on: Sequence[str],
     return facts.join(dimension.select(*on, *columns), list(on), "left")
 
 
-def matched(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of both sides that agree on the key."""
-    return left.join(right, list(on), "inner")
-
-
 def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
     """Child rows that point at no parent. A NULL reference points at nothing and is no orphan.
 

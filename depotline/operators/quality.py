@@ -1,18 +1,25 @@
 """Data-quality rules.
 
 Every check gives rows ``(rule, table_name, checked, failed)``. All row rules of a
-table share one scan; key and reference rules are one grouped pass each.
+table share one scan; all rules of a key, in whatever tables, share one grouping.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from depotline.operators import history
 from depotline.operators.aggregates import union_all
-from depotline.schemas import Table
+from depotline.operators.keyrules import KeyRule, check_keys
+from depotline.schemas import TABLES, Table
+
+
+# Every column a registered table has, so that names in a rule can be told from functions.
+_ALL_NAMES = {name: table.columns for name, table in TABLES.items()}
 
 
 class QualityError(ValueError):
@@ -23,23 +30,18 @@ def _quoted(values: Sequence[str]) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
-def row_rules(table: Table, present: Sequence[str] | None = None) -> dict[str, str]:
-    """The row rules of a registered table as SQL, limited to columns that are present."""
-    columns = table.columns if present is None else [c for c in table.columns if c in present]
-    rules: dict[str, str] = {}
-    for c in columns:
-        if c in table.required:
-            rules[f"{c}_not_null"] = f"{c} IS NOT NULL"
-    for c, values in table.allowed.items():
-        if c in columns:
-            rules[f"{c}_allowed"] = f"{c} IN ({_quoted(values)})"
-    for c, n in table.lengths.items():
-        if c in columns:
-            rules[f"{c}_length"] = f"length(CAST({c} AS STRING)) <= {n}"
-    for name, sql in table.checks.items():
-        if present is None or all(c in columns for c in table.columns if c in sql.split()):
-            rules[name] = sql
-    return rules
+def row_rules(table: Table) -> dict[str, str]:
+    """The row rules of a registered table as SQL."""
+    rules = {f"{c}_not_null": f"{c} IS NOT NULL" for c in table.required}
+    rules |= {f"{c}_allowed": f"{c} IN ({_quoted(v)})" for c, v in table.allowed.items()}
+    rules |= {f"{c}_length": f"length(CAST({c} AS STRING)) <= {n}" for c, n in table.lengths.items()}
+    return rules | dict(table.checks)
+
+
+def _columns_of(sql: str, columns: Iterable[str]) -> set[str]:
+    """Which of the columns an expression names; texts in quotes are no names."""
+    words = set(re.findall(r"\w+", re.sub(r"'(?:[^']|'')*'", " ", sql)))
+    return words & set(columns)
 
 
 def met(rule: str | Column) -> Column:
@@ -53,19 +55,21 @@ def failing_rows(rows: DataFrame, rule: str | Column) -> DataFrame:
     return rows.where(~met(rule))
 
 
-def check_rows(rows: DataFrame, table_name: str,
-               rules: Mapping[str, str | Column]) -> DataFrame:
-    """Evaluate any number of row rules in one scan."""
+def check_rows(rows: DataFrame, table_name: str, rules: Mapping[str, str | Column],
+               bounds: tuple[int, int] | None = None) -> DataFrame:
+    """Evaluate any number of row rules in one scan, and with ``bounds`` the row count as well."""
     failed = [
         F.expr(f"count_if(NOT coalesce(({r}), true)) AS _f{i}") if isinstance(r, str)
         else F.count_if(~met(r)).alias(f"_f{i}")
         for i, r in enumerate(rules.values())
     ]
     counted = rows.agg(F.count(F.lit(1)).alias("checked"), *failed)
-    listed = ", ".join(f"'{name}', _f{i}" for i, name in enumerate(rules))
+    listed = [f"'{name}', _f{i}" for i, name in enumerate(rules)]
+    if bounds is not None:
+        listed.append(f"'row_count', IF(checked BETWEEN {bounds[0]} AND {bounds[1]}, 0L, 1L)")
     return counted.select(
         F.lit(table_name).alias("table_name"), "checked",
-        F.expr(f"stack({len(rules)}, {listed}) AS (rule, failed)"),
+        F.expr(f"stack({len(listed)}, {', '.join(listed)}) AS (rule, failed)"),
     ).select("rule", "table_name", "checked", "failed")
 
 
@@ -153,33 +157,76 @@ def check_parent(child: DataFrame, table_name: str, foreign_key: str, parent: Da
     ).select(F.lit(rule).alias("rule"), F.lit(table_name).alias("table_name"), "checked", "failed")
 
 
-def table_report(table: Table, frames: Mapping[str, DataFrame],
-                 present: Sequence[str] | None = None) -> DataFrame:
-    """Every registered rule of one table whose columns and parents are at hand."""
-    rows = frames[table.name]
-    columns = rows.columns if present is None else present
-    parts = [check_rows(rows, table.name, row_rules(table, columns))]
-    for keys in [table.key, *table.unique]:
-        if all(k in columns for k in keys):
-            parts.append(check_unique(rows, table.name, keys))
-    for foreign_key, (parent, key) in table.references.items():
-        if foreign_key in columns and parent in frames and key in frames[parent].columns:
-            parts.append(check_reference(rows, table.name, foreign_key, frames[parent], key))
-    return union_all(parts)
+def check_steps(versions: DataFrame, table_name: str, key: Sequence[str], at: str, status: str,
+                allowed: Mapping[str, Sequence[str]], rule: str = "status_steps_legal") -> DataFrame:
+    """``failed`` counts the steps between two versions of a row that are not allowed."""
+    taken = history.steps(versions, key, at, status)
+    return check_rows(taken, table_name, {rule: history.legal_step(allowed)})
 
 
-def quality_report(tables: Sequence[Table], frames: Mapping[str, DataFrame]) -> DataFrame:
-    """The registered rules of all given tables."""
-    return union_all([table_report(t, frames) for t in tables if t.name in frames])
+def _unjudged(spark: SparkSession, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    listed = ", ".join(f"'{rule}', '{table}'" for rule, table in rules)
+    return spark.range(1).select(F.expr(f"stack({len(rules)}, {listed}) AS (rule, table_name)")).select(
+        "rule", "table_name", F.lit(None).cast("bigint").alias("checked"),
+        F.lit(None).cast("bigint").alias("failed"))
 
 
-def gate(report: DataFrame) -> DataFrame:
+def _can_judge(rule: KeyRule, frames: Mapping[str, DataFrame]) -> bool:
+    """Are all tables and columns that a key rule reads at hand?"""
+    for figure in rule.figures.values():
+        if figure.table not in frames:
+            return False
+        held = set(frames[figure.table].columns)
+        if not held >= set(figure.columns):
+            return False
+        if _columns_of(figure.value, _ALL_NAMES.get(figure.table, ())) - held:
+            return False
+    return True
+
+
+def quality_report(tables: Sequence[Table], frames: Mapping[str, DataFrame],
+                   key_rules: Sequence[KeyRule] = (),
+                   bounds: Mapping[str, tuple[int, int]] | None = None,
+                   more: Sequence[DataFrame] = ()) -> DataFrame:
+    """All rules of the given tables that are in ``frames``, as rows.
+
+    ``key_rules`` are the rules across rows and tables, ``bounds`` the row counts that tables may
+    have, ``more`` further results, such as those of ``check_steps``. A rule that reads a table or
+    column that is not at hand has a row without counts; the gate does not pass it.
+    """
+    parts, left = [], []
+    for table in tables:
+        if table.name not in frames:
+            continue
+        rows, judged = frames[table.name], {}
+        for name, sql in row_rules(table).items():
+            if _columns_of(sql, table.columns) <= set(rows.columns):
+                judged[name] = sql
+            else:
+                left.append((name, table.name))
+        parts.append(check_rows(rows, table.name, judged, (bounds or {}).get(table.name)))
+    shown = [r for r in key_rules if r.table_name in frames]
+    ready = [r for r in shown if _can_judge(r, frames)]
+    left += [(r.rule, r.table_name) for r in shown if r not in ready]
+    if ready:
+        parts.append(check_keys(ready, frames))
+    if left:
+        parts.append(_unjudged(next(iter(frames.values())).sparkSession, left))
+    return union_all([*parts, *more])
+
+
+def gate(report: DataFrame, unjudged: str = "raise") -> DataFrame:
     """Raise if any rule failed; nothing is to be loaded then.
 
+    Rules without counts, which nobody could judge, raise as well unless ``unjudged`` is "pass".
     The report has one row per rule, so the failed ones fit the driver.
     """
-    failed = report.where(F.col("failed") > 0).orderBy("table_name", "rule").collect()
+    wrong = F.col("failed") > 0
+    if unjudged == "raise":
+        wrong = wrong | F.col("failed").isNull()
+    failed = report.where(wrong).orderBy("table_name", "rule").collect()
     if failed:
-        names = ", ".join(f"{r.table_name}.{r.rule} ({r.failed})" for r in failed)
+        names = ", ".join(f"{r.table_name}.{r.rule} ({'not judged' if r.failed is None else r.failed})"
+                          for r in failed)
         raise QualityError(f"failed rules: {names}")
     return report

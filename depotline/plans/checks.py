@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from depotline.functions.numbers import line_total
 from depotline.functions.status import expected_payment, in_range_of
-from depotline.operators import aggregates, history, joins, quality, sampling
+from depotline.operators import aggregates, history, joins, keyrules, quality, sampling
 from depotline.operators.profile import profile, shape
 from depotline.plans import shop
 from depotline.plans.registry import as_double, query
 from depotline.plans.shop import with_views
+from depotline.rules import key_rules
 from depotline.schemas import (
     ITEMS_PER_ORDER,
     SIZE_VALUES,
@@ -492,46 +493,168 @@ def repeated_products(spark: SparkSession, folder: str) -> DataFrame:
     return sold.where(F.col("suppliers") > 1)
 
 
-# The report runs the registered rules on the columns the views have.
-_REPORTED = ["companies", "categories", "customers", "suppliers", "products",
-             "supplier_product_mapping", "orders", "order_items", "marketing_leads"]
-_VIEW_COLUMNS = {
-    "companies": ["company_id", "company_name", "company_type", "rating", "country"],
-    "categories": ["category_id", "category_name"],
-    "customers": ["customer_id", "company_id", "job_title"],
-    "suppliers": ["supplier_id", "company_id", "supplier_name"],
-    "products": ["product_id", "product_name", "category_id", "brand", "catalog_price",
-                 "is_active"],
-    "supplier_product_mapping": ["supplier_product_id", "supplier_id", "product_id",
-                                 "supplier_price", "is_preferred_supplier"],
-    "orders": ["order_id", "customer_id", "company_id", "lead_id", "order_date", "order_status",
-               "payment_status", "order_total", "updated_at"],
-    "order_items": ["order_id", "supplier_product_id", "quantity", "unit_price",
-                    "discount_amount", "line_total", "updated_at"],
-    "marketing_leads": ["lead_id", "company_size", "country", "lead_score",
-                        "estimated_order_value", "funnel_stage", "created_at", "updated_at"],
+# ---- the report over all tables; its SQL is written by hand, not made from the rules ---------
+
+# table -> columns that must be filled, of those the views have
+_FILLED = {
+    "companies": "company_id company_name company_type rating country",
+    "categories": "category_id category_name",
+    "customers": "customer_id company_id created_at",
+    "suppliers": "supplier_id company_id supplier_name",
+    "products": "product_id product_name category_id brand catalog_price is_active",
+    "supplier_product_mapping": "supplier_product_id supplier_id product_id supplier_price "
+                                "is_preferred_supplier",
+    "orders": "order_id customer_id company_id order_date order_status payment_status order_total "
+              "updated_at",
+    "order_items": "order_id supplier_product_id quantity unit_price discount_amount line_total "
+                   "updated_at",
+    "marketing_leads": "lead_id company_size country lead_score estimated_order_value funnel_stage "
+                       "created_at updated_at",
+    "web_logs": "log_id timestamp request_path status_code bytes_sent is_bot",
 }
+# table -> texts and how long they may be
+_LONGEST = {
+    "companies": {"company_id": 32, "company_name": 200, "company_type": 20, "country": 100},
+    "categories": {"category_id": 32, "category_name": 150},
+    "customers": {"customer_id": 32, "company_id": 32, "job_title": 100},
+    "suppliers": {"supplier_id": 32, "company_id": 32, "supplier_name": 200},
+    "products": {"product_id": 32, "product_name": 200, "category_id": 32, "brand": 100},
+    "supplier_product_mapping": {"supplier_product_id": 32, "supplier_id": 32, "product_id": 32},
+    "orders": {"order_id": 32, "customer_id": 32, "company_id": 32, "lead_id": 32,
+               "order_status": 30, "payment_status": 30},
+    "order_items": {"order_id": 32, "supplier_product_id": 32},
+    "marketing_leads": {"lead_id": 32, "country": 100, "company_size": 30, "funnel_stage": 30},
+    "web_logs": {"log_id": 32, "auth_user": 150, "request_path": 255},
+}
+# table, rule, what a row must meet
+_ROW_SQL = [
+    ("companies", "company_type_allowed", "company_type IN ('Buyer', 'Supplier')"),
+    ("companies", "rating_range", "rating BETWEEN 1 AND 5"),
+    ("supplier_product_mapping", "price_not_negative", "supplier_price >= 0"),
+    ("orders", "order_status_allowed", "order_status IN ('Pending', 'Confirmed', 'Processing', "
+                                       "'Shipped', 'Delivered', 'Cancelled')"),
+    ("orders", "payment_status_allowed", "payment_status IN ('pending', 'paid', 'failed', 'refunded')"),
+    ("orders", "total_not_negative", "order_total >= 0"),
+    ("orders", "payment_fits_status",
+     "(payment_status = 'paid') = (order_status IN ('Shipped', 'Delivered')) "
+     "AND payment_status IN ('paid', 'pending')"),
+    ("order_items", "quantity_positive", "quantity > 0"),
+    ("order_items", "amounts_not_negative", "least(unit_price, discount_amount, line_total) >= 0"),
+    ("order_items", "line_total_formula",
+     "line_total = round(quantity * unit_price - discount_amount, 2)"),
+    ("marketing_leads", "company_size_allowed",
+     "company_size IN ('1-10', '11-50', '51-200', '201-500', '500+')"),
+    ("marketing_leads", "funnel_stage_allowed", "funnel_stage IN ('New', 'Contacted', 'Qualified', "
+                                                "'Proposal', 'Negotiation', 'Won', 'Lost')"),
+    ("marketing_leads", "score_range", "lead_score BETWEEN 1 AND 100"),
+    ("marketing_leads", "updated_after_created", "updated_at >= created_at"),
+    ("marketing_leads", "score_fits_stage", """CASE funnel_stage WHEN 'New' THEN lead_score BETWEEN 1 AND 16
+      WHEN 'Contacted' THEN lead_score BETWEEN 17 AND 32 WHEN 'Qualified' THEN lead_score BETWEEN 33 AND 48
+      WHEN 'Proposal' THEN lead_score BETWEEN 49 AND 64 WHEN 'Negotiation' THEN lead_score BETWEEN 65 AND 80
+      WHEN 'Won' THEN lead_score BETWEEN 81 AND 100 WHEN 'Lost' THEN lead_score BETWEEN 1 AND 80 END"""),
+    ("marketing_leads", "value_fits_size", """CASE company_size
+      WHEN '1-10' THEN estimated_order_value BETWEEN 1000 AND 10000
+      WHEN '11-50' THEN estimated_order_value BETWEEN 10000 AND 50000
+      WHEN '51-200' THEN estimated_order_value BETWEEN 50000 AND 150000
+      WHEN '201-500' THEN estimated_order_value BETWEEN 150000 AND 500000
+      WHEN '500+' THEN estimated_order_value BETWEEN 500000 AND 2000000 END"""),
+]
+_UNIQUE_SQL = [
+    ("companies", ["company_id"]), ("companies", ["company_name"]),
+    ("categories", ["category_id"]), ("categories", ["category_name"]),
+    ("customers", ["customer_id"]), ("suppliers", ["supplier_id"]), ("products", ["product_id"]),
+    ("supplier_product_mapping", ["supplier_product_id"]),
+    ("supplier_product_mapping", ["supplier_id", "product_id"]),
+    ("orders", ["order_id"]), ("order_items", ["order_id", "supplier_product_id"]),
+    ("marketing_leads", ["lead_id"]), ("web_logs", ["log_id"]),
+]
 
 
-def _sql_report(name: str) -> list[str]:
-    table, columns, view = TABLES[name], _VIEW_COLUMNS[name], _COUNTED[name]
-    parts = [
-        f"SELECT '{rule}' AS rule, '{name}' AS table_name, count(*) AS checked, "
-        f"count(*) FILTER (WHERE NOT ({sql})) AS failed FROM {view}"
-        for rule, sql in quality.row_rules(table, columns).items()
-    ]
-    parts += [_sql_unique(name, k) for k in [table.key, *table.unique]
-              if all(c in columns for c in k)]
-    parts += [_sql_reference(name, fk, parent, key).replace(f"{fk}_in_{parent}", f"{fk}_reference")
-              for fk, (parent, key) in table.references.items()
-              if fk in columns and key in _VIEW_COLUMNS[parent]]
-    return parts
-
-
-@query(with_views(" ".join(_COUNTED.values()),
-                  "\nUNION ALL\n".join(p for n in _REPORTED for p in _sql_report(n))))
+def _sql_children(rule: str, parent: str, key: str, child: str, met: str, where: str = "true") -> str:
+    """Parents whose number of children `n` does not meet a condition."""
+    return (f"SELECT '{rule}', '{parent}', count(*), count(*) FILTER (WHERE NOT ({met})) FROM "
+            f"(SELECT p.{key}, count(c.{key}) AS n FROM (SELECT {key} FROM {_COUNTED[parent]} WHERE {where}) p "
+            f"LEFT JOIN {_COUNTED[child]} c USING ({key}) GROUP BY p.{key})")
+
+
+def _sql_dated(rule: str, parent: str, key: str) -> str:
+    return (f"SELECT '{rule}', 'orders', count(*), count(*) FILTER (WHERE early) FROM "
+            f"(SELECT {key}, bool_or(order_date < p.created_at) AS early FROM shop_orders "
+            f"JOIN {parent} p USING ({key}) GROUP BY {key})")
+
+
+_KEY_SQL = [
+    _sql_children("customers_per_company", "companies", "company_id", "customers", "n BETWEEN 10 AND 80",
+                  "company_type = 'Buyer'"),
+    _sql_children("suppliers_per_product", "products", "product_id", "supplier_product_mapping",
+                  "n BETWEEN 2 AND 5"),
+    _sql_children("items_per_order", "orders", "order_id", "order_items", "n BETWEEN 1 AND 5"),
+    _sql_children("order_has_items", "orders", "order_id", "order_items", "n > 0"),
+    _sql_children("won_lead_has_one_order", "marketing_leads", "lead_id", "orders", "n = 1",
+                  "funnel_stage = 'Won'"),
+    "SELECT 'total_is_sum_of_items', 'orders', count(*), count(*) FILTER (WHERE order_total <> total) "
+    "FROM shop_orders JOIN (SELECT order_id, sum(line_total) AS total FROM order_items GROUP BY 1) "
+    "USING (order_id)",
+    _sql_dated("order_not_before_customer", "customers", "customer_id"),
+    _sql_dated("order_not_before_lead", "marketing_leads", "lead_id"),
+    "SELECT 'one_preferred_supplier', 'supplier_product_mapping', count(*), "
+    "count(*) FILTER (WHERE flagged <> 1) FROM (SELECT count(*) FILTER (WHERE is_preferred_supplier) AS flagged "
+    "FROM supplier_product_mapping GROUP BY product_id)",
+    *(f"SELECT '{rule}', '{t}', count(*), count(*) FILTER (WHERE NOT ({sql})) FROM {_COUNTED[t]} "
+      "JOIN companies USING (company_id)" for t, rule, sql in _ROLES),
+    "SELECT 'catalog_covers_lowest_price', 'products', count(*), count(*) FILTER (WHERE catalog_price < low) "
+    "FROM products JOIN (SELECT product_id, min(supplier_price) AS low FROM supplier_product_mapping GROUP BY 1) "
+    "USING (product_id)",
+    *(_sql_reference(c, fk, p, k).replace(f"'{fk}_in_{p}'", f"'{fk}_reference'")
+      for c, fk, p, k in _REFERENCES[:-1]),
+    *(_sql_unique(t, keys) for t, keys in _UNIQUE_SQL),
+    *(f"SELECT 'row_count', '{t}', count(*), CASE WHEN count(*) BETWEEN {lo} AND {hi} THEN 0 ELSE 1 END FROM {t}"
+      for t, lo, hi in _ROW_BOUNDS),
+    f"""SELECT 'status_steps_legal', 'companies', count(*) FILTER (WHERE from_status IS NOT NULL),
+       count(*) FILTER (WHERE NOT (from_status = to_status OR {_SQL_LEGAL})) FROM (
+    SELECT lag(segment) OVER (PARTITION BY company_id ORDER BY updated_at, segment) AS from_status,
+           segment AS to_status FROM company_versions)""",
+]
+_COST = keyrules.KeyRule(
+    "catalog_covers_lowest_price", "products", "products.product_id",
+    {"price": keyrules.Figure("products", ("product_id",), "min", "catalog_price"),
+     "low": keyrules.Figure("supplier_product_mapping", ("product_id",), "min", "supplier_price")},
+    "IF({price} IS NOT NULL AND {low} IS NOT NULL, 1, 0)", "IF({price} < {low}, 1, 0)")
+
+
+@query(with_views(" ".join([*_COUNTED.values(), "company_versions"]), "\nUNION ALL\n".join([
+    *(f"SELECT '{c}_not_null' AS rule, '{t}' AS table_name, count(*) AS checked, "
+      f'count(*) FILTER (WHERE "{c}" IS NULL) AS failed FROM {_COUNTED[t]}'
+      for t, columns in _FILLED.items() for c in columns.split()),
+    *(f"SELECT '{c}_length', '{t}', count(*), count(*) FILTER (WHERE length(CAST({c} AS VARCHAR)) > {n}) "
+      f"FROM {_COUNTED[t]}" for t, columns in _LONGEST.items() for c, n in columns.items()),
+    *(f"SELECT '{rule}', '{t}', count(*), count(*) FILTER (WHERE NOT ({sql})) FROM {_COUNTED[t]}"
+      for t, rule, sql in _ROW_SQL),
+    *_KEY_SQL,
+])))
 def quality_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Every rule that the views' columns allow, over all ten tables."""
     frames = shop.load_all(spark, folder)
-    frames = {n: frames[n].select(*_VIEW_COLUMNS[n]) for n in _REPORTED}
-    return quality.quality_report([TABLES[n] for n in _REPORTED], frames)
+    steps = quality.check_steps(shop.company_versions(spark, folder), "companies", ["company_id"],
+                                "updated_at", "segment", _FOLLOWING)
+    report = quality.quality_report(
+        list(TABLES.values()), frames, [*key_rules(), _COST],
+        {t: (lo, hi) for t, lo, hi in _ROW_BOUNDS}, [steps])
+    return report.where(F.col("checked").isNotNull())
+
 
+@query("""
+SELECT rule, table_name FROM (VALUES
+ ('cuit_tax_id_not_null', 'companies'), ('city_not_null', 'companies'), ('address_not_null', 'companies'),
+ ('created_at_not_null', 'companies'), ('updated_at_not_null', 'companies'), ('cuit_tax_id_length', 'companies'),
+ ('city_length', 'companies'), ('address_length', 'companies'), ('updated_after_created', 'companies'),
+ ('cuit_tax_id_unique', 'companies'),
+ ('created_at_not_null', 'categories'), ('updated_at_not_null', 'categories'),
+ ('updated_after_created', 'categories')) AS t(rule, table_name)""")
+def unjudged_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules of two tables that the views lack the columns for; the gate does not pass them."""
+    names = ["companies", "categories"]
+    frames = dict(zip(names, shop.load(spark, folder, *names), strict=True))
+    rules = [r for n in names for r in keyrules.of_table(TABLES[n])]
+    report = quality.quality_report([TABLES[n] for n in names], frames, rules)
+    return report.where(F.col("checked").isNull()).select("rule", "table_name")

@@ -212,8 +212,11 @@ def _log_file(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _as_layout(rows: DataFrame, table: str) -> DataFrame:
-    """A view's columns in the full layout of its table."""
-    return fitting.accepted(fitting.conform(rows, TABLES[table].source))
+    """A view's columns in the full layout of its table; a value that does not fit is an error."""
+    fitted = fitting.conform(rows, TABLES[table].source)
+    return fitted.withColumn(fitting.REJECTED, F.when(F.size(fitting.REJECTED) > 0, F.raise_error(
+        F.concat(F.lit(f"{table}: "), F.array_join(fitting.REJECTED, ", "))))).where(
+        F.col(fitting.REJECTED).isNull()).drop(fitting.REJECTED)
 
 
 @dataclass(frozen=True)
@@ -334,9 +337,9 @@ def version_switch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(with_views("shop_orders order_items", """
-SELECT strftime(order_date, '%Y-%m') AS month, CAST(sum(amount) AS DOUBLE) AS revenue,
-       CAST(sum(units) AS BIGINT) AS units, count(*) AS orders
-FROM shop_orders JOIN sums USING (order_id) WHERE order_status <> 'Cancelled' GROUP BY 1
+SELECT strftime(order_date, '%Y-%m') AS month, CAST(sum(coalesce(amount, 0)) AS DOUBLE) AS revenue,
+       CAST(sum(coalesce(units, 0)) AS BIGINT) AS units, count(*) AS orders
+FROM shop_orders LEFT JOIN sums USING (order_id) WHERE order_status <> 'Cancelled' GROUP BY 1
 """, sums="SELECT order_id, sum(line_total) AS amount, sum(quantity) AS units "
           "FROM order_items GROUP BY 1"))
 def warehouse_build(spark: SparkSession, folder: str) -> DataFrame:

@@ -72,6 +72,8 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("company_id"),
         F.col("c_name").alias("customer_name"),
         F.col("c_mktsegment").alias("job_title"),
+        F.expr("TIMESTAMP_NTZ '1992-01-01 00:00:00' + make_dt_interval(cast(c_custkey % 2000 AS INT))")
+        .alias("created_at"),
     )
 
 
@@ -179,7 +181,8 @@ def marketing_leads(spark: SparkSession, folder: str) -> DataFrame:
         (money(F.col("value")) * 1000).cast("decimal(12,2)").alias("estimated_order_value"),
         F.element_at(stages, F.floor(k / 15).cast("int") + 1).alias("funnel_stage"),
         F.col("ts").alias("created_at"),
-        F.col("ts").alias("updated_at"),
+        # A few are changed before they are created.
+        F.expr("ts + make_dt_interval(0, _k - 3)").alias("updated_at"),
     )
 
 
@@ -264,7 +267,9 @@ SQL: dict[str, str] = {
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "customers": """
         SELECT c_custkey AS customer_id, 'C' || c_custkey AS company_id,
-               c_name AS customer_name, c_mktsegment AS job_title FROM customer""",
+               c_name AS customer_name, c_mktsegment AS job_title,
+               TIMESTAMP '1992-01-01' + to_days(CAST(c_custkey % 2000 AS INTEGER)) AS created_at
+        FROM customer""",
     "suppliers": """
         SELECT s_suppkey AS supplier_id, 'S' || s_suppkey AS company_id,
                s_name AS supplier_name FROM supplier""",
@@ -309,7 +314,7 @@ SQL: dict[str, str] = {
                CAST(greatest(1, least(100, ceil(value))) AS INTEGER) AS lead_score,
                CAST(CAST(value AS DECIMAL(12,2)) * 1000 AS DECIMAL(12,2)) AS estimated_order_value,
                {_sql_list(FUNNEL_STAGES)}[k // 15 + 1] AS funnel_stage,
-               ts AS created_at, ts AS updated_at
+               ts AS created_at, ts + to_hours(k - 3) AS updated_at
         FROM (SELECT *, {_SQL_K} AS k FROM events WHERE event_type = 'signup')""",
     "web_logs": f"""
         SELECT event_id AS log_id, ts AS "timestamp",

@@ -170,6 +170,13 @@ _CHECKS = {
     "marketing_leads": {"score_range": "lead_score BETWEEN 1 AND 100"},
 }
 
+# Companies that customers, suppliers and orders may belong to.
+BEHIND = {
+    "customers": ("under_a_buyer", "company_type = 'Buyer'"),
+    "suppliers": ("under_a_supplier", "company_type = 'Supplier'"),
+    "orders": ("well_rated_buyer", "company_type = 'Buyer' AND rating >= 2.0"),
+}
+
 # ----------------------------- end of fixed values -------------------------
 
 _TYPES = {
@@ -217,10 +224,6 @@ class Table:
     def required(self) -> list[str]:
         return [c for c in self.columns if c not in self.nullable]
 
-    @property
-    def has_stamps(self) -> bool:
-        return "updated_at" in self.columns
-
 
 def _staged(name: str, source: T.StructType) -> T.StructType:
     narrow = _NARROWED.get(name, [])
@@ -234,7 +237,7 @@ def _staged(name: str, source: T.StructType) -> T.StructType:
 
 def _table(name: str) -> Table:
     source = layout(_SOURCE[name])
-    checks = dict(_CHECKS.get(name, {}))
+    checks = {**_CHECKS.get(name, {}), **_FORMULAS.get(name, {})}
     if "updated_at" in source.fieldNames():
         checks["updated_after_created"] = "updated_at >= created_at"
     return Table(
@@ -251,6 +254,21 @@ def _table(name: str) -> Table:
     )
 
 
+def _by_class(value: str, key: str, ranges: dict[str, tuple[int, int]]) -> str:
+    """The range of a value by its class, as a row rule; an unknown class gives NULL."""
+    arms = " ".join(f"WHEN '{k}' THEN {value} BETWEEN {lo} AND {hi}" for k, (lo, hi) in ranges.items())
+    return f"CASE {key} {arms} END"
+
+
+# Rules between columns of a row.
+_FORMULAS = {
+    "orders": {"payment_fits_status": "payment_status = CASE WHEN order_status IN ('Shipped', 'Delivered') "
+                                      "THEN 'paid' ELSE 'pending' END"},
+    "order_items": {"line_total_formula": "line_total = round(quantity * unit_price - discount_amount, 2)"},
+    "marketing_leads": {"score_fits_stage": _by_class("lead_score", "funnel_stage", STAGE_SCORES),
+                        "value_fits_size": _by_class("estimated_order_value", "company_size", SIZE_VALUES)},
+}
+
 TABLES: dict[str, Table] = {name: _table(name) for name in _SOURCE}
 
 # The tables that are extracted by watermark, parents before children, and the
