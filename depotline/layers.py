@@ -42,6 +42,8 @@ WAREHOUSE: dict[str, Builder] = {
     "fact_sales": lambda t: marts.sales_fact(
         t["orders"], marts.placed_items(t["order_items"], t["supplier_product_mapping"])),
     "fact_orders": lambda t: marts.order_fact(t["orders"], t["order_items"]),
+    # Each order at the version of its company that held then.
+    "fact_orders_as_of": lambda t: marts.at_company_version(t["fact_orders"], t["dim_companies"]),
     "fact_leads": lambda t: marts.conversion(t["marketing_leads"], t["orders"]),
 }
 
@@ -51,6 +53,8 @@ MARTS: dict[str, Builder] = {
         t["fact_sales"], t["products"], t["categories"]),
     "revenue_by_product": lambda t: marts.revenue_by_product(t["fact_sales"]),
     "revenue_by_country": lambda t: marts.revenue_by_country(t["fact_orders"], t["companies"]),
+    "revenue_by_country_at_order": lambda t: marts.revenue_by_country_at_order(
+        t["fact_orders_as_of"]),
     "average_order_value": lambda t: marts.average_order_value(t["fact_orders"]),
     "customer_lifetime_value": lambda t: marts.customer_lifetime_value(
         t["customers"], t["fact_orders"]),
@@ -78,10 +82,12 @@ def read(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
 
 def _build(layer: str, builders: Mapping[str, Builder], inputs: Frames, root: str, version: str,
            at: datetime) -> dict[str, DataFrame]:
-    return {
-        name: versions.reload(build(inputs), root, stored_name(layer, name), version, at)
-        for name, build in builders.items()
-    }
+    """Tables of one layer in order; a later one may read an earlier one."""
+    done: dict[str, DataFrame] = {}
+    for name, build in builders.items():
+        done[name] = versions.reload(build({**inputs, **done}), root, stored_name(layer, name),
+                                     version, at)
+    return done
 
 
 def build(spark: SparkSession, root: str, staged: Sequence[str] = tuple(EXTRACTED),

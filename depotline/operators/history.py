@@ -47,12 +47,15 @@ def _same_key(held: str, key: Sequence[str]) -> Column:
     return reduce(and_, [F.col(f"{held}.{k}").eqNullSafe(F.col(k)) for k in key])
 
 
-def _carried(parted: DataFrame, key: Sequence[str], row: Column, forward: bool) -> DataFrame:
+def _carried(parted: DataFrame, key: Sequence[str], row: Column, forward: bool,
+             giving: Column | None = None) -> DataFrame:
     """Per part the row of its outermost key that lies next to it in the parts before or after.
 
-    A part asks for one row and gives one, so a key meets two small rows per part.
+    A part asks for one row and gives one, so a key meets two small rows per part. ``giving``
+    names the rows that may be given; a part without any gives none and is passed over.
     """
-    given, wanted = (F.max(row), F.min(row)) if forward else (F.min(row), F.max(row))
+    offered = row if giving is None else F.when(giving, row)
+    given, wanted = (F.max(offered), F.min(row)) if forward else (F.min(offered), F.max(row))
     ends = parted.groupBy(_PART).agg(given.alias("_given"), wanted.alias("_wanted"))
     sides = ends.select(_PART, F.explode(F.array(
         F.struct(F.lit(False).alias("gives"), F.col("_wanted").alias("row")),
@@ -126,6 +129,40 @@ def as_of(history: DataFrame, when: datetime) -> DataFrame:
     return history.where((F.col("valid_from") <= then) & open_or_later)
 
 
+def as_of_join(facts: DataFrame, versions: DataFrame, key: Sequence[str], fact_at: str, at: str,
+               columns: Sequence[str]) -> DataFrame:
+    """The facts with ``columns`` of the version of their key that held at their own time.
+
+    That is the newest one that began at or before the fact; before the first version, for a key
+    without versions and for a NULL key or time the columns are NULL. Versions are one per key and
+    ``at``. Facts and versions are put in one order of key and time and cut into parts, so a
+    key with a third of all facts spans many parts; the last version is carried from part to
+    part. No fact meets more than one version and no side is broadcast.
+    """
+    asked = facts.select(*key, F.col(fact_at).alias("_at"), F.lit(True).alias("_asks"),
+                         F.struct(*[F.col(c) for c in facts.columns]).alias("_fact"))
+    told = versions.select(*key, F.col(at).alias("_at"), F.lit(False).alias("_asks"),
+                           F.struct(*[F.col(c) for c in columns]).alias("_version"))
+    both = asked.unionByName(told, allowMissingColumns=True).withColumn(
+        "_spread", F.when(F.col("_asks"), F.xxhash64("_fact")))
+    # At one instant the version comes first; facts of one instant may lie in several parts.
+    order = [*key, "_at", "_asks", "_spread"]
+    parted = _parted(both, order)
+
+    row = F.struct(*key, "_at", "_version")
+    before = (Window.partitionBy(_PART).orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    held = F.last(F.when(~F.col("_asks"), row), ignorenulls=True).over(before)
+    carried = _carried(parted.withColumn("_row", row), key, F.col("_row"), forward=True,
+                       giving=~F.col("_asks"))
+    found = (parted.withColumn("_held", held).where("_asks").join(carried, _PART)
+             .withColumn("_held", F.when(_same_key("_held", key), F.col("_held"))
+                         .otherwise(F.when(_same_key("_carried", key), F.col("_carried")))))
+    known = reduce(and_, [F.col(k).isNotNull() for k in key]) & F.col("_at").isNotNull()
+    return found.select("_fact.*", *[
+        F.when(known, F.col(f"_held._version.{c}")).alias(c) for c in columns])
+
+
 def steps(rows: DataFrame, key: Sequence[str], at: str, status: str) -> DataFrame:
     """Every change from one version to the next: key, at, ``from_status``, ``to_status``."""
     before = with_previous(rows.select(*key, at, status), key, at, [status])

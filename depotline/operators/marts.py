@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from depotline.functions.numbers import ratio
 from depotline.functions.times import day_of, month_of
 from depotline.operators.aggregates import union_all
+from depotline.operators.history import as_of_join
 
 CANCELLED = "Cancelled"
 
@@ -90,6 +91,22 @@ def revenue_by_country(placed: DataFrame, companies: DataFrame) -> DataFrame:
         "country").agg(F.sum("amount").alias("revenue"), F.sum("orders").alias("orders"))
 
 
+def at_company_version(placed: DataFrame, companies: DataFrame) -> DataFrame:
+    """Orders with the ``country`` of their company at the time of the order, and since when it held.
+
+    ``companies`` is the companies' history.
+    """
+    versions = companies.select("company_id", F.col("valid_from").alias("company_valid_from"), "country")
+    return as_of_join(placed, versions, ["company_id"], "order_date", "company_valid_from",
+                      ["company_valid_from", "country"])
+
+
+def revenue_by_country_at_order(dated: DataFrame) -> DataFrame:
+    """Revenue by the country that the company had when it ordered; NULL before its first version."""
+    return dated.where("is_revenue").groupBy("country").agg(
+        F.sum("amount").alias("revenue"), counted("orders"))
+
+
 def revenue_by_product(sales: DataFrame) -> DataFrame:
     return sales.where("is_revenue").groupBy("product_id").agg(
         F.sum("line_total").alias("revenue"), F.sum("quantity").alias("units"))

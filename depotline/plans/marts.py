@@ -166,6 +166,18 @@ def revenue_by_country(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("country", *as_double("revenue"), "orders")
 
 
+@query(with_views("shop_orders order_items company_moves", """
+SELECT country, CAST(sum(line_total) AS DOUBLE) AS revenue, count(*) AS orders
+FROM placed p ASOF LEFT JOIN single s ON p.company_id = s.company_id AND p.order_date >= s.updated_at
+GROUP BY country""", **_PLACED, single="""
+SELECT company_id, updated_at, max(country) AS country FROM company_moves GROUP BY 1, 2"""))
+def revenue_by_country_at_order(spark: SparkSession, folder: str) -> DataFrame:
+    """By where the company was when it ordered, not by where it is now."""
+    moved = history.scd2(shop.company_moves(spark, folder), ["company_id"], "updated_at", ["country"])
+    dated = marts.at_company_version(_placed(spark, folder), moved)
+    return marts.revenue_by_country_at_order(dated).select("country", *as_double("revenue"), "orders")
+
+
 @query(with_views("shop_orders order_items", """
 SELECT count(*) AS orders, CAST(sum(line_total) AS DOUBLE) AS revenue,
        CAST(sum(line_total) AS DOUBLE) / count(*) AS average_order_value

@@ -207,6 +207,15 @@ def company_versions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def company_moves(spark: SparkSession, folder: str) -> DataFrame:
+    """Where a buyer was at a time; the events' month is spread over the years of the orders."""
+    at = "TIMESTAMP_NTZ '1995-01-01 00:00:00' + (ts - TIMESTAMP_NTZ '2024-01-01 00:00:00') * 80"
+    return read(spark, folder, "events").select(
+        F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("company_id"),
+        F.expr(at).alias("updated_at"),
+        F.concat(F.lit("NATION_"), F.floor(_k() / 4).cast("string")).alias("country"))
+
+
 TABLES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "companies": companies,
     "categories": categories,
@@ -323,6 +332,10 @@ SQL: dict[str, str] = {
                CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status_code,
                CAST(CAST(value AS DECIMAL(12,2)) * 100 AS INTEGER) AS bytes_sent, is_bot
         FROM (SELECT *, {_SQL_K} < 5 AS is_bot FROM events)""",
+    "company_moves": f"""
+        SELECT 'C' || user_id AS company_id,
+               TIMESTAMP '1995-01-01' + (ts - TIMESTAMP '2024-01-01') * 80 AS updated_at,
+               'NATION_' || ({_SQL_K} // 4) AS country FROM events""",
     "company_versions": """
         SELECT user_id AS company_id, ts AS updated_at, event_type AS segment,
                CAST(value AS DECIMAL(12,2)) AS amount FROM events""",

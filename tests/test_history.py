@@ -183,3 +183,41 @@ def test_extra_columns_stay(frame):
     got = history.with_previous(frame(versions(9)), ["id"], "at", ["grade"])
     assert got.columns == ["id", "at", "grade", "size", "previous"]
     assert got.where(F.col("size").isNull()).count() == 0
+
+
+def brute_as_of(facts, versions_):
+    out = []
+    for key, at, name in facts:
+        held = [(v_at, value) for v_key, v_at, value in versions_
+                if v_key == key and key is not None and at is not None and v_at <= at]
+        out.append((key, at, name, *(max(held) if held else (None, None))))
+    return sorted(map(str, out))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_as_of_join_equals_brute_force(spark, many_parts, seed):
+    """One key owns a third of all facts, some lie before its first version, some at its very time."""
+    draw = random.Random(seed)
+
+    def moment_():
+        return START + timedelta(hours=draw.randint(0, 400))
+
+    told = {(draw.choice([0, 0, 0, *range(1, 30)]), moment_()): draw.choice("xyz") for _ in range(250)}
+    told = [(k, at + timedelta(hours=60), v) for (k, at), v in told.items()]
+    facts = [(draw.choice([0] * 15 + [*range(1, 40), None]), draw.choice([None] + [moment_()] * 40), f"f{i}")
+             for i in range(900)]
+    facts += [(5, START + timedelta(hours=100), "same")] * 40
+    got = history.as_of_join(
+        spark.createDataFrame(facts, "id INT, at TIMESTAMP_NTZ, name STRING"),
+        spark.createDataFrame(told, "id INT, since TIMESTAMP_NTZ, value STRING"),
+        ["id"], "at", "since", ["since", "value"])
+    assert got.columns == ["id", "at", "name", "since", "value"]
+    assert sorted(map(str, map(tuple, got.collect()))) == brute_as_of(facts, told)
+
+
+def test_as_of_join_without_versions_or_facts(spark):
+    facts = spark.createDataFrame([(1, START)], "id INT, at TIMESTAMP_NTZ")
+    none = spark.createDataFrame([], "id INT, since TIMESTAMP_NTZ, value STRING")
+    assert [tuple(r) for r in history.as_of_join(facts, none, ["id"], "at", "since", ["value"]).collect()] == [
+        (1, START, None)]
+    assert history.as_of_join(facts.limit(0), none, ["id"], "at", "since", ["value"]).count() == 0
