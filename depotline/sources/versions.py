@@ -7,6 +7,7 @@ new rows, and a failed reload leaves the old ones.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,6 +28,21 @@ def current_version(spark: SparkSession, root: str, table: str) -> str | None:
     return log.agg(F.max_by("version", F.struct("recorded_at", "version"))).first()[0]
 
 
+def current_versions(spark: SparkSession, root: str) -> dict[str, str]:
+    """The newest complete version of every table; one row per table reaches the driver."""
+    log = read_or_empty(spark, _log(root), VERSIONS)
+    newest = log.groupBy("table_name").agg(
+        F.max_by("version", F.struct("recorded_at", "version")).alias("version"))
+    return {r.table_name: r.version for r in newest.collect()}
+
+
+def switch_all(spark: SparkSession, root: str, counts: Mapping[str, int], version: str,
+               recorded_at: datetime) -> None:
+    """Make a version the current one of several tables at once: one file, so all or none."""
+    rows = [(table, version, recorded_at, n) for table, n in counts.items()]
+    literal_rows(spark, rows, VERSIONS).write.mode("append").parquet(_log(root))
+
+
 def switch_to(spark: SparkSession, root: str, table: str, version: str, recorded_at: datetime,
               row_count: int) -> None:
     row = literal_rows(spark, [(table, version, recorded_at, row_count)], VERSIONS)

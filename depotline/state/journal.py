@@ -85,14 +85,35 @@ def next_marks(tables: Mapping[str, DataFrame], old: Mapping[str, datetime],
 
 # ---- run log ---------------------------------------------------------------
 
+INTERRUPTED = "interrupted: the next run found it without an end"
+
+
 def start_run(spark: SparkSession, root: str, pipeline: str, at: datetime) -> str:
-    """Record the start of a run and return its id."""
+    """Record the start of a run and return its id.
+
+    A pipeline has one run at a time. So an earlier run of it that has no end was killed; it is
+    closed as failed in the same write.
+    """
     run_id = uuid.uuid4().hex
-    row = (run_id, pipeline, "started", at, None, None, None, "running", None)
-    _append(spark, [row], RUN_EVENTS, _runs_path(root))
+    rows = [(run_id, pipeline, "started", at, None, None, None, "running", None)]
+    for lost in open_runs(spark, root).where(F.col("pipeline_name") == pipeline).collect():
+        rows.append((lost.run_id, pipeline, "ended", at, 0, 0, None, "failed", INTERRUPTED))
+    _append(spark, rows, RUN_EVENTS, _runs_path(root))
     return run_id
 
 
+def open_runs(spark: SparkSession, root: str) -> DataFrame:
+    """Runs that were started and have no end yet: run_id, pipeline_name, run_started_at."""
+    log = run_log(read_events(spark, root))
+    return log.where(F.col("run_ended_at").isNull()).select("run_id", "pipeline_name", "run_started_at")
+
+
+def settled_until(spark: SparkSession, root: str, at: datetime) -> datetime:
+    """Before this moment no run can load rows any more: the earliest start of an open run, or ``at``."""
+    earliest = open_runs(spark, root).agg(F.min("run_started_at")).first()[0]
+    return at if earliest is None else min(at, earliest)
+
+
 def end_run(spark: SparkSession, root: str, run_id: str, pipeline: str, at: datetime,
             rows_extracted: int, rows_loaded: int, watermark_used: datetime | None,
             status: str, error_message: str | None = None) -> None:
