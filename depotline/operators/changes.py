@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,11 +92,14 @@ def late_rows(source: DataFrame, staged: DataFrame, key: Sequence[str], mark: da
               since: datetime | None = None, stamp: str = "updated_at") -> DataFrame:
     """Source rows at or below the mark that staging has not seen in this version.
 
-    ``since`` bounds the look-back; both scans then skip what is older. Only keys
-    and stamps of the staged side are read.
+    ``since`` bounds the look-back; both scans then skip what is older. Rows without a stamp,
+    which no extract past a mark ever meets, are among them until they are staged. Only keys and
+    stamps of the staged side are read.
     """
     window = F.col(stamp) <= moment(mark)
     if since is not None:
         window = window & (F.col(stamp) >= moment(since))
-    seen = staged.where(window).select(*key, stamp).distinct()
-    return source.where(window).join(seen, [*key, stamp], "left_anti")
+    window = window | F.col(stamp).isNull()
+    seen = staged.where(window).select(*[F.col(c).alias(f"_seen_{c}") for c in (*key, stamp)]).distinct()
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_seen_{c}")) for c in (*key, stamp)])
+    return source.where(window).join(seen, same, "left_anti")

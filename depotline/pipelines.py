@@ -13,32 +13,34 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from depotline.functions.times import run_time
 from depotline.operators.changes import late_rows
 from depotline.operators.history import latest_version
-from depotline.schemas import EXTRACTED, LOADED_AT, TABLES
-from depotline.sources import csv_files, versions
-from depotline.sources.conform import REJECTED, accepted, conform, rejected
-from depotline.sources.tables import (
-    Source,
-    append,
-    extract,
-    read_or_empty,
-    route,
-    staged_schema,
-    stamped,
-)
+from depotline.schemas import EXTRACTED, LOAD_DATE, LOADED_AT, TABLES
+from depotline.sources import csv_files, split, versions
+from depotline.sources.conform import GIVEN, REJECTED, conform, fits
+from depotline.sources.tables import Source, empty, extract, route, staged_schema, stamped
 from depotline.state import journal
 
+_REASONS = T.StructType([
+    T.StructField(REJECTED, T.ArrayType(T.StringType()), True),
+    T.StructField(GIVEN, T.MapType(T.StringType(), T.StringType()), True),
+])
+
 
 @dataclass(frozen=True)
 class Load:
-    """What one write did: rows read, rows written, newest stamp read."""
+    """What one write did: rows read, rows that fitted, the range of their stamps, rows without one,
+    and name, type and filled values of every column read."""
 
     extracted: int
     loaded: int
     latest: datetime | None
+    first: datetime | None = None
+    unstamped: int = 0
+    columns: tuple[tuple[str, str, int], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -54,13 +56,19 @@ def staging_path(root: str, table: str) -> str:
 
 
 def rejects_path(root: str, table: str) -> str:
-    return f"{root}/rejects/{table}"
+    """Where the rows stand that did not fit staging."""
+    return split.side(staging_path(root, table), False)
 
 
 def read_staged(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Every version of every row that was ever appended."""
-    schema = staged_schema(TABLES[table].staging)
-    return read_or_empty(spark, staging_path(root, table), schema)
+    return split.read(spark, staging_path(root, table), staged_schema(TABLES[table].staging))
+
+
+def read_rejected(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Rows that did not fit, with the names and texts of what did not."""
+    schema = T.StructType([*TABLES[table].staging.fields, *_REASONS.fields])
+    return split.read(spark, staging_path(root, table), staged_schema(schema), fits=False)
 
 
 def read_latest(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -70,23 +78,29 @@ def read_latest(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def load_table(rows: DataFrame, root: str, table: str, loaded_at: datetime) -> Load:
-    """Conform and append rows. Counts and the newest stamp are taken during the write."""
-    layout = TABLES[table].staging
-    seen = Observation()
-    misfit = F.size(REJECTED) > 0
-    watched = conform(rows, layout).observe(
-        seen,
-        F.count(F.lit(1)).alias("extracted"),
-        F.count_if(misfit).alias("rejected"),
-        F.max("updated_at").alias("latest"),
-    )
-    columns = staged_schema(layout).fieldNames()
-    append(stamped(accepted(watched), loaded_at), staging_path(root, table), columns)
-    counts = seen.get
-    if counts["rejected"]:
-        bad = stamped(rejected(conform(rows, layout)), loaded_at)
-        append(bad, rejects_path(root, table), bad.columns)
-    return Load(counts["extracted"], counts["extracted"] - counts["rejected"], counts["latest"])
+    """Conform and append rows, in one pass over them.
+
+    Those that fit and those that do not leave in the same write. Counts, the range of stamps
+    and the profile of the columns are taken during it.
+    """
+    layout = TABLES[table]
+    read, kept = Observation(), Observation()
+    watched = rows.observe(
+        read, F.count(F.lit(1)).alias("rows"),
+        *[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(rows.columns)])
+    fitted = conform(watched, layout.staging, layout.lengths).observe(
+        kept, F.count_if(~fits()).alias("rejected"), F.max("updated_at").alias("latest"),
+        F.min("updated_at").alias("first"), F.count_if(F.col("updated_at").isNull()).alias("unstamped"))
+    split.write(stamped(fitted, loaded_at), fits(), staging_path(root, table), "append", [LOAD_DATE])
+    counts, profile = kept.get, read.get
+    columns = tuple((c, kind, profile[f"_n{i}"]) for i, (c, kind) in enumerate(rows.dtypes))
+    return Load(profile["rows"], profile["rows"] - counts["rejected"], counts["latest"], counts["first"],
+                counts["unstamped"], columns)
+
+
+def _record(spark: SparkSession, root: str, run_id: str, table: str, at: datetime, done: Load) -> None:
+    journal.record_load(spark, root, run_id, table, at, done.extracted, done.loaded, done.unstamped,
+                        done.first, done.latest, done.columns)
 
 
 def run_extract(spark: SparkSession, source: Source, root: str,
@@ -114,6 +128,7 @@ def run_extract(spark: SparkSession, source: Source, root: str,
 
         def load(table: str, rows: DataFrame) -> int:
             done[table] = load_table(rows, root, table, started)
+            _record(spark, root, run_id, table, started, done[table])
             new[table] = journal.later_mark(old.get(table), done[table].latest)
             journal.save_marks(spark, root, pipeline, run_id, started, old, {table: new[table]})
             return done[table].loaded
@@ -165,12 +180,9 @@ def run_snapshot(spark: SparkSession, csv_path: str, root: str, table: str,
             F.count(F.lit(1)).alias("extracted"),
             F.count_if(F.col(csv_files.CORRUPT).isNotNull()).alias("bad"),
         )
-        good = stamped(csv_files.good_lines(watched), started)
-        versions.write_version(good, root, table, run_id)
+        split.write(stamped(watched, started), csv_files.whole(watched),
+                    versions.version_path(root, table, run_id), "overwrite")
         extracted = seen.get["extracted"]
-        if seen.get["bad"]:
-            bad = stamped(csv_files.bad_lines(lines), started)
-            append(bad, rejects_path(root, table), bad.columns)
         loaded = extracted - seen.get["bad"]
         versions.switch_to(spark, root, table, run_id, started, loaded)
         journal.end_run(spark, root, run_id, pipeline, clock(), extracted, loaded, None,
@@ -182,18 +194,47 @@ def run_snapshot(spark: SparkSession, csv_path: str, root: str, table: str,
     return run_id
 
 
+def _current(spark: SparkSession, root: str, table: str, schema: T.StructType, fits: bool) -> DataFrame:
+    version = versions.current_version(spark, root, table)
+    if version is None:
+        return empty(spark, schema)
+    return split.read(spark, versions.version_path(root, table, version), schema, fits)
+
+
 def read_snapshot(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return versions.read_current(spark, root, table, staged_schema(TABLES[table].source))
+    return _current(spark, root, table, staged_schema(TABLES[table].source), True)
 
 
-def repair_late_rows(spark: SparkSession, source: Source, root: str, table: str,
-                     pipeline: str = "table_extract", since: datetime | None = None,
-                     clock: Callable[[], datetime] = run_time) -> Load:
-    """Append source rows at or below the table's mark that no run has picked up."""
-    mark = journal.read_marks(spark, root, pipeline).get(table)
-    if mark is None:
-        return Load(0, 0, None)
-    layout = TABLES[table]
-    missed = late_rows(extract(spark, source, table), read_staged(spark, root, table),
-                       layout.key, mark, since)
-    return load_table(missed, root, table, clock())
+def read_rejected_lines(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Lines of the current snapshot that do not fit, as they stand in the file."""
+    schema = T.StructType([*TABLES[table].source.fields, csv_files.CORRUPT_FIELD])
+    return _current(spark, root, table, staged_schema(schema), False)
+
+
+def repair_late_rows(spark: SparkSession, source: Source, root: str, table: str, since: datetime,
+                     pipeline: str = "table_extract", clock: Callable[[], datetime] = run_time,
+                     gate: Callable[[str, DataFrame], None] | None = None) -> Load:
+    """Append source rows at or below the table's mark that no run has picked up, as a run of its own.
+
+    Stamps from ``since`` on are looked at, and rows without a stamp. Of staging only the folders
+    of days are read whose loads hold such stamps, as the loads' records say. ``gate`` may
+    inspect the rows and raise before they are written.
+    """
+    started, name = clock(), f"{pipeline}_repair"
+    run_id = journal.start_run(spark, root, name, started)
+    done: dict[str, Load] = {}
+    try:
+        mark = journal.read_marks(spark, root, pipeline).get(table)
+        if mark is not None:
+            days = journal.load_days(spark, root, table, since, mark)
+            staged = read_staged(spark, root, table).where(F.col(LOAD_DATE).isin(days))
+            missed = late_rows(extract(spark, source, table), staged, TABLES[table].key, mark, since)
+            if gate is not None:
+                gate(table, missed)
+            done[table] = load_table(missed, root, table, started)
+            _record(spark, root, run_id, table, started, done[table])
+        _end(spark, root, run_id, name, clock(), done, mark, "completed")
+    except Exception as error:
+        _end(spark, root, run_id, name, clock(), done, None, "failed", str(error))
+        raise
+    return done.get(table, Load(0, 0, None))

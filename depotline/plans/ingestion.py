@@ -65,6 +65,7 @@ def next_watermark(spark: SparkSession, folder: str) -> DataFrame:
 # Scores above 99.99 and names that are no number do not fit this layout.
 _NARROW = T.StructType([
     T.StructField("id", T.StringType()),
+    T.StructField("segment", T.StringType()),
     T.StructField("balance", T.DecimalType(5, 2)),
     T.StructField("number", T.IntegerType()),
     T.StructField("opened", T.TimestampNTZType()),
@@ -73,10 +74,13 @@ _NARROW = T.StructType([
 
 @query("""
 SELECT CAST(c_custkey AS VARCHAR) AS id,
+       CASE WHEN length(c_mktsegment) <= 9 THEN c_mktsegment END AS segment,
+       CASE WHEN length(c_mktsegment) > 9 THEN c_mktsegment END AS segment_given,
        CAST(CASE WHEN abs(c_acctbal) <= 999.99 THEN c_acctbal END AS DOUBLE) AS balance,
        CASE WHEN c_acctbal >= 0 THEN CAST(c_custkey AS INTEGER) END AS number,
        CAST(NULL AS TIMESTAMP) AS opened,
-       concat_ws(',', CASE WHEN abs(c_acctbal) > 999.99 THEN 'balance' END,
+       concat_ws(',', CASE WHEN length(c_mktsegment) > 9 THEN 'segment' END,
+                      CASE WHEN abs(c_acctbal) > 999.99 THEN 'balance' END,
                       CASE WHEN c_acctbal < 0 THEN 'number' END) AS rejected
 FROM customer""")
 def conform_schema(spark: SparkSession, folder: str) -> DataFrame:
@@ -85,10 +89,11 @@ def conform_schema(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_custkey").alias("id"), money(balance).alias("balance"),
         F.when(balance < 0, F.col("c_name")).otherwise(F.col("c_custkey").cast("string"))
         .alias("number"),
-        "c_mktsegment",
+        F.col("c_mktsegment").alias("segment"), "c_acctbal",
     )
-    fitted = fitting.conform(rows, _NARROW)
-    return fitted.select("id", *as_double("balance"), "number", "opened",
+    fitted = fitting.conform(rows, _NARROW, {"segment": 9})
+    return fitted.select("id", "segment", F.col(fitting.GIVEN)["segment"].alias("segment_given"),
+                         *as_double("balance"), "number", "opened",
                          F.concat_ws(",", fitting.REJECTED).alias("rejected"))
 
 
@@ -215,9 +220,9 @@ def _log_file(spark: SparkSession, folder: str) -> DataFrame:
 def _as_layout(rows: DataFrame, table: str) -> DataFrame:
     """A view's columns in the full layout of its table; a value that does not fit is an error."""
     fitted = fitting.conform(rows, TABLES[table].source)
-    return fitted.withColumn(fitting.REJECTED, F.when(F.size(fitting.REJECTED) > 0, F.raise_error(
+    return fitted.withColumn(fitting.REJECTED, F.when(~fitting.fits(), F.raise_error(
         F.concat(F.lit(f"{table}: "), F.array_join(fitting.REJECTED, ", "))))).where(
-        F.col(fitting.REJECTED).isNull()).drop(fitting.REJECTED)
+        F.col(fitting.REJECTED).isNull()).drop(fitting.REJECTED, fitting.GIVEN)
 
 
 @dataclass(frozen=True)
@@ -236,6 +241,14 @@ class _Shop(Source):
         return _as_layout(changed_since(rows, None, self.until), table)
 
 
+@dataclass(frozen=True)
+class _Late(_Shop):
+    """The same source before its cancelled orders have arrived."""
+
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        return super().read(spark, table).where("order_status <> 'Cancelled'")
+
+
 @query(with_views("marketing_leads", """
 SELECT CAST(lead_id AS VARCHAR) AS lead_id, company_size, country, lead_score,
        CAST(estimated_order_value AS DOUBLE) AS estimated_order_value, funnel_stage, created_at
@@ -263,9 +276,10 @@ def csv_append(spark: SparkSession, folder: str) -> DataFrame:
     """Logs written as one CSV folder in two appends and read back."""
     path = work_folder(spark, "logs")
     logs = _log_file(spark, folder)
-    csv_files.write_csv(logs.where(~F.col("is_bot")), path, append=True)
-    csv_files.write_csv(logs.where(F.col("is_bot")), path, append=True)
-    lines = csv_files.read_csv(spark, path, TABLES["web_logs"].source)
+    csv_files.append_csv(logs.where(~F.col("is_bot")), path, "monday")
+    for _ in range(2):  # repeated, as after a failure
+        csv_files.append_csv(logs.where(F.col("is_bot")), path, "tuesday")
+    lines = csv_files.read_appended(spark, path, TABLES["web_logs"].source)
     return csv_files.good_lines(lines).select(*_LOG_COLUMNS)
 
 
@@ -367,3 +381,67 @@ def warehouse_rebuild(spark: SparkSession, folder: str) -> DataFrame:
         refreshing.refresh(spark, root, {"revenue_by_month": refreshing.SUMS["revenue_by_month"]})
     return refreshing.read(spark, root, "revenue_by_month").select(
         "month", *as_double("revenue"), "units", "orders")
+
+
+_PROFILE_SQL = [("orders", "shop_orders", "order_id customer_id company_id lead_id order_date order_status "
+                 "payment_status order_total created_at updated_at"),
+                ("order_items", "order_items", "order_item_id order_id supplier_product_id quantity unit_price "
+                 "discount_amount line_total created_at updated_at")]
+_STANDS_FOR = {"created_at": "updated_at", "order_item_id": "order_id"}
+
+
+@query(with_views("shop_orders order_items", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, {i} AS position, '{c}' AS column_name, count(*) AS row_count, "
+    f"count({_STANDS_FOR.get(c, c)}) AS non_null, count(*) - count({_STANDS_FOR.get(c, c)}) AS missing FROM {view}"
+    for t, view, columns in _PROFILE_SQL for i, c in enumerate(columns.split(), 1))))
+def run_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """What a run's loads found in each column, observed while they wrote."""
+    root = work_folder(spark, "profile")
+    pipelines.run_extract(spark, _Shop(folder), root, tables=["orders", "order_items"])
+    return journal.read_profiles(spark, root).select(
+        "table_name", "position", "column_name", "row_count", "non_null", "missing")
+
+
+@query(with_views("shop_orders", f"""
+SELECT 'rows' AS kind, CAST(order_id AS VARCHAR) AS order_id, order_status FROM shop_orders
+WHERE updated_at <= TIMESTAMP '{_LATER}'
+UNION ALL
+SELECT 'repaired', CAST(count(*) AS VARCHAR), 'completed' FROM shop_orders
+WHERE order_status = 'Cancelled' AND updated_at BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '{_LATER}'
+"""))
+def late_row_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Cancelled orders come in late, behind the mark; a repair from 1997 on and one of all bring them."""
+    root = work_folder(spark, "repair")
+    shop_, missing = _Shop(folder, until=_LATER), _Late(folder, until=_LATER)
+    pipelines.run_extract(spark, missing, root, tables=["orders"])
+    for since in (datetime(1997, 1, 1), datetime(1900, 1, 1)):
+        pipelines.repair_late_rows(spark, shop_, root, "orders", since)
+    runs = journal.run_log(journal.read_events(spark, root)).where("pipeline_name LIKE '%repair'")
+    first = runs.agg(F.min(F.struct("run_started_at", F.col("rows_loaded").cast("string").alias("order_id"),
+                                    F.col("status").alias("order_status"))).alias("_r"))
+    rows = pipelines.read_staged(spark, root, "orders").select(F.lit("rows").alias("kind"), "order_id",
+                                                               "order_status")
+    return rows.unionByName(first.select(F.lit("repaired").alias("kind"), "_r.order_id", "_r.order_status"))
+
+
+@query("""
+SELECT "timestamp" AS ts, line FROM (
+ SELECT ts AS "timestamp", event_id || ',' || coalesce(event_type, '') || ',many' AS line
+ FROM events WHERE event_type = 'error')""")
+def csv_bad_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Error events written with a word for their size: a snapshot keeps these lines aside, whole."""
+    root = work_folder(spark, "lines")
+    events = shop.read(spark, folder, "events")
+    size = F.when(F.col("event_type") == "error", "many").otherwise("1")
+    blank = {f.name: F.lit(None).cast("string") for f in TABLES["web_logs"].source}
+    blank |= {"log_id": F.col("event_id").cast("string"), "request_path": F.col("event_type"),
+              "bytes_sent": size, "timestamp": F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")}
+    lines = events.select(*[c.alias(n) for n, c in blank.items()])
+    csv_files.write_csv(lines, f"{root}/logs.csv")
+    pipelines.run_snapshot(spark, f"{root}/logs.csv", root, "web_logs")
+    bad = pipelines.read_rejected_lines(spark, root, "web_logs")
+    parts = F.split(csv_files.CORRUPT, ",")
+    names = TABLES["web_logs"].columns
+    cell = {n: F.element_at(parts, names.index(n) + 1) for n in blank}
+    return bad.select(cell["timestamp"].cast("timestamp_ntz").alias("ts"), F.concat_ws(
+        ",", cell["log_id"], cell["request_path"], cell["bytes_sent"]).alias("line"))

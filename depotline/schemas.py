@@ -285,6 +285,14 @@ RUN_EVENTS = layout(
     "run_id STRING, pipeline_name STRING, event STRING, at TIMESTAMP_NTZ, rows_extracted BIGINT, "
     "rows_loaded BIGINT, watermark_used TIMESTAMP_NTZ, status STRING, error_message STRING"
 )
+PROFILES = layout(
+    "run_id STRING, table_name STRING, recorded_at TIMESTAMP_NTZ, position INT, column_name STRING, "
+    "data_type STRING, row_count BIGINT, non_null BIGINT, missing BIGINT"
+)
+LOADS = layout(
+    "run_id STRING, table_name STRING, loaded_at TIMESTAMP_NTZ, load_date DATE, rows_extracted BIGINT, "
+    "rows_loaded BIGINT, unstamped BIGINT, first_stamp TIMESTAMP_NTZ, last_stamp TIMESTAMP_NTZ"
+)
 VERSIONS = layout(
     "table_name STRING, version STRING, recorded_at TIMESTAMP_NTZ, row_count BIGINT"
 )

@@ -6,9 +6,10 @@ per table; a database is the same reader with format ``jdbc``.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +24,9 @@ from depotline.schemas import LOAD_DATE, LOADED_AT, TABLES
 class Source:
     """Where tables are extracted from.
 
-    ``options`` go to the reader. ``per_table`` adds options for one table, such as
-    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` for
-    a parallel database read. ``names`` maps a table to its name at the source.
+    ``options`` go to the reader. ``per_table`` adds options for one table. A database table
+    with ``partitionColumn`` and ``numPartitions`` is read in parallel: its bounds are asked for
+    in one small query and turned into ranges. ``names`` maps a table to its name at the source.
     """
 
     root: str = ""
@@ -36,12 +37,64 @@ class Source:
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         """The whole table with every column the source has."""
-        reader = spark.read.format(self.format).options(**self.options)
-        reader = reader.options(**self.per_table.get(table, {}))
         name = self.names.get(table, table)
         if self.format == "jdbc":
-            return reader.option("dbtable", name).load()
-        return reader.load(f"{self.root}/{name}")
+            return self._read_database(spark, table, name)
+        reader = spark.read.format(self.format).options(**self.options)
+        return reader.options(**self.per_table.get(table, {})).load(f"{self.root}/{name}")
+
+    def database_options(self, table: str) -> dict[str, str]:
+        """Reader options of a database table; times without a zone stay so."""
+        return {"preferTimestampNTZ": "true", **self.options, **self.per_table.get(table, {})}
+
+    def _read_database(self, spark: SparkSession, table: str, name: str) -> DataFrame:
+        options = self.database_options(table)
+        column, parts = options.pop("partitionColumn", None), int(options.pop("numPartitions", 1))
+        if column is None or parts < 2:
+            return spark.read.format("jdbc").options(**options).option("dbtable", name).load()
+        bounds = spark.read.format("jdbc").options(**options).option(
+            "query", bounds_query(name, column)).load().first()
+        ranges = range_predicates(column, bounds[0], bounds[1], parts)
+        url = options.pop("url")
+        return spark.read.jdbc(url, name, predicates=ranges, properties=options)
+
+
+def bounds_query(name: str, column: str) -> str:
+    """The one query that finds a table's bounds."""
+    return f"SELECT min({column}) AS low, max({column}) AS high FROM {name}"
+
+
+def _literal(value) -> str:
+    if isinstance(value, (int, float)):
+        return str(value)
+    shown = value.isoformat(sep=" ") if isinstance(value, datetime) else str(value)
+    return "'" + shown.replace("'", "''") + "'"
+
+
+def range_predicates(column: str, low, high, parts: int) -> list[str]:
+    """Conditions that deal the rows into ranges between two bounds, each row to one of them.
+
+    Bounds are numbers, dates or times. The outer ranges are open, so rows that come after the
+    bounds were asked for are read too; NULL goes with the first. An empty table is one range.
+    """
+    if low is None or high is None or low == high or parts < 2:
+        return ["1 = 1"]
+    if isinstance(low, date) and not isinstance(low, datetime):
+        parts = min(parts, (high - low).days)
+    elif isinstance(low, int):
+        parts = min(parts, high - low)
+    width = high - low
+    # Whole numbers stay whole; a date's step is whole days.
+    cuts = [low + (width * i // parts if isinstance(low, int) else width * i / parts)
+            for i in range(1, parts)]
+    if isinstance(low, date) and not isinstance(low, datetime):
+        cuts = [low + timedelta(days=width.days * i // parts) for i in range(1, parts)]
+    if not cuts:
+        return ["1 = 1"]
+    shown = [_literal(c) for c in cuts]
+    return [f"{column} < {shown[0]} OR {column} IS NULL",
+            *(f"{column} >= {a} AND {column} < {b}" for a, b in itertools.pairwise(shown)),
+            f"{column} >= {shown[-1]}"]
 
 
 def extract(spark: SparkSession, source: Source, table: str,
@@ -73,7 +126,11 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
     """A few rows known to the driver, as one task."""
     def literal(value, column: T.StructField):
-        shown = value.isoformat(sep=" ") if isinstance(value, datetime) else value
+        shown = value
+        if isinstance(value, datetime):
+            shown = value.isoformat(sep=" ")
+        elif isinstance(value, date):
+            shown = value.isoformat()
         return F.lit(shown).cast(column.dataType).alias(column.name)
 
     listed = [F.struct(*[literal(v, c) for v, c in zip(row, schema)]) for row in rows]

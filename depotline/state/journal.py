@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from depotline.functions.times import at as moment
 from depotline.operators.aggregates import union_all
-from depotline.schemas import RUN_EVENTS, WATERMARKS
+from depotline.schemas import LOADS, PROFILES, RUN_EVENTS, WATERMARKS
 from depotline.sources.tables import literal_rows, read_or_empty
 
 
@@ -155,3 +155,47 @@ def run_metrics(log: DataFrame) -> DataFrame:
         F.coalesce(F.sum("rows_loaded"), F.lit(0)).alias("rows_loaded"),
         F.avg(seconds).alias("mean_seconds"),
     )
+
+
+# ---- loads and profiles ----------------------------------------------------
+
+def record_load(spark: SparkSession, root: str, run_id: str, table: str, loaded_at: datetime,
+                rows_extracted: int, rows_loaded: int, unstamped: int, first: datetime | None,
+                last: datetime | None, columns: Sequence[tuple[str, str, int]]) -> None:
+    """What one load wrote, with the range of its stamps, and the profile of what it read.
+
+    ``columns`` holds name, type and filled values of every column that was read.
+    """
+    row = (run_id, table, loaded_at, loaded_at.date(), rows_extracted, rows_loaded, unstamped, first, last)
+    _append(spark, [row], LOADS, f"{root}/state/loads")
+    if columns:
+        listed = [(run_id, table, loaded_at, i, name, kind, rows_extracted, filled, rows_extracted - filled)
+                  for i, (name, kind, filled) in enumerate(columns, 1)]
+        _append(spark, listed, PROFILES, f"{root}/state/profiles")
+
+
+def read_loads(spark: SparkSession, root: str) -> DataFrame:
+    """One row per load of a table."""
+    return read_or_empty(spark, f"{root}/state/loads", LOADS)
+
+
+def read_profiles(spark: SparkSession, root: str) -> DataFrame:
+    """One row per load and column: type, rows, filled and missing values."""
+    return read_or_empty(spark, f"{root}/state/profiles", PROFILES)
+
+
+def run_shapes(profiles: DataFrame) -> DataFrame:
+    """Rows and columns per load."""
+    return profiles.groupBy("run_id", "table_name").agg(
+        F.max("row_count").alias("row_count"), F.count(F.lit(1)).alias("column_count"))
+
+
+def load_days(spark: SparkSession, root: str, table: str, first: datetime, last: datetime) -> list:
+    """Days whose loads of a table hold a stamp within a range, or rows without a stamp.
+
+    One row per day of loading reaches the driver.
+    """
+    meets = (F.col("first_stamp") <= moment(last)) & (F.col("last_stamp") >= moment(first))
+    days = read_loads(spark, root).where((F.col("table_name") == table) & (
+        F.coalesce(meets, F.lit(False)) | (F.col("unstamped") > 0)))
+    return [r.load_date for r in days.select("load_date").distinct().collect()]

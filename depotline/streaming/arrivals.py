@@ -6,13 +6,14 @@ file stream reads each file once: its checkpoint remembers which ones are done.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from depotline.functions.times import run_time
 from depotline.schemas import TABLES
-from depotline.sources.csv_files import CORRUPT, bad_lines, good_lines
+from depotline.sources import split
+from depotline.sources.csv_files import CORRUPT, CORRUPT_FIELD, whole
 from depotline.sources.tables import read_or_empty, staged_schema, stamped
 
 BATCH = "_batch"
@@ -22,19 +23,16 @@ def _target(root: str, table: str) -> str:
     return f"{root}/arrivals/{table}"
 
 
-def _rejects(root: str, table: str) -> str:
-    return f"{root}/arrivals_rejects/{table}"
-
-
 def take_in(spark: SparkSession, folder: str, root: str, table: str,
             files_per_batch: int = 1000) -> None:
     """Load every file that is new since the last call, then stop.
 
-    A batch writes a folder of its own number. A batch that is repeated after a
-    failure replaces that folder, so each file counts once.
+    A batch writes lines that fit and lines that do not in one pass, each kind into a folder of
+    the batch's number. A batch that is repeated after a failure replaces both, so each
+    file counts once.
     """
     layout = TABLES[table].source
-    with_text = T.StructType([*layout.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    with_text = T.StructType([*layout.fields, CORRUPT_FIELD])
     lines = (
         spark.readStream.schema(with_text)
         .options(header="true", escape='"', enforceSchema="false")
@@ -44,15 +42,8 @@ def take_in(spark: SparkSession, folder: str, root: str, table: str,
     )
 
     def load(rows: DataFrame, number: int) -> None:
-        batch = f"{BATCH}={number}"
-        loaded_at = run_time()
-        seen = Observation()
-        watched = rows.observe(seen, F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"))
-        stamped(good_lines(watched), loaded_at).write.mode("overwrite").parquet(
-            f"{_target(root, table)}/{batch}")
-        if seen.get["bad"]:
-            stamped(bad_lines(rows), loaded_at).write.mode("overwrite").parquet(
-                f"{_rejects(root, table)}/{batch}")
+        split.write(stamped(rows, run_time()), whole(rows), f"{_target(root, table)}/{BATCH}={number}",
+                    "overwrite")
 
     query = (
         lines.writeStream.foreachBatch(load)
@@ -63,16 +54,18 @@ def take_in(spark: SparkSession, folder: str, root: str, table: str,
     query.awaitTermination()
 
 
+def _read(spark: SparkSession, root: str, table: str, layout: T.StructType, fits: bool) -> DataFrame:
+    schema = T.StructType([*staged_schema(layout).fields, T.StructField(BATCH, T.LongType(), True),
+                           T.StructField(split.FITS, T.BooleanType(), True)])
+    rows = read_or_empty(spark, _target(root, table), schema)
+    return rows.where(F.col(split.FITS) == fits).drop(split.FITS)
+
+
 def read_arrivals(spark: SparkSession, root: str, table: str) -> DataFrame:
     """All rows taken in, with the number of the batch that brought them."""
-    base = staged_schema(TABLES[table].source)
-    schema = T.StructType([*base.fields, T.StructField(BATCH, T.LongType(), True)])
-    return read_or_empty(spark, _target(root, table), schema)
+    return _read(spark, root, table, TABLES[table].source, True)
 
 
 def read_rejected_arrivals(spark: SparkSession, root: str, table: str) -> DataFrame:
-    base = TABLES[table].source
-    with_text = T.StructType([*base.fields, T.StructField(CORRUPT, T.StringType(), True)])
-    schema = T.StructType(
-        [*staged_schema(with_text).fields, T.StructField(BATCH, T.LongType(), True)])
-    return read_or_empty(spark, _rejects(root, table), schema)
+    """Lines that do not fit, as they stand in their files."""
+    return _read(spark, root, table, T.StructType([*TABLES[table].source.fields, CORRUPT_FIELD]), False)

@@ -11,7 +11,7 @@ from depotline import pipelines
 from depotline.operators import quality
 from depotline.schemas import RUN_EVENTS, TABLES
 from depotline.sources import csv_files, versions
-from depotline.sources.tables import Source, append_to_source, extract
+from depotline.sources.tables import Source, append_to_source, bounds_query, extract, range_predicates
 from depotline.state import journal
 from depotline.streaming import arrivals
 
@@ -122,10 +122,131 @@ def test_backdated_rows_are_missed_and_repaired(spark, source, root):
         "orders")
     run(spark, source, root)
     assert set(statuses(spark, root)) == {"1"}
-    repaired = pipelines.repair_late_rows(spark, source, root, "orders")
-    assert repaired.loaded == 2
+    assert pipelines.repair_late_rows(spark, source, root, "orders", hour(4)).loaded == 1
+    assert set(statuses(spark, root)) == {"1", "3"}
+    assert pipelines.repair_late_rows(spark, source, root, "orders", T0).loaded == 1
     assert set(statuses(spark, root)) == {"1", "2", "3"}
-    assert pipelines.repair_late_rows(spark, source, root, "orders").loaded == 0
+    assert pipelines.repair_late_rows(spark, source, root, "orders", T0).loaded == 0
+    repairs = [r for r in log(spark, root) if r.pipeline_name == "table_extract_repair"]
+    assert [(r.status, r.rows_loaded) for r in repairs] == [("completed", n) for n in (1, 1, 0)]
+
+
+def test_a_repair_is_gated_and_finds_rows_without_a_stamp(spark, source, root):
+    put(orders(spark, [("1", "Pending", 9)]), source, "orders")
+    run(spark, source, root)
+    unstamped = orders(spark, [("2", "Pending", 1)]).withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
+    unstamped.write.mode("append").parquet(f"{source.root}/orders")
+
+    def closed(table, rows):
+        raise quality.QualityError(f"{table}: {rows.count()}")
+
+    with pytest.raises(quality.QualityError, match="orders: 1"):
+        pipelines.repair_late_rows(spark, source, root, "orders", T0, gate=closed)
+    assert log(spark, root)[-1].status == "failed"
+    assert pipelines.repair_late_rows(spark, source, root, "orders", T0).loaded == 1
+    assert pipelines.repair_late_rows(spark, source, root, "orders", T0).loaded == 0
+    assert set(statuses(spark, root)) == {"1", "2"}
+
+
+def test_a_repair_reads_the_days_only_that_may_hold_a_row(spark, root):
+    for day, stamp in ((1, 1), (2, 30), (3, 60)):
+        done = pipelines.load_table(orders(spark, [(str(day), "Pending", stamp)]), root, "orders", datetime(2024, 5, day))
+        pipelines._record(spark, root, "r", "orders", datetime(2024, 5, day), done)
+    found = lambda a, b: {d.day for d in journal.load_days(spark, root, "orders", hour(a), hour(b))}
+    assert found(20, 40) == {2} and found(0, 30) == {1, 2} and found(61, 90) == set()
+
+
+def test_the_source_is_read_once_per_load(spark, root):
+    """Rows that fit and rows that do not, counts, stamps and profile: one pass over the source."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = orders(spark, [("1", "Pending", 1), ("2" * 33, "Pending", 2), ("3", None, 3)])
+    counted = rows.mapInArrow(count, rows.schema)
+    done = pipelines.load_table(counted, root, "orders", T0)
+    assert seen.value == 3
+    assert (done.extracted, done.loaded, done.first, done.latest) == (3, 2, hour(1), hour(3))
+    assert dict((c, n) for c, _, n in done.columns)["order_status"] == 2
+    assert {r.order_id for r in pipelines.read_staged(spark, root, "orders").collect()} == {"1", "3"}
+    (bad,) = pipelines.read_rejected(spark, root, "orders").collect()
+    assert bad.order_id is None and bad["_rejected"] == ["order_id"] and bad["_given"] == {"order_id": "2" * 33}
+    assert bad.order_status == "Pending"
+
+
+def test_too_long_texts_and_phones_are_rejects(spark, root):
+    person = ("u1", "c1", "A", "B", "a@x", "1" * 30, None, None, "j" * 150, T0, T0)
+    fine = ("u2", "c1", "A", "B", "b@x", "1" * 20, None, None, "j" * 100, T0, T0)
+    rows = spark.createDataFrame([person, fine], TABLES["customers"].source)
+    assert pipelines.load_table(rows, root, "customers", T0).loaded == 1
+    (bad,) = pipelines.read_rejected(spark, root, "customers").collect()
+    assert bad["_rejected"] == ["phone_number", "job_title"] and bad["_given"]["phone_number"] == "1" * 30
+
+
+def test_a_run_leaves_its_profile(spark, source, root):
+    put(orders(spark, [("1", "Pending", 1), ("2", None, 2)]), source, "orders")
+    run_id = run(spark, source, root)
+    profiles = journal.read_profiles(spark, root).where(F.col("run_id") == run_id)
+    got = {r.column_name: (r.position, r.data_type, r.non_null, r.missing) for r in profiles.collect()}
+    assert got["order_status"] == (6, "string", 1, 1) and got["lead_id"][2:] == (0, 2)
+    assert [(r.row_count, r.column_count) for r in journal.run_shapes(profiles).collect()] == [(2, 10)]
+    (load,) = journal.read_loads(spark, root).collect()
+    assert (load.rows_extracted, load.first_stamp, load.last_stamp) == (2, hour(1), hour(2))
+
+
+def test_a_killed_run_is_closed_by_the_next(spark, source, root):
+    put(orders(spark, [("1", "Pending", 1)]), source, "orders")
+    killed = journal.start_run(spark, root, "table_extract", hour(1))  # and no end
+    other = journal.start_run(spark, root, "web_logs_snapshot", hour(1))
+    assert {r.run_id for r in journal.open_runs(spark, root).collect()} == {killed, other}
+    run(spark, source, root)
+    runs = {r.run_id: r for r in log(spark, root)}
+    assert (runs[killed].status, runs[killed].error_message) == ("failed", journal.INTERRUPTED)
+    assert {r.run_id for r in journal.open_runs(spark, root).collect()} == {other}
+    metrics = {m.pipeline_name: m for m in journal.run_metrics(
+        journal.run_log(journal.read_events(spark, root))).collect()}
+    assert (metrics["table_extract"].runs, metrics["table_extract"].failed_runs) == (2, 1)
+
+
+def test_an_append_that_dies_is_repeated_once(spark, root, monkeypatch):
+    path, schema = f"{root}/daily", TABLES["categories"].source
+    csv_files.append_csv(categories(spark, [("k1", "Food", 1)]), path, "monday")
+    second = categories(spark, [("k2", "Medical", 1), ("k3", "Toys", 1)])
+    # Files are written, the marker is not: nothing of the run is read.
+    csv_files.write_csv(second, f"{path}/_run=tuesday")
+    ids = lambda: sorted(r.category_id for r in csv_files.read_appended(spark, path, schema).collect())
+    assert ids() == ["k1"]
+    for _ in range(2):
+        csv_files.append_csv(second, path, "tuesday")
+        assert ids() == ["k1", "k2", "k3"]
+    csv_files.append_csv(categories(spark, [("k4", "Garden", 1)]), path, "1e5")
+    assert ids() == ["k1", "k2", "k3", "k4"]
+    assert csv_files.read_appended(spark, f"{root}/none", schema).count() == 0
+
+
+def test_database_ranges_hold_each_row_once(spark):
+    for low, high, parts in ((0, 100, 4), (5, 7, 8), (T0, hour(1000), 5), (3, 3, 4), (None, None, 4),
+                             (T0.date(), hour(24 * 9).date(), 4), (0.0, 1.0, 3)):
+        ranges = range_predicates("c", low, high, parts)
+        assert 1 <= len(ranges) <= parts
+        if low is None:
+            assert ranges == ["1 = 1"]
+            continue
+        between = [low + (high - low) * i / 10 if not isinstance(low, (int, type(T0.date()))) else low
+                   for i in range(11)]
+        values = [*between, low, high, None]
+        kind = {int: "INT", float: "DOUBLE", datetime: "TIMESTAMP_NTZ"}.get(type(low), "DATE")
+        rows = spark.createDataFrame([(v,) for v in values], f"c {kind}")
+        assert sum(rows.where(r).count() for r in ranges) == len(values)
+    assert range_predicates("c", 0, 100, 4) == [
+        "c < 25 OR c IS NULL", "c >= 25 AND c < 50", "c >= 50 AND c < 75", "c >= 75"]
+    assert bounds_query("source.Orders", "updated_at") == (
+        "SELECT min(updated_at) AS low, max(updated_at) AS high FROM source.Orders")
+    options = Source(format="jdbc", options={"url": "u"}, per_table={"orders": {"fetchsize": "9"}})
+    assert options.database_options("orders") == {"preferTimestampNTZ": "true", "url": "u", "fetchsize": "9"}
 
 
 def test_rows_that_do_not_fit_are_kept_aside(spark, source, root):
@@ -199,7 +320,7 @@ def test_bad_lines_are_kept_aside(spark, root):
     bad = GOOD.replace(",7,", ",many,")
     pipelines.run_snapshot(spark, csv(root, "a", HEADER, GOOD, bad), root, "marketing_leads")
     assert pipelines.read_snapshot(spark, root, "marketing_leads").count() == 1
-    (line,) = spark.read.parquet(pipelines.rejects_path(root, "marketing_leads")).collect()
+    (line,) = pipelines.read_rejected_lines(spark, root, "marketing_leads").collect()
     assert ",many," in line["_corrupt_record"]
     (entry,) = log(spark, root)
     assert (entry.rows_extracted, entry.rows_loaded) == (2, 1)
@@ -328,4 +449,4 @@ def test_arrivals_take_each_file_once(spark, root):
     path = csv(root, "c", ",".join(layout.fieldNames()), f"32{blanks},true", f"33{blanks},perhaps")
     pipelines.run_snapshot(spark, path, root, "web_logs")
     assert arrivals.read_rejected_arrivals(spark, root, "web_logs").count() == 1
-    assert spark.read.parquet(pipelines.rejects_path(root, "web_logs")).count() == 1
+    assert pipelines.read_rejected_lines(spark, root, "web_logs").count() == 1
