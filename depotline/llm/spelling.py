@@ -132,12 +132,19 @@ def _bit(length: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.least(length, F.lit(MASK)))
 
 
+def _letter_bit(letter: Column) -> Column:
+    """A bit for a letter; two letters may share one."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), letter % F.lit(63))
+
+
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges (node, label, child, word, mask) and first states (id, node, rest, edits) of words (id, word).
+    """Edges (node, label, child, word, mask, letters) and first states (id, node, rest, edits) of
+    words (id, word).
 
     Nodes are kept where the words through them part, where one ends, and where walks start.
     `word` is the id of the word that ends on the child; bit k of `mask` tells that a
-    word ends k letters below the child. Both are written tables.
+    word ends k letters below the child, the bits of `letters` with which letters it goes on.
+    Both are written tables.
     """
     size = F.col("at") + F.col("left")
     # The half that stays whole: the first of a word forwards, the second, rounded up, backwards.
@@ -148,20 +155,23 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     kept = (_places(words).withColumn("start", starts)
             .withColumn("_kept", parts | (F.min("next").over(through) == -1) | F.max("start").over(through))
             .withColumn("mask", F.bit_or(_bit(F.col("left"))).over(through))
+            .withColumn("letters", F.coalesce(F.bit_or(F.when(
+                F.col("next") >= 0, _letter_bit(F.col("next")))).over(through), F.lit(0).cast("long")))
             .filter("_kept"))
     along = Window.partitionBy("id", "back").orderBy("at")
     steps = kept.select(
         "id", "back", "at", "node", "start",
-        *(F.lead(c).over(along).alias(f"_{c}") for c in ("at", "node", "left", "mask")))
+        *(F.lead(c).over(along).alias(f"_{c}") for c in ("at", "node", "left", "mask", "letters")))
     spelt = F.when(F.col("back"), F.reverse("word")).otherwise(F.col("word"))
     # One row per kept node and word, with the letters behind the node.
     whole = written(steps.join(words.select("id", "word"), "id").select(
         "id", "node", "start", F.expr("_node").alias("child"), F.col("_mask").alias("mask"),
-        (F.col("_left") == 0).alias("ends"), F.substring(spelt, F.col("at") + 1, F.length(spelt)).alias("rest"),
+        F.col("_letters").alias("letters"), (F.col("_left") == 0).alias("ends"), F.substring(spelt, F.col("at") + 1, F.length(spelt)).alias("rest"),
         (F.col("_at") - F.col("at")).alias("length")), "trie-steps")
     edges = whole.filter("child IS NOT NULL").groupBy(
         "node", "child", F.substring("rest", F.lit(1), F.col("length")).alias("label")).agg(
-        F.max(F.when(F.col("ends"), F.col("id"))).alias("word"), F.first("mask").alias("mask"))
+        F.max(F.when(F.col("ends"), F.col("id"))).alias("word"), F.first("mask").alias("mask"),
+        F.first("letters").alias("letters"))
     first = whole.filter("start").select("id", "node", "rest", F.lit(0).alias("edits"))
     return written(edges, "trie-edges"), first
 
@@ -172,7 +182,10 @@ def _after(rest: Column, letters: Column) -> Column:
 
 
 def frontier(edges: DataFrame, states: DataFrame) -> DataFrame:
-    """Pairs (a, b) of word ids: b is a with one letter replaced or added, as the walk finds them.
+    """Pairs (a, b) of word ids: b is a with one letter added, or replaced by a greater one.
+
+    So each pair of words is looked for from one of them only. A state whose edit is spent goes on
+    only where a word of its length follows, and one with its next letter.
 
     Each level is a written table of the states that go on and those that have ended; counts tell
     the driver when no state is left.
@@ -187,7 +200,8 @@ def frontier(edges: DataFrame, states: DataFrame) -> DataFrame:
             lambda x, y: ~x.eqNullSafe(y)), True).cast("int") - 1)
     tail = _after(label, F.col("_agree") + 1)
     unspent = (F.col("edits") == 0) & ~F.col("_same")
-    replaced = unspent & (F.length(rest) > F.col("_agree")) & F.startswith(
+    replaced = unspent & (F.substring(rest, F.col("_agree") + 1, F.lit(1)) < F.substring(
+        label, F.col("_agree") + 1, F.lit(1))) & (F.length(rest) > F.col("_agree")) & F.startswith(
         _after(rest, F.col("_agree") + 1), tail)
     added = unspent & F.startswith(_after(rest, F.col("_agree")), tail)
     pairs = []
@@ -200,10 +214,11 @@ def frontier(edges: DataFrame, states: DataFrame) -> DataFrame:
             F.when(F.col("_same"), F.struct(_after(rest, size).alias("rest"), F.col("edits").alias("edits"))),
             F.when(replaced, F.struct(_after(rest, size).alias("rest"), F.lit(1).alias("edits"))),
             F.when(added, F.struct(_after(rest, size - 1).alias("rest"), F.lit(1).alias("edits")))))
-        reached = met.select("id", "child", "word", "mask", F.explode(outcomes).alias("_now")).select(
-            "id", F.col("child").alias("node"), "word", "mask", "_now.rest", "_now.edits")
+        reached = met.select("id", "child", "word", "mask", "letters", F.explode(outcomes).alias("_now")).select(
+            "id", F.col("child").alias("node"), "word", "mask", "letters", "_now.rest", "_now.edits")
         done = (F.col("edits") == 1) & (F.length("rest") == 0)
-        alive = (F.col("edits") == 0) | (_bit(F.length("rest")).bitwiseAND(F.col("mask")) != 0)
+        onward = (F.length("rest") == 0) | (_letter_bit(F.ascii("rest")).bitwiseAND(F.col("letters")) != 0)
+        alive = (F.col("edits") == 0) | ((_bit(F.length("rest")).bitwiseAND(F.col("mask")) != 0) & onward)
         level = written(reached.filter(alive & (~done | F.col("word").isNotNull())).select(
             "id", "node", "rest", "edits", F.when(done, F.col("word")).alias("found")), "trie-states")
         pairs.append(level.filter("found IS NOT NULL").select(F.col("id").alias("a"), F.col("found").alias("b")))
@@ -245,10 +260,10 @@ def neighbours(words: DataFrame) -> DataFrame:
     left = words.select(F.col("id").alias("a"), "word", "n")
     right = words.select(F.col("id").alias("b"), F.col("word").alias("near"), F.col("n").alias("near_n"))
     found = _checked(pairs.join(left, "a").join(right, "b").select("word", "n", "near", "near_n"))
-    # A word of equal length is found from both sides, a longer one from the shorter.
+    # Each pair was found from one side.
     return found.union(found.select(
         F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"),
-        F.col("n").alias("near_n"))).distinct()
+        F.col("n").alias("near_n")))
 
 
 def _roots(forms: DataFrame) -> DataFrame:
