@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depotline.llm.common import plain
+from depotline.llm.training import FINE
 
 # Fixed values of the base counts.
 SYMBOLS = "#*$%&|<>"
@@ -145,8 +146,8 @@ def sample_of(documents: DataFrame) -> list[str]:
     """A bounded sample of texts that orders the rules; it decides on speed only."""
     total = documents.count()
     share = min(1.0, SAMPLE / max(1, total))
-    picked = documents.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-                              < int(share * 1_000_000)).select(plain("text").alias("t"))
+    picked = documents.filter(F.pmod(F.xxhash64("doc_id"), F.lit(FINE))
+                              < int(share * FINE)).select(plain("text").alias("t"))
     return [r[0] for r in picked.filter(F.char_length("t") <= SAMPLE_CHARS)
             .limit(2 * SAMPLE).collect()]
 

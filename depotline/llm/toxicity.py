@@ -26,7 +26,12 @@ from depotline.llm.training import labelled_sample
 # Bounds of the training sample: documents of each label, characters of a document.
 PER_CLASS, MOST_CHARS = 5_000, 4_000
 LANDMARKS = 160
+# Words that are learnt from, at most: the most frequent toxic ones, clean ones drawn at first
+# (harder ones are added in rounds), and of both those that landmarks are chosen among.
+MOST_TOXIC, MOST_CLEAN, TOXIC_MARKS, CLEAN_MARKS = 1_000, 5_000, 400, 300
 DECAY, SPAN = 0.6, 7
+# Marks of a text, and from how far below the border on a word counts in them.
+MARKS, NEAR = 4, 0.5
 THRESHOLD = 0.7
 LETTERS = 64
 # Digits and signs that stand for letters.
@@ -140,18 +145,19 @@ def subsequences(word: str) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """f(word) = <subsequences of word, table> + bias; odds of a text = a * min(max f, 1) + b."""
+    """f(word) = <subsequences of word, table> + bias; odds of a text = <marks of text, odds> + offset."""
 
     table: np.ndarray
     bias: float
-    slope: float
+    odds: np.ndarray
     offset: float
 
     def scores(self, words: list[str]) -> np.ndarray:
         return weigh(words, self.table) + self.bias
 
-    def probability(self, margin: float) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * min(margin, 1.0) + self.offset, -40, 40))))
+    def probabilities(self, marks: np.ndarray) -> np.ndarray:
+        """Of texts, given their marks (see `_marks`)."""
+        return 1 / (1 + np.exp(-np.clip(marks @ self.odds + self.offset, -40, 40)))
 
 
 def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
@@ -216,18 +222,23 @@ def fit(sample: list[tuple[str, int]]) -> Model | None:
     if not min(count):
         return None
     # Far more often than chance: with so many words, so many finds in toxic sentences alone
-    # happen to less than one word in ten samples.
+    # happen to less than one word in ten samples. Where too few sentences are labelled for any
+    # word to stand out so far, more chance is allowed, step by step.
     ratio = len(met[0]) / max(1, len(met[1]))
-    least = np.log(10 * max(10, len(seen[1]))) / np.log1p(ratio) if ratio else np.inf
-    positive = [w for w, n in seen[1].items() if n > least + 4 * seen[0][w] * max(1, 1 / ratio)]
-    positive = sorted(positive, key=lambda w: (-seen[1][w], w))[:1_000]
+    positive: list[str] = []
+    for samples in (10.0, 1.0, 0.1):
+        least = np.log1p(samples * max(10, len(seen[1]))) / np.log1p(ratio) if ratio else np.inf
+        positive = [w for w, n in seen[1].items() if n > least + 4 * seen[0][w] * max(1, 1 / ratio)]
+        if positive:
+            break
+    positive = sorted(positive, key=lambda w: (-seen[1][w], w))[:MOST_TOXIC]
     known = set(positive)
     clean = sorted(w for w in seen[0] if w not in known)
     if not positive or not clean:
-        return None
+        raise ValueError("toxic: labels of both kinds exist, but no word tells them apart")
     rng = np.random.default_rng(5)
-    negative = [clean[i] for i in rng.permutation(len(clean))[:5_000]]
-    marks = _landmarks(positive[:400], negative[:300])
+    negative = [clean[i] for i in rng.permutation(len(clean))[:MOST_CLEAN]]
+    marks = _landmarks(positive[:TOXIC_MARKS], negative[:CLEAN_MARKS])
     tables = [subsequences(m) for m in marks]
     gram = weigh_all(marks, tables)
     values, vectors = np.linalg.eigh((gram + gram.T).astype(float) / 2)
@@ -243,7 +254,7 @@ def fit(sample: list[tuple[str, int]]) -> Model | None:
         table = np.zeros(LETTERS ** 3, np.float32)
         for weight_of, (places, weights_of) in zip(root @ w, tables, strict=True):
             table[places] += np.float32(weight_of) * weights_of
-        model = Model(table, bias, 1.0, 0.0)
+        model = Model(table, bias, np.zeros(MARKS), 0.0)
         if turn < 3:
             held = set(negative)
             hardest = [clean[i] for i in np.argsort(-model.scores(clean))[:1_500]]
@@ -263,43 +274,58 @@ def _bent(word: str, rng: np.random.Generator) -> list[str]:
     return [word[:at] + strange + word[at:], word[:at] + word[at - 1] + word[at:]]
 
 
+def _marks(scores: np.ndarray) -> tuple[float, ...]:
+    """What all words of a text say together, from the scores of its words, repeats included.
+
+    The worst word; how much of the text lies near or beyond the border; how many words lie
+    beyond it; the mean of the worst five. So a stem that runs through a text weighs more than
+    one that a clean text holds once, and one insult still shows in a long text.
+    """
+    if not len(scores):
+        return (-2.0, 0.0, 0.0, -2.0)
+    worst = -np.sort(-scores)[:5]
+    return (min(worst[0], 1.0), 50 * np.maximum(scores + NEAR, 0).sum() / (len(scores) + 20),
+            float(np.log1p((scores > 0).sum())), worst.mean())
+
+
 def _calibrated(model: Model, sample: list[tuple[str, int]]) -> Model:
-    """Fit the odds of a document's label on its largest word score."""
+    """Fit the odds of a document's label on its marks, both labels of equal weight in sum."""
     scorer = _Scorer(model)
-    m = np.concatenate([scorer.margins([t for t, _ in sample[i:i + 256]])
+    m = np.concatenate([scorer.marks([t for t, _ in sample[i:i + 256]])
                         for i in range(0, len(sample), 256)])
-    m = np.minimum(m, 1.0)  # the margin that the machine aims at; beyond it nothing is learnt
     y = np.array([label for _, label in sample], float)
     weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
-    a, b = 1.0, 0.0
-    for _ in range(200):
-        p = 1 / (1 + np.exp(-np.clip(a * m + b, -40, 40)))
-        g = weight * (p - y)
-        h = weight * p * (1 - p) + 1e-9
-        grad = np.array([(g * m).sum() + 1e-4 * a, g.sum()])
-        hess = np.array([[(h * m * m).sum() + 1e-4, (h * m).sum()], [(h * m).sum(), h.sum()]])
-        move = np.linalg.solve(hess + 1e-9 * np.eye(2), grad)
-        a, b = a - move[0], b - move[1]
-        if np.abs(move).max() < 1e-9:
+    middle, spread = m.mean(axis=0), m.std(axis=0) + 1e-9
+    x = np.hstack([(m - middle) / spread, np.ones((len(m), 1))])
+    # A mark may speak for toxicity or not at all; one that would speak against it is left out.
+    used = [*range(MARKS + 1)]
+    while True:
+        some, ridge = x[:, used], np.diag([0.005] * (len(used) - 1) + [1e-9])
+        v = np.zeros(len(used))
+        for _ in range(200):
+            p = 1 / (1 + np.exp(-np.clip(some @ v, -40, 40)))
+            grad = some.T @ (weight * (p - y)) + ridge @ v
+            move = np.linalg.solve((some * (weight * p * (1 - p))[:, None]).T @ some + ridge, grad)
+            v = v - move
+            if np.abs(move).max() < 1e-9:
+                break
+        if v[:-1].min(initial=0.0) >= 0:
             break
-    # Where the labels lie apart, even odds stand nearer to the toxic side: clean words that the
-    # sample lacks come closer to it than those that it holds.
-    low, high = np.quantile(m[y == 0], 0.995), np.quantile(m[y == 1], 0.02)
-    if high > low + 0.1:
-        middle = low + 0.75 * (high - low)
-        a = np.log(19) / (high - middle)
-        b = -a * middle
-    return Model(model.table, model.bias, float(max(a, 0.0)), float(b))
+        used.pop(int(v[:-1].argmin()))
+    w = np.zeros(MARKS + 1)
+    w[used] = v
+    odds = w[:-1] / spread
+    return Model(model.table, model.bias, odds, float(w[-1] - odds @ middle))
 
 
 class _Scorer:
-    """Largest word score of a text; scores of words are remembered up to a number of words."""
+    """Marks of texts; scores of words are remembered up to a number of words."""
 
     def __init__(self, model: Model, most: int = 400_000) -> None:
         self.model, self.most = model, most
         self.known: dict[str, float] = {}
 
-    def margins(self, texts: list[str]) -> list[float]:
+    def marks(self, texts: list[str]) -> np.ndarray:
         if len(self.known) > self.most:
             self.known.clear()
         words = [text.split() for text in texts]
@@ -317,8 +343,8 @@ class _Scorer:
         got = dict(zip(todo, self.model.scores(todo).tolist(), strict=True)) if todo else {}
         self.known.update((w, got.get(u, -2.0)) for w, u in new.items())
         known = self.known
-        return [max((known[w] for w in {*some, *extra}), default=-2.0)
-                for some, extra in zip(words, spelt, strict=True)]
+        return np.array([_marks(np.fromiter(map(known.__getitem__, [*some, *extra]), float))
+                         for some, extra in zip(words, spelt, strict=True)])
 
     @staticmethod
     def _spelt(words: list[str]) -> list[str]:
@@ -331,7 +357,7 @@ def scored(documents: DataFrame, labels: DataFrame, out: str = "score") -> DataF
     """The documents with the probability of being toxic in column `out`.
 
     The label `toxic` is learnt from a bounded sample (see `labelled_sample`); a text scores by
-    its worst word. Null, empty and wordless texts score lowest. Without labels of both kinds
+    all its words, whole. Null, empty and wordless texts score lowest. Without labels of both kinds
     every text scores 0. Equal texts score the same; a column named `out` is replaced.
     """
     base = documents.drop(out)
@@ -349,7 +375,7 @@ def scored(documents: DataFrame, labels: DataFrame, out: str = "score") -> DataF
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
                 texts = [t or "" for t in batch.column("text").to_pylist()]
-                found = [own.probability(m) for m in scorer.margins(texts)]
+                found = own.probabilities(scorer.marks(texts))
                 yield pa.record_batch([*batch.columns, pa.array(found, pa.float64())],
                                       names=[*batch.schema.names, out])
 
