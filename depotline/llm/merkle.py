@@ -13,9 +13,10 @@ from collections.abc import Iterator
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from depotline.llm.numbering import in_order
 from depotline.session import written
 
 FANOUT = 16
@@ -58,27 +59,6 @@ def siblings(proof: Column) -> Column:
     return F.array_join(F.transform(proof, lambda step: step["siblings"]), "")
 
 
-def _ordered(rows: DataFrame, by: list[str], purpose: str) -> DataFrame:
-    """Rows (tree, *by, n copies) with `first`, the place of the first copy in the tree, and `size`.
-
-    Rows are cut into ranges of (tree, *by), whichever tree owns them, and each range counts its
-    own: a tree with a third of all rows spans many ranges. Places add up over the ranges' counts.
-    """
-    ranged = rows.repartitionByRange("tree", *by).withColumn("part", F.spark_partition_id())
-    # A written table, so that a repeated task finds the same ranges.
-    ranged = written(ranged, purpose)
-    counts = ranged.groupBy("tree", "part").agg(F.sum("n").alias("_n"))
-    over = Window.partitionBy("tree")
-    before = over.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("tree", "part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
-                           F.sum("_n").over(over).alias("size"))
-    inside = (Window.partitionBy("tree", "part").orderBy(*by)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    return (ranged.join(starts, ["tree", "part"])
-            .withColumn("first", F.col("_start") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
-            .drop("part", "_start"))
-
-
 def _raised(nodes: list[str]) -> list[str]:
     return [sha256("".join(nodes[i:i + FANOUT]).encode()).hexdigest()
             for i in range(0, len(nodes), FANOUT)]
@@ -183,7 +163,7 @@ def manifest(rows: DataFrame, tree: str, order: str, digest: str, carried: tuple
     extra = [f"_{i}" for i in range(len(kept))]
     # Equal rows are one row with a count, so that no range is made of copies alone.
     folded_rows = named.groupBy("tree", "leaf", *extra).agg(F.count("*").alias("n"))
-    ordered = _ordered(folded_rows, ["_0", "leaf", *extra[1:]], "merkle-rows")
+    ordered = in_order(folded_rows, ["_0", "leaf", *extra[1:]], "merkle-rows")
     places = F.explode(F.sequence("first", F.col("first") + F.col("n") - 1))
     placed = written(ordered.select("tree", "leaf", *extra, "size", places.alias("at")).withColumn(
         "block", F.floor(F.col("at") / FANOUT ** levels).cast("long")), "merkle-leaves")
@@ -193,7 +173,7 @@ def manifest(rows: DataFrame, tree: str, order: str, digest: str, carried: tuple
         F.lit("").alias("tree"), F.col("tree").alias("name"), F.col("root").alias("digest"),
         F.ceil(F.col("size") / SHARED).alias("shares"), F.lit(1).alias("n"),
         F.expr("substring(tree, locate(':', tree) + 1)").alias("text"), (F.col("tree") != "-").alias("known"))
-    numbered = _ordered(trees, ["known", "text", "name"], "merkle-trees").withColumnRenamed("first", "at")
+    numbered = in_order(trees, ["known", "text", "name"], "merkle-trees").withColumnRenamed("first", "at")
     above = butterfly(numbered.select("tree", "at", "size", "digest"))
     # A tree of many blocks gets a copy of its path for every SHARED of them.
     tops = written(numbered.select("at", "name", "shares", F.col("digest").alias("subroot")).join(

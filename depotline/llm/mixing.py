@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depotline.llm.common import fresh, word_count
+from depotline.llm.numbering import in_order
 from depotline.session import written
 
 # Documents that one step of the reduction tree folds.
@@ -22,27 +23,26 @@ def targets(sizes: DataFrame, source: str, size: str) -> DataFrame:
 
     Sources by code point, null last, weigh 1, 2, 3 in turn and share all words; a target
     stops at MOST times the source's words and the rest is shared by weight again. That ends
-    where every target is min(cap, level * weight); with the sources sorted by cap / weight
-    the capped ones come first, so that running sums give the level. The table has one row
-    per source, and only such rows meet in one task.
+    where every target is min(cap, level * weight). The level is found from below: each round
+    shares what the sources capped so far leave over, which caps more of them, until none is added.
+    Rounds send three sums to the driver; sources are ranked by ranges, so there may be any number.
     """
-    place = Window.orderBy(F.col(source).asc_nulls_last())
-    weighed = sizes.withColumn("weight", (F.row_number().over(place) - 1) % 3 + 1)
+    named = sizes.select(F.lit("").alias("tree"), F.col(source).isNull().alias("_last"),
+                         F.coalesce(F.col(source), F.lit("")).alias("_name"), F.lit(1).alias("n"),
+                         F.col(source), F.col(size))
+    weighed = written(in_order(named, ["_last", "_name"], "mixing").select(
+        source, size, (F.col("first") % 3 + 1).cast("int").alias("weight")), "mixing")
     cap = MOST * F.col(size)
-    order = Window.orderBy(cap / F.col("weight"), F.col(source).asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    every = Window.partitionBy()
-    level = ((F.sum(size).over(every) - F.coalesce(F.sum(cap).over(before), F.lit(0)))
-             / F.sum("weight").over(after))
-    # The first source that its level does not lift above its cap sets the level of all; from
-    # there on levels fall.
-    fits = F.when(F.col("_level") * F.col("weight") <= cap, F.col("_level"))
-    return (weighed.withColumn("_level", level)
-            .withColumn("_level", F.max(fits).over(every))
-            .withColumn("target", F.least(cap.cast("double"),
-                                          F.col("_level") * F.col("weight")))
-            .drop("_level"))
+    level, before = 0.0, -1
+    while True:
+        open_ = cap > F.lit(level) * F.col("weight")
+        words, capped, weight, closed = weighed.agg(
+            F.sum(size), F.sum(F.when(~open_, cap)), F.sum(F.when(open_, F.col("weight"))),
+            F.count_if(~open_)).first()
+        if not weight or closed == before:
+            break
+        level, before = (float(words) - float(capped or 0)) / weight, closed
+    return weighed.withColumn("target", F.least(cap.cast("double"), F.lit(level) * F.col("weight")))
 
 
 def _uniform(*parts: Column) -> Column:
@@ -96,24 +96,32 @@ def copies(rows: DataFrame, source: str, size: str, by: list[Column], seed: int
     rounded in a tree. Rows of one source and size class (powers of two) are folded FOLD at a
     time, a fold leaves one open row, and open rows are folded again until a class has one.
     HELD rows of each class wait for the last fold, over all classes of the source from large
-    to small, which so ends with a small row. That one is closed by a draw: a source's words
-    differ from its target by less than that row, and every row's expected copies are the
-    exact fraction. All draws are hashes of `by`, the seed and the tree's level, so reruns
+    to small. Its one open row is closed, and what the source's words then differ from their
+    target by is made up by the rows of that fold, large ones first, with further copies or
+    fewer, never below none or above MOST: what is left is mostly less than the smallest row's
+    half. Apart from that every row's expected copies are the exact fraction. All draws are hashes of `by`, the seed and the tree's level, so reruns
     agree; rows equal in `by` are interchangeable.
-    Rows without words get the whole copies and take no part. A null source is a source.
+    Rows without words, a null size among them, get the whole copies and take no part. A null
+    source is a source. Columns named source_size, target or copies are replaced. An empty table
+    gives an empty one.
     Only the given columns travel through the tree: project long texts away beforehand.
     """
-    kept = rows.columns
+    # Own names for what the tree needs; the columns themselves travel as one.
+    kept = [c for c in rows.columns if c.lower() not in ("source_size", "target", "copies")]
     # Read by the sums, the counts and the tree; counting words once is what costs.
-    rows = written(rows, "mixing")
+    rows = written(rows.select(
+        F.struct(*(F.col(c) for c in kept)).alias("_row"), F.col(source).alias("_of"),
+        F.coalesce(F.col(size), F.lit(0)).alias("_size"), *_renamed(by)), "mixing")
+    source, size, by = "_of", "_size", [F.col(f"_by{i}") for i in range(len(by))]
     sizes = rows.groupBy(source).agg(F.sum(size).alias("source_size"))
     # One short row per source; the join's other side is matched by equality, null-safe.
-    plan = targets(sizes.withColumnRenamed(source, "_source"), "_source", "source_size")
+    plan = targets(sizes.withColumnRenamed(source, "_source"), "_source", "source_size").select(
+        "_source", "source_size", "target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     planned = (rows.join(plan, F.col(source).eqNullSafe(F.col("_source")))
                .withColumn("_rate", rate).withColumn("_whole", F.floor("_rate").cast("int"))
                .withColumn("_part", F.col("_rate") - F.col("_whole")))
-    carried = [*kept, "source_size", "target", "_whole"]
+    carried = ["_row", "source_size", "target", "_whole"]
     joins = (F.col("_part") > 0) & (F.col(size) > 0)
     settled = planned.filter(~joins).select(*carried, F.lit(0).alias("_more"))
 
@@ -126,7 +134,7 @@ def copies(rows: DataFrame, source: str, size: str, by: list[Column], seed: int
                      F.struct(F.col(size).cast("double").alias("size"),
                               F.col("_part").alias("part"),
                               F.xxhash64(F.lit(seed), *by).alias("tag"),
-                              F.struct(*carried).alias("row")).alias("_item"), *_renamed(by)))
+                              F.struct(*carried).alias("row")).alias("_item"), *by))
     # A place in a hash bucket of the class, so that no fold is longer than FOLD even where
     # rows are equal. There is one row of counts per source and class.
     items = items.join(counts.withColumnsRenamed({"_s": "_s2", "_c": "_c2"}),
@@ -163,15 +171,53 @@ def copies(rows: DataFrame, source: str, size: str, by: list[Column], seed: int
         last = items.filter("_waits").select("_s", "_left", "_item").unionByName(
             open_items.select("_s", "_left", "_item"))
         last = written(_folded(last, ["_s"], seed, level), "mixing")
-        drawn = _uniform(F.lit(seed), F.lit(-1), F.col("_item.tag")) < F.col("_item.part")
-        closed.append(last.select(F.explode("_state.closed").alias("_item")))
-        closed.append(last.select(F.col("_state.open").alias("_item")).select(
-            F.col("_item").withField("part", F.when(drawn, 1.0).otherwise(0.0)).alias("_item")))
+        drawn = _uniform(F.lit(seed), F.lit(-1), F.col("_state.open.tag")) < F.col("_state.open.part")
+        ended = last.select(F.explode(_closed(F.col("_state"), drawn)).alias("_end"))
+        settled = settled.unionByName(ended.select(
+            "_end.item.row.*", (F.col("_end.item.part").cast("int") + F.col("_end.change")).alias("_more")))
     for some in closed:
         settled = settled.unionByName(some.select(
             "_item.row.*", F.col("_item.part").cast("int").alias("_more")))
-    return (settled.withColumn("copies", (F.col("_whole") + F.col("_more")).cast("int"))
-            .drop("_whole", "_more"))
+    return settled.select(*(F.col("_row")[c].alias(c) for c in kept), "source_size", "target",
+                          (F.col("_whole") + F.col("_more")).cast("int").alias("copies"))
+
+
+def _corrected(items: Column, missing: Column, nearest: bool) -> Column:
+    """What is still missing, and each item's further copies, after a walk from large items to small.
+
+    An item takes as many further copies, or gives up as many, as what is missing has room for, or
+    with `nearest` as bring it nearest to none; smaller ones correct what it leaves.
+    """
+    def step(state: Column, item: Column) -> Column:
+        times = state["missing"] / item["size"]
+        whole = F.round(times) if nearest else F.when(times < 0, F.ceil(times)).otherwise(F.floor(times))
+        held = item["row"]["_whole"] + item["part"].cast("int")
+        change = F.greatest(-held, F.least(F.lit(MOST) - held, whole.cast("int")))
+        return F.struct((state["missing"] - change * item["size"]).alias("missing"),
+                        F.concat(state["changes"], F.array(change)).alias("changes"))
+
+    start = F.struct(missing.alias("missing"), F.array().cast("array<int>").alias("changes"))
+    return F.aggregate(items, start, step)
+
+
+def _closed(state: Column, drawn: Column) -> Column:
+    """All items of a source with their last copies, once its one open item is closed.
+
+    The open item gets a copy or not; what the source's words then differ from their target by is
+    corrected by the items at hand. Of four ways (closed up or down, corrected with or without
+    overshoot) the one counts that leaves least missing, of equal ones the one drawn.
+    """
+    def way(up: bool, nearest: bool) -> Column:
+        last = state["open"].withField("part", F.lit(1.0 if up else 0.0))
+        items = F.concat(state["closed"], F.array(last))
+        missing = state["open"]["size"] * (state["open"]["part"] - (1.0 if up else 0.0))
+        return F.transform(F.array(_corrected(items, missing, nearest)), lambda c: F.struct(
+            F.round(F.abs(c["missing"]), 6).alias("left"), (drawn != F.lit(up)).alias("other"),
+            F.lit(nearest).alias("nearest"), items.alias("items"), c["changes"].alias("changes")))[0]
+
+    best = F.array_min(F.array(*(way(u, n) for u in (True, False) for n in (False, True))))
+    return F.transform(F.array(best), lambda b: F.zip_with(
+        b["items"], b["changes"], lambda i, c: F.struct(i.alias("item"), c.alias("change"))))[0]
 
 
 def _renamed(by: list[Column]) -> list[Column]:

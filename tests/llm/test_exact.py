@@ -80,3 +80,37 @@ def test_mixing_meets_targets(spark):
         assert abs(sum(r.copies * r.size for r in own) - want[s]) <= 7
         assert all(0 <= r.copies <= 3 for r in own)
     assert mixing.copies(frame.limit(0), "source", "size", by).count() == 0
+
+
+def test_mixing_comes_near_targets_where_one_document_is_large(spark):
+    """The large document of a source is made up for by its small ones, within the smallest's size."""
+    rows = [(0, "a", 5_000)] + [(i, "a", i % 9 + 3) for i in range(1, 400)]
+    rows += [(1_000 + i, f"s{i % 11}", (i * 37) % 90 + 1) for i in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    got = mixing.copies(frame, "source", "size", [F.col("doc_id")]).collect()
+    for s in {r.source for r in got}:
+        own = [r for r in got if r.source == s]
+        assert abs(sum(r.copies * r.size for r in own) - own[0].target) <= min(r.size for r in own)
+        assert all(0 <= r.copies <= 3 for r in own)
+
+
+def test_mixing_of_many_sources_and_clashing_names(spark):
+    rows = [(i, f"host{i % 400:03d}" if i % 400 else None, i % 13 + 1, "x", 7) for i in range(2_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, size long, tree string, weight int")
+    got = mixing.copies(frame, "source", "size", [F.col("doc_id")]).collect()
+    sizes = {}
+    for _, s, n, _, _ in rows:
+        sizes[s] = sizes.get(s, 0) + n
+    want = _targets(sizes)
+    assert len(got) == 2_000 and all(abs(r.target - want[r.source]) < 1e-6 for r in got)
+    assert {(r.tree, r.weight) for r in got} == {("x", 7)}
+
+
+def test_mixed_rows_keep_their_columns(spark):
+    rows = [(i % 50, f"word {i % 7} " * (i % 5), "s" + str(i % 3), "k", 5) for i in range(300)]
+    rows += [(None, None, None, None, None)] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, _key string, size long")
+    found = mixing.mixed(frame)
+    assert found.columns == frame.columns
+    assert {tuple(r) for r in found.collect()} <= set(rows)
+    assert mixing.mixed(frame.limit(0)).count() == 0
