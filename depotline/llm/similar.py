@@ -189,9 +189,9 @@ def linked(bands: DataFrame, texts: DataFrame, least: float, purpose: str) -> Da
               .filter("_low <> _top").select("band"))
     crowded = written(bands.join(shared, "band"), purpose)
     ids = crowded.select("id").distinct()
-    # One text per id; copies fold before the shuffle.
-    sets = written(shingle_sets(texts.join(ids, "id", "left_semi").groupBy("id").agg(
-        F.first("text").alias("text"))), purpose)
+    # One text per id: copies fold in the tasks, before anything is dealt by id.
+    single = texts.groupBy("id").agg(F.first("text").alias("text"))
+    sets = written(shingle_sets(single.join(ids, "id", "left_semi")), purpose)
     links, classes = None, None
     for turn in range(ROUNDS + 1):
         rows = _open_buckets(crowded, classes, purpose)

@@ -151,13 +151,15 @@ class Model:
     bias: float
     odds: np.ndarray
     offset: float
+    most: np.ndarray
 
     def scores(self, words: list[str]) -> np.ndarray:
         return weigh(words, self.table) + self.bias
 
     def probabilities(self, marks: np.ndarray) -> np.ndarray:
-        """Of texts, given their marks (see `_marks`)."""
-        return 1 / (1 + np.exp(-np.clip(marks @ self.odds + self.offset, -40, 40)))
+        """Of texts, given their marks (see `_marks`); beyond the sample's largest nothing was learnt."""
+        known = np.minimum(marks, self.most)
+        return 1 / (1 + np.exp(-np.clip(known @ self.odds + self.offset, -40, 40)))
 
 
 def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
@@ -226,8 +228,8 @@ def fit(sample: list[tuple[str, int]]) -> Model | None:
     # word to stand out so far, more chance is allowed, step by step.
     ratio = len(met[0]) / max(1, len(met[1]))
     positive: list[str] = []
-    for samples in (10.0, 1.0, 0.1):
-        least = np.log1p(samples * max(10, len(seen[1]))) / np.log1p(ratio) if ratio else np.inf
+    for samples in (10.0, 1.0, 0.1) if ratio else ():
+        least = np.log1p(samples * max(10, len(seen[1]))) / np.log1p(ratio)
         positive = [w for w, n in seen[1].items() if n > least + 4 * seen[0][w] * max(1, 1 / ratio)]
         if positive:
             break
@@ -254,7 +256,7 @@ def fit(sample: list[tuple[str, int]]) -> Model | None:
         table = np.zeros(LETTERS ** 3, np.float32)
         for weight_of, (places, weights_of) in zip(root @ w, tables, strict=True):
             table[places] += np.float32(weight_of) * weights_of
-        model = Model(table, bias, np.zeros(MARKS), 0.0)
+        model = Model(table, bias, np.zeros(MARKS), 0.0, np.zeros(MARKS))
         if turn < 3:
             held = set(negative)
             hardest = [clean[i] for i in np.argsort(-model.scores(clean))[:1_500]]
@@ -315,7 +317,7 @@ def _calibrated(model: Model, sample: list[tuple[str, int]]) -> Model:
     w = np.zeros(MARKS + 1)
     w[used] = v
     odds = w[:-1] / spread
-    return Model(model.table, model.bias, odds, float(w[-1] - odds @ middle))
+    return Model(model.table, model.bias, odds, float(w[-1] - odds @ middle), m.max(axis=0))
 
 
 class _Scorer:

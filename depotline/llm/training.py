@@ -19,8 +19,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
     Taken are documents of up to `most_chars` characters whose id leaves a remainder other
     than 1 by 3, chosen by a hash of the id, so that the sample is the same in every run. Null
     labels and ids are not used; a document with labels that differ counts as 1. The share is
-    drawn from documents that fit the bound. Raises a ValueError if there are labels of both
-    kinds but the sample holds none of one.
+    drawn from documents that fit the bound. Raises a ValueError if there are documents with labels
+    of both kinds but the sample holds none of one.
     """
     known = (labels.filter((id_remainder("doc_id", 3) != 1) & F.col(label).isNotNull()
                            & F.col("doc_id").isNotNull())
@@ -40,6 +40,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
             .groupBy("doc_id", "_label").agg(F.min("_text").alias("_text")).collect())
     found = sorted({(r["_text"], int(r["_label"])) for r in rows})
     kinds = {y for _, y in found}
-    if len(kinds) < 2 and {r[0] for r in known.select("_label").distinct().collect()} >= {0, 1}:
+    told = known.join(documents.select("doc_id").distinct(), "doc_id").select("_label").distinct()
+    if len(kinds) < 2 and {r[0] for r in told.collect()} >= {0, 1}:
         raise ValueError(f"{label}: labels of both kinds exist, but the sample holds {sorted(kinds)} only")
     return found
