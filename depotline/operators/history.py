@@ -2,7 +2,8 @@
 
 Versions are ordered per key. A key may own a large part of all of them, so the rows
 are cut into ranges of key and time, whoever owns them: work runs per part, and one row
-per part is carried to the next.
+per part is carried to the next. The parts are written when a history is built, so that is a
+job of its own, before any action on the result.
 """
 
 from __future__ import annotations

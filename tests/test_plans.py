@@ -16,7 +16,7 @@ FOLDER = "/root/testdata/sf0.001"
 # These write tables while they are built; their plan is only the read that follows.
 WRITING = {"csv_snapshot", "csv_append", "stream_arrivals", "staging_load", "run_log_counts",
            "version_switch", "warehouse_build", "warehouse_rebuild", "quality_report", "run_profile",
-           "late_row_repair", "csv_bad_lines"}
+           "late_row_repair", "csv_bad_lines", "null_counts"}
 
 
 def plan(frame) -> str:
