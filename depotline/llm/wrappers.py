@@ -52,6 +52,9 @@ MARKS = frozenset(
     "signup login search share sharing social related recommended comment comments disqus reply "
     "replies respond form pagination pager toc skip complementary contentinfo".split())
 ARTICLE = frozenset("article articlebody post entry story main content maincontent".split())
+# Elements of running text: a part of a longer name, as in share-of-market, says nothing of them,
+# and the search for the article does not go down into one.
+RUNNING = frozenset("p blockquote pre h1 h2 h3 h4 h5 h6 li dd dt td th span a".split())
 # Names that always count, since rules of this module look for them.
 FIXED = MARKS | ARTICLE
 
@@ -74,7 +77,7 @@ class Element:
     Its key holds the names that are kept, and those of FIXED; all of them if `kept` is None.
     """
 
-    __slots__ = ("tag", "key", "drop", "root", "inside")
+    __slots__ = ("tag", "key", "drop", "head", "root", "inside")
 
     def __init__(self, tag: str, marks: str = "", kept: frozenset[str] | None = None) -> None:
         names = {w for w in _PART.split(marks.lower()) if w}
@@ -83,8 +86,15 @@ class Element:
         general = {_NUMBER.sub("0", w) for w in names}
         shown = sorted(general if kept is None else general & kept | names & FIXED)
         self.key = tag + "." + ".".join(shown) if shown else tag
-        self.drop = tag in NOT_TEXT or (bool(names & MARKS) and not (article and not names & {
-            "comment", "comments", "reply", "related", "ad", "sponsored"})) and tag not in ("body", "html")
+        tokens = set(marks.lower().split())
+        # A mark counts as a whole name; as a part of one it does not where the element also names
+        # itself the article, as in "content has-sidebar", or is running text.
+        told = names & MARKS if not tokens & ARTICLE and tag not in RUNNING else tokens & MARKS
+        told = told and not (article and not names & {"comment", "comments", "reply", "related", "ad", "sponsored"})
+        self.drop = tag in NOT_TEXT or bool(told) and tag not in ("body", "html")
+        # The head of an article, as "post-header", is dropped unless it holds the headline.
+        self.head = (self.drop and tag not in NOT_TEXT and names & MARKS == {"header"}
+                     and "header" not in tokens and bool(names & ARTICLE))
         # 2: the article itself, 1: a part that may hold it.
         self.root = 0 if self.drop else 2 if tag == "article" or "articlebody" in names else (
             1 if tag == "main" or names & ARTICLE else 0)
@@ -129,6 +139,9 @@ def parsed(page: str, kept: frozenset[str] | None = None) -> Element:
                     stack.pop()
                 stack.pop()
         element = Element(tag, marks, kept)
+        if tag == "h1":
+            for above in stack:
+                above.drop = above.drop and not above.head
         stack[-1].inside.append(element)
         if len(stack) < DEPTH and not attributes.endswith("/"):
             stack.append(element)
@@ -247,8 +260,9 @@ def article_paths(wrapper: list) -> list[list[str]]:
         total = letters(node)
         inner = [(letters(c), c) for g in node[5] for c in (g[5] if g[0] == "()" else [g])]
         share, child = max(inner, key=lambda x: x[0], default=(0, None))
-        # A repeated element is a run of paragraphs, not a place.
-        if child is None or child[2] or not total or 5 * share < 3 * total:
+        # A repeated element is a run of paragraphs, not a place, and so is a single one.
+        if (child is None or child[2] or not total or 5 * share < 3 * total
+                or child[0].partition(".")[0] in RUNNING):
             return [path]
         node = child
         path.append(child[0])

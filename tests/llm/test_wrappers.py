@@ -38,3 +38,25 @@ def test_broadcast_is_bounded_by_bytes(spark, monkeypatch):
     monkeypatch.setattr(wrappers, "BROADCAST_BYTES", 10)
     assert not wrappers._small(wrappers.frequent_names(frame), "host", "names")
     assert {r.text for r in wrappers.extracted(frame).collect()} == {f"text {i}" for i in range(20)}
+
+
+def test_layout_classes_do_not_take_the_article_away(spark):
+    """Names that hold a mark's word without being one; a block of one heading and one paragraph."""
+    pages = {
+        "sidebar": "<article><h1>T</h1><div class='content has-sidebar'><p>{} body</p></div>"
+                   "<div class='sidebar'>S</div></article>",
+        "header": "<div class='site-header'>Site</div><article><div class='post-header'><h1>T</h1></div>"
+                  "<p>{} body</p></article>",
+        "share": "<article><h1>T</h1><p class='share-of-market'>{} body</p><div class='share-bar'>F</div></article>",
+        "plain": "<div class='x'><div class='y'><h1>T</h1><p>{} body " + "that goes on " * 20 + "</p></div></div>"
+                 "<div class='menu'>M</div>",
+        "comments": "<article><h1>T</h1><p>{} body</p><div class='post comments'>" + "c " * 200 + "</div></article>",
+    }
+    rows = [(f"{k}{i}", f"http://{k}/{i}", f"<html><body>{v.format('w' + str(i))}</body></html>")
+            for k, v in pages.items() for i in range(3)]
+    frame = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.extracted(frame).collect()}
+    for k in pages:
+        for i in range(3):
+            tail = (" " + "that goes on " * 20).rstrip() if k == "plain" else ""
+            assert got[f"{k}{i}"] == f"T w{i} body{tail}", k
