@@ -99,7 +99,7 @@ SELECT customer_id, company_id, company_name, company_type, country, job_title
 FROM customers LEFT JOIN companies USING (company_id)"""))
 def dim_customers(spark: SparkSession, folder: str) -> DataFrame:
     found = marts.dim_customers(*shop.load(spark, folder, "customers", "companies"))
-    return found.drop("customer_name")
+    return found.drop("customer_name", "created_at")
 
 
 @query(with_views("suppliers companies", """

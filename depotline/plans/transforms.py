@@ -22,7 +22,7 @@ SELECT customer_id, company_id, job_title, country
 FROM customers LEFT JOIN companies USING (company_id)"""))
 def enrich_country(spark: SparkSession, folder: str) -> DataFrame:
     customers, companies = shop.load(spark, folder, "customers", "companies")
-    return joins.enrich(customers.drop("customer_name"), companies, ["company_id"], ["country"])
+    return joins.enrich(customers.drop("customer_name", "created_at"), companies, ["company_id"], ["country"])
 
 
 @query(with_views("shop_orders order_items", """
