@@ -11,10 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depotline.llm.rules import CAPITALS, SPACES, SYMBOLS, duplicate_lines, repeated_words
-from depotline.llm.training import labelled_sample
+from depotline.llm.training import described, labelled, summed
+from depotline.session import written
 
-# Bounds of the training sample: documents of each label, characters of one, pairs.
-PER_CLASS, MOST_CHARS, PAIRS = 4_000, 20_000, 40_000
+# Texts of the more frequent label in a block whose pairs are learnt from, and of the other at least.
+BLOCK, LEAST = 128, 16
+# Steps in which scores are counted for a quantile.
+STEPS = 4_096
 _DIGITS = b"0123456789"
 
 
@@ -62,47 +65,115 @@ class Model:
         return 1 / (1 + np.exp(-np.clip((self.raw(rows) - self.cut) / self.width, -40, 40)))
 
 
-def fit(sample: list[tuple[str, int]], share: float | None = None) -> Model | None:
-    """Scores that order preference pairs, and the quantile that cuts them.
+def _blocks(rows: DataFrame, kinds: dict[int, int]) -> DataFrame:
+    """(good, bad) of every block of about BLOCK texts of the more frequent label, written once.
+
+    Every text is in a block. Texts of the rarer label are dealt into as many blocks as it
+    takes for a block to hold about LEAST of them, so that all blocks have pairs.
+    """
+    blocks = -(-max(kinds.values()) // BLOCK)
+    times = {y: min(blocks, -(-LEAST * blocks // n)) for y, n in kinds.items()}
+    names = [f"x{i}" for i in range(FEATURES)]
+    turns = F.when(F.col("y") == 1, F.lit(times[1])).otherwise(F.lit(times[0]))
+    dealt = rows.select("id", "y", F.array(*names).alias("x"), F.explode(F.transform(
+        F.sequence(F.lit(0), turns - 1),
+        lambda i: F.pmod(F.xxhash64("id", F.lit(3)) + i * F.floor(F.lit(blocks) / turns), F.lit(blocks)))).alias("block"))
+
+    def side(y: int):
+        mine = F.sort_array(F.collect_list(F.when(F.col("y") == y, F.struct("id", "x"))))
+        return F.flatten(F.transform(mine, lambda r: r["x"]))
+
+    return written(dealt.groupBy("block").agg(side(1).alias("good"), side(0).alias("bad")), "pairs")
+
+
+def _pair_sums(mean: np.ndarray, spread: np.ndarray):
+    """Gradient, Hessian and number of the pairs of a batch of blocks, one after the other."""
+    def standard(flat: pa.ListScalar) -> np.ndarray:
+        rows = flat.values.to_numpy().reshape(-1, FEATURES)
+        return np.clip((rows - mean) / spread, -8, 8)
+
+    def sums(w: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+        total = np.zeros(FEATURES + FEATURES ** 2 + 1)
+        for k in range(batch.num_rows):
+            good, bad = standard(batch.column("good")[k]), standard(batch.column("bad")[k])
+            diff = (good[:, None] - bad[None]).reshape(-1, FEATURES)
+            p = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
+            total[:FEATURES] -= diff.T @ p
+            total[FEATURES:-1] += ((diff * (p * (1 - p))[:, None]).T @ diff).ravel()
+            total[-1] += len(diff)
+        return total
+
+    return sums
+
+
+def _quantile(scores: DataFrame, weight: dict[int, float], part: float) -> float:
+    """The middle between the least score of rows (s, y) up to which a `part` of all weight
+    lies, and the next one; counted in ever finer steps, exactly."""
+    below, (low, high) = 0.0, scores.agg(F.min("s"), F.max("s")).first()
+    rows = scores
+    while low < high:
+        step = (high - low) / STEPS
+        found: dict[int, list] = {}
+        bins = F.least(F.floor((F.col("s") - low) / step), F.lit(STEPS))
+        for r in rows.groupBy(bins.alias("bin"), "y").agg(
+                F.count("*").alias("n"), F.min("s").alias("low"), F.max("s").alias("high")).collect():
+            one = found.setdefault(r["bin"], [0.0, r["low"], r["high"]])
+            one[:] = one[0] + weight[r["y"]] * r["n"], min(one[1], r["low"]), max(one[2], r["high"])
+        for k in sorted(found):
+            mass, low, high = found[k]
+            if below + mass >= part - 1e-12 or k == max(found):
+                break
+            below += mass
+        rows = scores.filter(F.col("s").between(low, high))
+    after = scores.filter(F.col("s") > low).agg(F.min("s")).first()[0]
+    return low if after is None else (low + after) / 2
+
+
+def fit(texts: DataFrame, share: float) -> Model | None:
+    """Scores that order preference pairs, and the quantile that cuts them, from rows (text, y).
 
     In a pair the text labelled 1 is preferred; P(a over b) = 1 / (1 + exp(s(b) - s(a))), and
     the weights of s minimise the logistic loss on feature differences, with a small ridge.
+    Every text takes part: texts are dealt into blocks by hash, and all pairs of a block count.
     `share` is the part of texts labelled 1; the cut is the score's quantile that leaves so
-    many above in a sample weighed to that share. None where a label is missing.
+    many above when all texts are weighed to that share. None where a label is missing.
     """
-    rows = np.array([features(t) for t, _ in sample]).reshape(-1, FEATURES)
-    y = np.array([label for _, label in sample])
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    if not len(good) or not len(bad):
+    rows = described(texts, lambda some: np.array([features(t) for t in some]).reshape(-1, FEATURES),
+                     FEATURES, "features")
+    kinds = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if len(kinds) < 2:
         return None
-    mean, spread = rows.mean(axis=0), rows.std(axis=0) + 1e-6
-    x = np.clip((rows - mean) / spread, -8, 8)
-    rng = np.random.default_rng(3)
-    pairs = min(PAIRS, 20 * len(good) * len(bad))
-    diff = x[rng.choice(good, pairs)] - x[rng.choice(bad, pairs)]
+    names = [f"x{i}" for i in range(FEATURES)]
+    moments = rows.agg(*(F.avg(n) for n in names), *(F.stddev_pop(n) for n in names)).first()
+    mean, spread = np.array(moments[:FEATURES]).round(9), np.array(moments[FEATURES:]).round(9) + 1e-6
+    pairs, sums = _blocks(rows, kinds), _pair_sums(mean, spread)
     w = np.zeros(FEATURES)
     for _ in range(60):  # Newton steps
-        p = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
-        grad = -diff.T @ p / pairs + 1e-3 * w
-        hess = (diff * (p * (1 - p))[:, None]).T @ diff / pairs + 1e-3 * np.eye(FEATURES)
+        found = summed(pairs, sums, w)
+        grad = found[:FEATURES] / found[-1] + 1e-3 * w
+        hess = found[FEATURES:-1].reshape(FEATURES, FEATURES) / found[-1] + 1e-3 * np.eye(FEATURES)
         move = np.linalg.solve(hess, grad)
         w = w - move * min(1.0, 2 / (1e-9 + np.abs(move).max()))
         if np.abs(move).max() < 1e-6:
             break
-    share = share if share is not None else len(good) / len(y)
-    s = x @ w
-    order = np.argsort(s)
-    mass = np.where(y[order] == 1, share / len(good), (1 - share) / len(bad)).cumsum()
-    at = min(int(np.searchsorted(mass, 1 - share)), len(s) - 1)
-    # In the middle of the gap between the neighbours of the quantile.
-    cut = (s[order[at]] + s[order[min(at + 1, len(s) - 1)]]) / 2
-    return Model(mean, spread, w, float(cut), float(max(np.std(s) / 4, 1e-6)))
+    # So that the order in which tasks are added up does not show.
+    model = Model(mean, spread, w.round(6), 0.0, 1.0)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.stack([batch.column(n).to_numpy() for n in names], axis=1)
+            yield pa.record_batch([pa.array(model.raw(x), pa.float64()), batch.column("y")], names=["s", "y"])
+
+    scores = written(rows.mapInArrow(work, "s double, y int"), "raw")
+    cut = _quantile(scores, {1: share / kinds[1], 0: (1 - share) / kinds[0]}, 1 - share)
+    width = scores.agg(F.stddev_pop("s")).first()[0] / 4
+    return Model(mean, spread, model.weights, cut, round(max(width, 1e-6), 9))
 
 
 def scored(documents: DataFrame, labels: DataFrame, out: str = "score") -> DataFrame:
     """The documents with a quality score in [0, 1] in column `out`; 0.5 is the cut.
 
-    The label `quality` is learnt from a bounded sample (see `labelled_sample`); the score
+    The label `quality` is learnt from all labelled documents (see `labelled`); the score
     reads the whole text and nothing else, so equal texts and repeated rows score the same. Null
     and wordless texts score 0. Without labels of both kinds every text scores 0.5. A column
     named `out` is replaced. An empty table gives an empty one.
@@ -111,7 +182,7 @@ def scored(documents: DataFrame, labels: DataFrame, out: str = "score") -> DataF
     known = labels.filter(F.col("quality").isNotNull())
     share = known.filter((F.crc32(F.col("doc_id").cast("string")) % 3) != 1).agg(
         F.avg("quality")).first()[0]
-    model = fit(labelled_sample(documents, labels, "quality", PER_CLASS, MOST_CHARS), share)
+    model = fit(labelled(documents, labels, "quality"), share)
     if model is None:
         return base.withColumn(out, F.lit(0.5))
     schema = base.withColumn(out, F.lit(0.0)).schema

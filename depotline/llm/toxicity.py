@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,14 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depotline.llm.common import SENTENCE_END, fresh
-from depotline.llm.training import labelled_sample
+from depotline.llm.training import described, labelled, summed
+from depotline.session import written
 
-# Bounds of the training sample: documents of each label, characters of a document.
-PER_CLASS, MOST_CHARS = 5_000, 4_000
 LANDMARKS = 160
-# Words that are learnt from, at most: the most frequent toxic ones, clean ones drawn at first
-# (harder ones are added in rounds), and of both those that landmarks are chosen among.
-MOST_TOXIC, MOST_CLEAN, TOXIC_MARKS, CLEAN_MARKS = 1_000, 5_000, 400, 300
+# Words that the machine is fitted on, at most: the most frequent toxic ones, clean ones drawn at
+# first, the hardest of all clean ones that a round adds, and of both those that landmarks are
+# chosen among.
+MOST_TOXIC, MOST_CLEAN, HARDEST, TOXIC_MARKS, CLEAN_MARKS = 1_000, 5_000, 1_500, 400, 300
+# Pairs of words that a task holds before it hands them on, and words whose letters it remembers.
+HELD = 400_000
 DECAY, SPAN = 0.6, 7
 # Marks of a text, and from how far below the border on a word counts in them.
 MARKS, NEAR = 4, 0.5
@@ -198,55 +199,105 @@ def _landmarks(positive: list[str], negative: list[str]) -> list[str]:
     return [pool[i] for i in chosen]
 
 
-def fit(sample: list[tuple[str, int]]) -> Model | None:
-    """Train on sentences that carry their document's label; None where a label is missing.
+def followed(texts: DataFrame) -> DataFrame:
+    """(word, toxic, clean): how many different words each word follows in the sentences of the rows
+    (text, y) that are labelled 1 and 0, as a written table. Copies of a document add nothing."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        held: tuple[set, set] = (set(), set())
+        known: dict[str, str] = {}
+
+        def handed() -> pa.RecordBatch:
+            rows = [(word, y, before) for y in (0, 1) for before, word in held[y] if len(word) > 2]
+            befores = np.array([xxh64_intdigest(r[2]) for r in rows], np.uint64).view(np.int64)
+            for some in held:
+                some.clear()
+            return pa.record_batch([pa.array([r[0] for r in rows], pa.string()),
+                                    pa.array([r[1] for r in rows], pa.int32()),
+                                    pa.array(befores, pa.int64())], names=["word", "y", "before"])
+
+        for batch in batches:
+            for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                for sentence in SENTENCE_END.split(text):
+                    words = sentence.split()
+                    for w in set(words).difference(known):
+                        known[w] = unit(w)
+                    some = list(map(known.__getitem__, words))
+                    held[y].update(zip(["", *some], some))  # noqa: B905
+                if len(known) > HELD:
+                    known.clear()
+                if len(held[0]) + len(held[1]) > HELD:
+                    yield handed()
+        yield handed()
+
+    pairs = texts.mapInArrow(work, "word string, y int, before long").distinct()
+    return written(pairs.groupBy("word").agg(F.count_if(F.col("y") == 1).alias("toxic"),
+                                             F.count_if(F.col("y") == 0).alias("clean")), "followed")
+
+
+def _standing_out(words: DataFrame, sums) -> DataFrame | None:
+    """The words that toxic sentences have far more often than by chance.
+
+    With so many words, so many finds in toxic sentences alone happen to less than one word in ten
+    samples. Where too few sentences are labelled for any word to stand out so far, more
+    chance is allowed, step by step.
+    """
+    ratio = sums["clean"] / max(1, sums["toxic"])
+    for samples in (10.0, 1.0, 0.1) if ratio else ():
+        least = np.log1p(samples * max(10, sums["kinds"])) / np.log1p(ratio)
+        found = words.filter(F.col("toxic") > float(least) + F.col("clean") * 4 * max(1.0, 1 / ratio))
+        if found.limit(1).count():
+            return found
+    return None
+
+
+def _hardest(clean: DataFrame, model: Model) -> list[str]:
+    """Of all rows (word) those that score highest."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("word").to_pylist()
+            yield pa.record_batch([batch.column("word"), pa.array(
+                model.scores(words) if words else [], pa.float64())], names=["word", "score"])
+
+    rows = clean.select("word").mapInArrow(work, "word string, score double")
+    return [r["word"] for r in rows.orderBy(F.desc("score"), "word").limit(HARDEST).collect()]
+
+
+def fit(texts: DataFrame) -> Model | None:
+    """Train on the sentences of rows (text, y), which carry their document's label; None where a
+    label is missing.
 
     A clean document's sentences are clean. A toxic document's are toxic where they hold a word
     that toxic sentences have far more often than clean ones, counted by the words it follows;
     its others are left out. The
-    machine separates those words from the clean ones, hardest clean words mined in rounds.
+    machine separates those words from the clean ones, hardest of all clean words mined in rounds.
+    Counts, mining and the odds of a text cover all rows.
     """
-    sentences = {(s.strip(), label) for text, label in sample
-                 for s in SENTENCE_END.split(text) if s.strip()}
-    # How many different words a word follows: copies of a document add nothing to that.
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    met: tuple[set, set] = (set(), set())
-    count = [0, 0]
-    for sentence, label in sorted(sentences):
-        count[label] += 1
-        before = ""
-        for word in map(unit, sentence.split()):
-            pair = hash((before, word))
-            if len(word) > 2 and pair not in met[label]:
-                met[label].add(pair)
-                seen[label][word] += 1
-            before = word
-    if not min(count):
+    worded = {r["y"] for r in texts.filter(F.col("text").rlike(r"[^\s.!?]")).select("y").distinct().collect()}
+    if len(worded) < 2:
         return None
-    # Far more often than chance: with so many words, so many finds in toxic sentences alone
-    # happen to less than one word in ten samples. Where too few sentences are labelled for any
-    # word to stand out so far, more chance is allowed, step by step.
-    ratio = len(met[0]) / max(1, len(met[1]))
-    positive: list[str] = []
-    for samples in (10.0, 1.0, 0.1) if ratio else ():
-        least = np.log1p(samples * max(10, len(seen[1]))) / np.log1p(ratio)
-        positive = [w for w, n in seen[1].items() if n > least + 4 * seen[0][w] * max(1, 1 / ratio)]
-        if positive:
-            break
-    positive = sorted(positive, key=lambda w: (-seen[1][w], w))[:MOST_TOXIC]
-    known = set(positive)
-    clean = sorted(w for w in seen[0] if w not in known)
-    if not positive or not clean:
+    words = followed(texts)
+    sums = words.agg(F.coalesce(F.sum("clean"), F.lit(0)).alias("clean"),
+                     F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic"),
+                     F.count_if(F.col("toxic") > 0).alias("kinds")).first()
+    found = _standing_out(words, sums)
+    seen = {} if found is None else {r["word"]: r["toxic"] for r in found.orderBy(
+        F.desc("toxic"), "word").limit(MOST_TOXIC).collect()}
+    positive = list(seen)
+    clean = words.filter((F.col("clean") > 0) & ~F.col("word").isin(positive)) if positive else None
+    drawn = [] if clean is None else clean.orderBy(F.xxhash64("word"), "word").limit(MOST_CLEAN).collect()
+    if not drawn:
         raise ValueError("toxic: labels of both kinds exist, but no word tells them apart")
     rng = np.random.default_rng(5)
-    negative = [clean[i] for i in rng.permutation(len(clean))[:MOST_CLEAN]]
+    negative = [r["word"] for r in drawn]
     marks = _landmarks(positive[:TOXIC_MARKS], negative[:CLEAN_MARKS])
     tables = [subsequences(m) for m in marks]
     gram = weigh_all(marks, tables)
     values, vectors = np.linalg.eigh((gram + gram.T).astype(float) / 2)
     root = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T  # K^(-1/2)
-    bent = [(v, seen[1][w] * 0.2) for w in positive for v in _bent(w, rng)]
-    weights = np.array([*(float(seen[1][w]) for w in positive), *(n for _, n in bent)])
+    bent = [(v, seen[w] * 0.2) for w in positive for v in _bent(w, rng)]
+    weights = np.array([*(float(seen[w]) for w in positive), *(n for _, n in bent)])
     toxic = weigh_all([*positive, *(v for v, _ in bent)], tables) @ root
     benign = weigh_all(negative, tables) @ root
     for turn in range(4):
@@ -259,12 +310,11 @@ def fit(sample: list[tuple[str, int]]) -> Model | None:
         model = Model(table, bias, np.zeros(MARKS), 0.0, np.zeros(MARKS))
         if turn < 3:
             held = set(negative)
-            hardest = [clean[i] for i in np.argsort(-model.scores(clean))[:1_500]]
-            more = [h for h in hardest if h not in held]
+            more = [h for h in _hardest(clean, model) if h not in held]
             negative += more
             if more:
                 benign = np.vstack([benign, weigh_all(more, tables) @ root])
-    return _calibrated(model, sample)
+    return _calibrated(model, texts)
 
 
 def _bent(word: str, rng: np.random.Generator) -> list[str]:
@@ -290,24 +340,48 @@ def _marks(scores: np.ndarray) -> tuple[float, ...]:
             float(np.log1p((scores > 0).sum())), worst.mean())
 
 
-def _calibrated(model: Model, sample: list[tuple[str, int]]) -> Model:
+def _odds_sums(scale: np.ndarray, weight: dict[int, float], used: list[int]):
+    """Gradient and Hessian of the weighted logistic loss over a batch of marks."""
+    middle, spread = scale
+
+    def sums(v: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+        m = np.stack([batch.column(f"x{i}").to_numpy() for i in range(MARKS)], axis=1)
+        some = np.hstack([(m - middle) / spread, np.ones((len(m), 1))])[:, used]
+        y = batch.column("y").to_numpy().astype(float)
+        each = np.where(y == 1, weight[1], weight[0])
+        p = 1 / (1 + np.exp(-np.clip(some @ v, -40, 40)))
+        hess = (some * (each * p * (1 - p))[:, None]).T @ some
+        return np.concatenate([some.T @ (each * (p - y)), hess.ravel()])
+
+    return sums
+
+
+def _calibrated(model: Model, texts: DataFrame) -> Model:
     """Fit the odds of a document's label on its marks, both labels of equal weight in sum."""
-    scorer = _Scorer(model)
-    m = np.concatenate([scorer.marks([t for t, _ in sample[i:i + 256]])
-                        for i in range(0, len(sample), 256)])
-    y = np.array([label for _, label in sample], float)
-    weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
-    middle, spread = m.mean(axis=0), m.std(axis=0) + 1e-9
-    x = np.hstack([(m - middle) / spread, np.ones((len(m), 1))])
+    def figures(some: list[str]) -> np.ndarray:
+        # One scorer a task, so that it remembers its words.
+        if not scorers:
+            scorers.append(_Scorer(shared.value))
+        return scorers[0].marks(some).reshape(-1, MARKS)
+
+    scorers: list[_Scorer] = []
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+    marks = described(texts, figures, MARKS, "marks")
+    names = [f"x{i}" for i in range(MARKS)]
+    kinds = {r["y"]: r["n"] for r in marks.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    weight = {y: 0.5 / kinds[y] for y in (0, 1)}
+    found = marks.agg(*(f(n) for f in (F.avg, F.stddev_pop, F.max) for n in names)).first()
+    middle, spread, most = np.array(found, float).reshape(3, MARKS)
+    middle, spread = middle.round(9), spread.round(9) + 1e-9
     # A mark may speak for toxicity or not at all; one that would speak against it is left out.
     used = [*range(MARKS + 1)]
     while True:
-        some, ridge = x[:, used], np.diag([0.005] * (len(used) - 1) + [1e-9])
+        sums, ridge = _odds_sums((middle, spread), weight, used), np.diag([0.005] * (len(used) - 1) + [1e-9])
         v = np.zeros(len(used))
         for _ in range(200):
-            p = 1 / (1 + np.exp(-np.clip(some @ v, -40, 40)))
-            grad = some.T @ (weight * (p - y)) + ridge @ v
-            move = np.linalg.solve((some * (weight * p * (1 - p))[:, None]).T @ some + ridge, grad)
+            got = summed(marks, sums, v)
+            grad = got[:len(used)] + ridge @ v
+            move = np.linalg.solve(got[len(used):].reshape(len(used), -1) + ridge, grad)
             v = v - move
             if np.abs(move).max() < 1e-9:
                 break
@@ -315,9 +389,10 @@ def _calibrated(model: Model, sample: list[tuple[str, int]]) -> Model:
             break
         used.pop(int(v[:-1].argmin()))
     w = np.zeros(MARKS + 1)
-    w[used] = v
+    # So that the order in which tasks are added up does not show.
+    w[used] = v.round(7)
     odds = w[:-1] / spread
-    return Model(model.table, model.bias, odds, float(w[-1] - odds @ middle), m.max(axis=0))
+    return Model(model.table, model.bias, odds, float(w[-1] - odds @ middle), most)
 
 
 class _Scorer:
@@ -334,8 +409,8 @@ class _Scorer:
         new: dict[str, str] = {}
         spelt: list[list[str]] = []
         for some in words:
-            for w in set(some):
-                if w not in self.known and w not in new:
+            for w in set(some).difference(self.known):
+                if w not in new:
                     new[w] = unit(w)
             spelt.append(self._spelt(some))
         for w in {w for some in spelt for w in some}:
@@ -350,7 +425,7 @@ class _Scorer:
 
     @staticmethod
     def _spelt(words: list[str]) -> list[str]:
-        if sum(len(w) == 1 for w in words) < 3:
+        if list(map(len, words)).count(1) < 3:
             return []
         return joined_letters([unit(w) if len(w) < 4 else w for w in words])
 
@@ -358,13 +433,12 @@ class _Scorer:
 def scored(documents: DataFrame, labels: DataFrame, out: str = "score") -> DataFrame:
     """The documents with the probability of being toxic in column `out`.
 
-    The label `toxic` is learnt from a bounded sample (see `labelled_sample`); a text scores by
+    The label `toxic` is learnt from all labelled documents (see `labelled`); a text scores by
     all its words, whole. Null, empty and wordless texts score lowest. Without labels of both kinds
     every text scores 0. Equal texts score the same; a column named `out` is replaced.
     """
     base = documents.drop(out)
-    sample = labelled_sample(documents, labels, "toxic", PER_CLASS, MOST_CHARS)
-    model = fit(sample)
+    model = fit(labelled(documents, labels, "toxic"))
     if model is None:
         return base.withColumn(out, F.lit(0.0))
     shared = documents.sparkSession.sparkContext.broadcast(model)
