@@ -37,6 +37,9 @@ THRESHOLD = 0.7
 LETTERS = 64
 # Digits and signs that stand for letters.
 STANDS_FOR = str.maketrans("013457@$", "oieastas")
+# The other signs of ASCII, and what becomes of each sign inside a word.
+_SIGNS = "".join(c for c in map(chr, range(128)) if not c.isalpha())
+_INSIDE = {**dict.fromkeys(map(ord, _SIGNS)), **STANDS_FOR}
 _RUN = re.compile(r"(.)\1{2,}")
 _PAIRS = [(p, q) for q in range(2, SPAN) for p in range(1, q)]
 CELLS = 100_000
@@ -44,25 +47,43 @@ CELLS = 100_000
 
 def unit(word: str) -> str:
     """The letters of a word, for comparison."""
-    word = word.lower()
-    if not (word.isascii() and word.isalpha()):
+    return _RUN.sub(r"\1\1", _letters(word.lower()))
+
+
+def _letters(word: str) -> str:
+    """The letters of a word in lower case, with those that signs inside it stand for."""
+    if word.isascii():
+        if not word.isalpha():
+            word = word.strip(_SIGNS)
+            if not word.isalpha():
+                word = word.translate(_INSIDE)
+        return word
+    if not word.isalpha():
         first = next((i for i, c in enumerate(word) if c.isalpha()), len(word))
         last = next((i for i in range(len(word), first, -1) if word[i - 1].isalpha()), first)
-        word = unicodedata.normalize("NFKC", word[first:last].translate(STANDS_FOR))
-        word = "".join(c for c in word if c.isalpha())
-    return _RUN.sub(r"\1\1", word)
+        word = word[first:last].translate(STANDS_FOR)
+    word = unicodedata.normalize("NFKC", word)
+    return word if word.isalpha() else "".join(c for c in word if c.isalpha())
+
+
+def _unit_of(words: set[str]) -> dict[str, str]:
+    """The unit of every word (none holds white space), worked out over all words as one string."""
+    if not words:
+        return {}
+    lower = "\n".join(words).lower().split("\n")
+    letters = "\n".join([w if w.isascii() and w.isalpha() else _letters(w) for w in lower])
+    return dict(zip(words, _RUN.sub(r"\1\1", letters).split("\n"), strict=True))
 
 
 def joined_letters(words: list[str]) -> list[str]:
     """Words spelt out: three or more letters in a row that stand alone."""
-    found, run = [], []
-    for w in [*words, ""]:
-        if len(w) == 1:
-            run.append(w)
-            continue
-        if len(run) > 2:
-            found.append("".join(run))
-        run = []
+    alone = [i for i, w in enumerate(words) if len(w) == 1]
+    found, start = [], 0
+    for k in range(1, len(alone) + 1):
+        if k == len(alone) or alone[k] != alone[k - 1] + 1:
+            if k - start > 2:
+                found.append("".join(words[alone[start]:alone[k - 1] + 1]))
+            start = k
     return found
 
 
@@ -74,11 +95,13 @@ def units(sentence: str) -> set[str]:
 
 def _codes(words: list[str]) -> np.ndarray:
     """Letters as numbers, filled up with 0; a to z are 1 to 26, others share the rest."""
-    width = max(map(len, words))
-    flat = np.frombuffer("".join(w.ljust(width, "\0") for w in words).encode("utf-32-le"), np.uint32)
+    flat = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
     coded = np.where((flat >= 97) & (flat <= 122), flat - 96,
                      np.where(flat == 0, 0, 27 + flat % (LETTERS - 27)))
-    return coded.reshape(len(words), width).astype(np.int32)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    out = np.zeros((len(words), lengths.max()), np.int64)
+    out[np.arange(out.shape[1]) < lengths[:, None]] = coded
+    return out
 
 
 def _scale(lengths: np.ndarray) -> np.ndarray:
@@ -94,7 +117,7 @@ def weigh_all(words: list[str], marks: list[tuple[np.ndarray, np.ndarray]]) -> n
     out = np.zeros((len(words), len(marks)), np.float32)
     table = np.zeros(LETTERS ** 3, np.float32)
     for part, cells in _cells(words):
-        scale = _scale(np.array([len(words[i]) for i in part]))
+        scale = _scale(np.array([len(words[i]) for i in part.tolist()]))
         for t, (places, weights) in enumerate(marks):
             table[places] = weights
             total = sum(DECAY ** q * table[at].sum(axis=1) for q, at in cells)
@@ -103,20 +126,21 @@ def weigh_all(words: list[str], marks: list[tuple[np.ndarray, np.ndarray]]) -> n
     return out
 
 
-def _cells(words: list[str]) -> Iterator[tuple[list[int], list[tuple[int, np.ndarray]]]]:
+def _cells(words: list[str]) -> Iterator[tuple[np.ndarray, list[tuple[int, np.ndarray]]]]:
     """Words of like lengths, with the places of their subsequences by last letter's distance."""
-    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(lengths, kind="stable")
     start = 0
     while start < len(order):
-        stop = start + 1
-        while stop < len(order) and (stop + 1 - start) * len(words[order[stop]]) <= CELLS:
-            stop += 1
-        codes = _codes([words[i] for i in order[start:stop]])
+        part = order[start:start + CELLS]
+        filled = np.arange(1, len(part) + 1) * lengths[part]
+        part = part[:max(1, int(np.searchsorted(filled, CELLS, "right")))]
+        codes = _codes([words[i] for i in part.tolist()])
         width = codes.shape[1]
-        yield order[start:stop], [
-            (q, (codes[:, :width - q] * LETTERS + codes[:, p:width - q + p]) * LETTERS + codes[:, q:])
-            for p, q in _PAIRS if width > q]
-        start = stop
+        first, second = codes * LETTERS ** 2, codes * LETTERS
+        yield part, [(q, first[:, :width - q] + second[:, p:width - q + p] + codes[:, q:])
+                     for p, q in _PAIRS if width > q]
+        start += len(part)
 
 
 def weigh(words: list[str], table: np.ndarray) -> np.ndarray:
@@ -124,7 +148,7 @@ def weigh(words: list[str], table: np.ndarray) -> np.ndarray:
     out = np.zeros(len(words))
     for part, cells in _cells(words):
         total = sum(DECAY ** q * table[at].sum(axis=1) for q, at in cells)
-        out[part] = total / _scale(np.array([len(words[i]) for i in part]))
+        out[part] = total / _scale(np.array([len(words[i]) for i in part.tolist()]))
     return out
 
 
@@ -219,10 +243,9 @@ def followed(texts: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                for sentence in SENTENCE_END.split(text):
-                    words = sentence.split()
-                    for w in set(words).difference(known):
-                        known[w] = unit(w)
+                sentences = [sentence.split() for sentence in SENTENCE_END.split(text)]
+                known.update(_unit_of(set().union(*sentences).difference(known)))
+                for words in sentences:
                     some = list(map(known.__getitem__, words))
                     held[y].update(zip(["", *some], some))  # noqa: B905
                 if len(known) > HELD:
@@ -401,21 +424,18 @@ class _Scorer:
     def __init__(self, model: Model, most: int = 400_000) -> None:
         self.model, self.most = model, most
         self.known: dict[str, float] = {}
+        self.short: dict[str, str] = {}
 
     def marks(self, texts: list[str]) -> np.ndarray:
         if len(self.known) > self.most:
             self.known.clear()
+        if len(self.short) > self.most:
+            self.short.clear()
         words = [text.split() for text in texts]
-        new: dict[str, str] = {}
-        spelt: list[list[str]] = []
-        for some in words:
-            for w in set(some).difference(self.known):
-                if w not in new:
-                    new[w] = unit(w)
-            spelt.append(self._spelt(some))
-        for w in {w for some in spelt for w in some}:
-            if w not in self.known:
-                new.setdefault(w, unit(w))
+        kinds = set().union(*words)
+        self.short.update(_unit_of({w for w in kinds if len(w) < 4}.difference(self.short)))
+        spelt = [self._spelt(some) for some in words]
+        new = _unit_of(kinds.union(*spelt).difference(self.known))
         todo = sorted({u for u in new.values() if len(u) > 2})
         got = dict(zip(todo, self.model.scores(todo).tolist(), strict=True)) if todo else {}
         self.known.update((w, got.get(u, -2.0)) for w, u in new.items())
@@ -423,11 +443,11 @@ class _Scorer:
         return np.array([_marks(np.fromiter(map(known.__getitem__, [*some, *extra]), float))
                          for some, extra in zip(words, spelt, strict=True)])
 
-    @staticmethod
-    def _spelt(words: list[str]) -> list[str]:
+    def _spelt(self, words: list[str]) -> list[str]:
+        """Words spelt out in a text; only words that are short to begin with stand alone."""
         if list(map(len, words)).count(1) < 3:
             return []
-        return joined_letters([unit(w) if len(w) < 4 else w for w in words])
+        return joined_letters(list(map(self.short.get, words, words)))
 
 
 def scored(documents: DataFrame, labels: DataFrame, out: str = "score") -> DataFrame:
